@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from leadloom.llm import bpe
+from leadloom.llm import bpe, rules
 from leadloom.llm.shared import let_workers_import, table
 
 
@@ -23,8 +23,20 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Ids that the labels call good and not toxic."""
+    return labels.where((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)).select("doc_id")
+
+
+def op6_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    weights = rules.gram_weights(docs, trusted_ids(table(spark, sf_dir, "labels")))
+    return rules.apply_rules(docs.select("doc_id", "text"), weights).select("doc_id", "rules.*")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op6_rules": op6_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {}
