@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from leadloom.llm import bpe, rules
+from leadloom.llm import bpe, fingerprint, rules
 from leadloom.llm.shared import let_workers_import, table
 
 
@@ -34,9 +34,26 @@ def op6_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.apply_rules(docs.select("doc_id", "text"), weights).select("doc_id", "rules.*")
 
 
+def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fingerprint.with_next(table(spark, sf_dir, "documents"))
+    n = F.length("text")
+    cut = F.floor(n / 4).cast("int")
+    edited = F.concat(F.expr("left(text, length(text) - cast(floor(length(text) / 4) as int))"), F.col("next.text").substr(F.lit(1), cut))
+    rows = rows.select("doc_id", n.cast("long").alias("n_chars"), "tree", F.col("next.tree").alias("next_tree"), edited.alias("edited"))
+    rows = fingerprint.with_tree(rows, "edited", "edited_tree")
+    tree = F.col("tree")
+    return rows.select(
+        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprint.fingerprint(tree).alias("fingerprint"), fingerprint.fingerprint(F.col("edited_tree")).alias("edited_fingerprint"),
+        fingerprint.likeness(tree, F.col("edited_tree")).alias("near_edited"),
+        fingerprint.likeness(tree, F.col("next_tree")).alias("near_next"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op6_rules": op6_rules,
+    "op10_fingerprint": op10_fingerprint,
 }
 
 ORACLE_SQL: dict[str, str] = {}
