@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from leadloom.llm import bpe, fingerprint, rules
+from leadloom.llm import bpe, fingerprint, packing, rules
 from leadloom.llm.shared import let_workers_import, table
 
 
@@ -34,6 +34,11 @@ def op6_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.apply_rules(docs.select("doc_id", "text"), weights).select("doc_id", "rules.*")
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    let_workers_import(spark)
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fingerprint.with_next(table(spark, sf_dir, "documents"))
     n = F.length("text")
@@ -53,6 +58,7 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op6_rules": op6_rules,
+    "op7_packing": op7_packing,
     "op10_fingerprint": op10_fingerprint,
 }
 
