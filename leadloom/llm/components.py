@@ -1,0 +1,30 @@
+"""Connected components of an edge table by minimum labels and pointer jumping."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+from leadloom.llm.shared import written
+
+
+def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+    """(node, label) of every node of ``edges`` (a long, b long); label is the least node that can be reached.
+
+    Each round, a node takes the least label among its neighbours' (partial minima, so that a node with many neighbours
+    is no bottleneck) and then its label's label. The rounds follow the logarithm of the longest path; each ends with a
+    written table, so that a lost executor repeats one round at most. Self-links, repeats and both directions are fine;
+    no edges give no nodes.
+    """
+    both = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a is not null and b is not null")
+    both = written(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
+    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label")), "labels")
+    for _ in range(max_rounds):
+        near = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("near"))
+        step = labels.join(near, F.col("node") == F.col("a"), "left").select("node", "label", F.least("label", "near").alias("next"))
+        jump = labels.select(F.col("node").alias("n2"), F.col("label").alias("l2"))
+        after = written(step.join(jump, F.col("next") == F.col("n2"), "left").select(
+            "node", F.least("next", "l2").alias("label"), (F.least("next", "l2") < F.col("label")).alias("changed")), "labels")
+        labels = after.select("node", "label")
+        if after.where("changed").isEmpty():
+            return labels
+    raise RuntimeError(f"components did not settle in {max_rounds} rounds")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from leadloom.llm import bpe, fingerprint, packing, rules
+from leadloom.llm import bpe, fingerprint, neardup, packing, rules
 from leadloom.llm.shared import let_workers_import, table
 
 
@@ -39,6 +39,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    let_workers_import(spark)
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fingerprint.with_next(table(spark, sf_dir, "documents"))
     n = F.length("text")
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op6_rules": op6_rules,
     "op7_packing": op7_packing,
+    "op9_neardup": op9_neardup,
     "op10_fingerprint": op10_fingerprint,
 }
 
