@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from leadloom.llm import bpe, fingerprint, neardup, packing, rules
+from leadloom.llm import bpe, fingerprint, neardup, packing, pii, rules
 from leadloom.llm.shared import let_workers_import, table
 
 
@@ -39,6 +39,15 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+#: The key of the registered query's pseudonyms; a production job passes its own secret.
+PII_KEY = "leadloom-demo-key"
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.pseudonymise(docs, PII_KEY).select("doc_id", "text", "pii.*")
+
+
 def op9_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     let_workers_import(spark)
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
@@ -64,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op6_rules": op6_rules,
     "op7_packing": op7_packing,
+    "op8_pii": op8_pii,
     "op9_neardup": op9_neardup,
     "op10_fingerprint": op10_fingerprint,
 }
