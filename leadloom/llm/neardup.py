@@ -20,7 +20,6 @@ empty result; extra columns are ignored.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 from collections.abc import Callable, Iterator
 
@@ -29,11 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from leadloom.llm.components import components
+from leadloom.llm.hashing import SYMBOLS, constants, mix, shingles_of, span_hashes, word_bounds
 from leadloom.llm.shared import small_keys, written
 
 WORDS = 5
 PERCENT = 85
-SYMBOLS, CHUNKS = 32, 8
+CHUNKS = 8
 WIDTH = SYMBOLS // CHUNKS
 DISTANCE = CHUNKS * 2 - 1
 #: Members and set bytes of a block.
@@ -41,65 +41,24 @@ BLOCK_ROWS = 2048
 BLOCK_BYTES = 24_000_000
 
 _U = np.uint64
-_POWER, _ODD = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
-
-
-@functools.lru_cache(maxsize=1)
-def _constants() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Random values of bytes, space flags of bytes, shingle multipliers and hash multipliers (all odd)."""
-    rng = np.random.Generator(np.random.PCG64(20240229))
-    odd = lambda n: rng.integers(0, 2**63, n, dtype=_U) * _U(2) + _U(1)
-    space = np.zeros(256, dtype=bool)
-    space[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-    return odd(256), space, odd(64), odd(SYMBOLS)
-
-
-_powers: list[np.ndarray] = [np.ones(1, dtype=_U), np.ones(1, dtype=_U)]
-
-
-def _powers_to(n: int) -> list[np.ndarray]:
-    """Powers of an odd number and of its inverse modulo 2**64."""
-    if len(_powers[0]) < n:
-        for k, base in enumerate((_POWER, pow(_POWER, -1, 1 << 64))):
-            factors = np.full(1 << (n - 1).bit_length(), base, dtype=_U)
-            factors[0] = 1
-            _powers[k] = np.multiply.accumulate(factors)
-    return _powers
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _U(32))) * _U(_ODD)
-    x = (x ^ (x >> _U(32))) * _U(_ODD)
-    return x ^ (x >> _U(32))
 
 
 def shingle_set(text: str | None, words: int = WORDS) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's word shingles (A-Z lower-cased, words end at ASCII spaces)."""
     raw = np.frombuffer((text or "").encode().lower(), dtype=np.uint8)
-    values, space, by_place, _ = _constants()
-    blank = np.concatenate(([True], space[raw], [True]))
-    borders = np.flatnonzero(blank[1:] != blank[:-1])
-    starts, ends = borders[0::2], borders[1::2]
-    n = len(starts)
-    if not n:
+    starts, ends = word_bounds(raw)
+    if not len(starts):
         return np.empty(0, dtype=_U)
-    up, down = _powers_to(len(raw) + 1)
-    sums = np.concatenate((np.zeros(1, dtype=_U), np.cumsum(values[raw] * up[: len(raw)], dtype=_U)))
-    hashes = _mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(_U))
-    size = min(n, words)
-    out = np.full(n - size + 1, size, dtype=_U)
-    for k in range(size):
-        out += hashes[k: n - size + 1 + k] * by_place[k]
-    return np.unique(_mix(out))
+    return np.unique(shingles_of(span_hashes(raw, starts, ends), words))
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
     """16 bits of the minimum under each hash function."""
-    factors = _constants()[3]
+    factors = constants()[3]
     least = np.full(SYMBOLS, np.iinfo(np.uint64).max, dtype=_U)
     for at in range(0, len(shingles), 2048):
         np.minimum(least, (shingles[None, at: at + 2048] * factors[:, None]).min(axis=1), out=least)
-    return (_mix(least) >> _U(48)).astype(np.uint16)
+    return (mix(least) >> _U(48)).astype(np.uint16)
 
 
 def chunk_keys(signatures: np.ndarray) -> np.ndarray:
@@ -111,7 +70,7 @@ def chunk_keys(signatures: np.ndarray) -> np.ndarray:
             key = np.full(len(part), c * WIDTH + j + 1, dtype=_U)
             for i in range(WIDTH):
                 if i != j:
-                    key = _mix((key << _U(16)) + part[:, i] + key)
+                    key = mix((key << _U(16)) + part[:, i] + key)
             keys[:, c * WIDTH + j] = key
     return keys.view(np.int64)
 

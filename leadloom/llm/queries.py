@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from leadloom.llm import bpe, fingerprint, neardup, packing, pii, rules
+from leadloom.llm import bpe, fingerprint, neardup, packing, pii, rules, weak_quality
 from leadloom.llm.shared import let_workers_import, table
 
 
@@ -39,6 +39,12 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    let_workers_import(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return weak_quality.classify(docs, weak_quality.fit(docs)).select("doc_id", "quality.*")
+
+
 #: The key of the registered query's pseudonyms; a production job passes its own secret.
 PII_KEY = "leadloom-demo-key"
 
@@ -71,6 +77,7 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_quality": op2_quality,
     "op6_rules": op6_rules,
     "op7_packing": op7_packing,
     "op8_pii": op8_pii,
