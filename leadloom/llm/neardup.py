@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from leadloom.llm.components import components
 from leadloom.llm.hashing import SYMBOLS, constants, mix, shingles_of, span_hashes, word_bounds
-from leadloom.llm.shared import small_keys, written
+from leadloom.llm.shared import groups_of, small_keys, written
 
 WORDS = 5
 PERCENT = 85
@@ -126,23 +126,6 @@ def linked_sets(ids: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT)
     return [(ids[i], ids[j]) for i, j in _forest(len(ids), linked)]
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Runs of rows with equal keys, from batches in the order of the keys."""
-    rest: pa.Table | None = None
-    for batch in batches:
-        rows = pa.Table.from_batches([batch])
-        if rest is not None:
-            rows = pa.concat_tables([rest, rows])
-        cols = [rows.column(k).to_numpy() for k in keys]
-        cut = np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols], axis=0)) + 1
-        bounds = [0, *cut.tolist()]
-        for a, b in zip(bounds, bounds[1:]):
-            yield rows.slice(a, b - a)
-        rest = rows.slice(bounds[-1])
-    if rest is not None and rest.num_rows:
-        yield rest
-
-
 def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     a, b = zip(*pairs) if pairs else ((), ())
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -195,7 +178,7 @@ def hamming_join(signed: DataFrame) -> DataFrame:
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple[int, int]] = []
-        for group in _groups(batches, ["key", "pair"]):
+        for group in groups_of(batches, ["key", "pair"]):
             if group.num_rows > 1:
                 marks = np.frombuffer(b"".join(group.column("sig").to_pylist()), dtype=np.uint16).reshape(-1, SYMBOLS)
                 found += close_signatures(group.column("id").to_numpy(), marks)
@@ -219,7 +202,7 @@ def near_duplicates(docs: DataFrame, *, words: int = WORDS, percent: int = PERCE
     """
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches, ["cluster", "pair"]):
+        for group in groups_of(batches, ["cluster", "pair"]):
             sets = [np.frombuffer(x, dtype=_U) for x in group.column("shingles").to_pylist()]
             yield _edges(linked_sets(group.column("id").to_numpy(), sets, percent))
 

@@ -5,8 +5,11 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Most rows of keys (one long each) that may be broadcast: 16 MB.
@@ -54,3 +57,20 @@ def written(df: DataFrame, label: str) -> DataFrame:
 def small_keys(keys: DataFrame, limit: int = MAX_BROADCAST_KEYS) -> DataFrame:
     """``keys`` marked for broadcast if it is counted at ``limit`` rows or fewer, else as it is (a shuffled join)."""
     return F.broadcast(keys) if keys.limit(limit + 1).count() <= limit else keys
+
+
+def groups_of(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Runs of rows with equal keys, from batches in the order of the keys."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        if rest is not None:
+            rows = pa.concat_tables([rest, rows])
+        cols = [rows.column(k).to_numpy() for k in keys]
+        cut = np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols], axis=0)) + 1
+        bounds = [0, *cut.tolist()]
+        for a, b in zip(bounds, bounds[1:]):
+            yield rows.slice(a, b - a)
+        rest = rows.slice(bounds[-1])
+    if rest is not None and rest.num_rows:
+        yield rest
