@@ -232,3 +232,20 @@ def near_duplicates(docs: DataFrame, *, words: int = WORDS, percent: int = PERCE
     found = signed.join(by_digest, "digest", "left")
     component = F.coalesce(F.col("label"), F.col("node"), F.col("id"))
     return found.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), (F.col("id") == component).alias("kept"))
+
+
+def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` (a table that can be read again) with one document of each group of near-duplicates, that of the least id.
+
+    The dropped ids are broadcast if they are counted as few, and joined by shuffle otherwise. Of repeated rows of one
+    id one stays; rows without id or without words all stay.
+    """
+    found = written(near_duplicates(docs, id_col=id_col, text_col=text_col), "groups")
+    dropped = found.where(~F.col("kept")).select(F.col(id_col).alias("__dropped")).distinct()
+    left = docs.join(small_keys(dropped), F.col(id_col).cast("long") == F.col("__dropped"), "left_anti")
+    repeated = found.where("kept and n_shingles > 0").groupBy(id_col).agg(F.count("*").alias("n")).where("n > 1")
+    if repeated.isEmpty():
+        return left
+    again = small_keys(repeated.select(F.col(id_col).alias("__again")))
+    same = F.col(id_col).cast("long") == F.col("__again")
+    return left.join(again, same, "left_anti").unionByName(left.join(again, same, "left_semi").dropDuplicates([id_col]))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from leadloom.llm import bpe, chat, fingerprint, neardup, packing, pii, rules, weak_quality
+from leadloom.llm import bpe, chat, fingerprint, langid, licenses, neardup, packing, pii, rules, weak_quality
 from leadloom.llm.shared import let_workers_import, table
 
 
@@ -23,6 +23,18 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    let_workers_import(spark)
+    langs, model = langid.fit_text_model(table(spark, sf_dir, "documents"))
+    found = langid.identify(table(spark, sf_dir, "pages"), langs, model)
+    return found.select("page_id", "host", "declared", "suffix", "text_lang", "lang", "probability")
+
+
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    let_workers_import(spark)
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def trusted_ids(labels: DataFrame) -> DataFrame:
     """Ids that the labels call good and not toxic."""
     return labels.where((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)).select("doc_id")
@@ -98,6 +110,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_quality": op2_quality,
     "op3_chat": op3_chat,
+    "op4_langid": op4_langid,
+    "op5_licenses": op5_licenses,
     "op6_rules": op6_rules,
     "op7_packing": op7_packing,
     "op8_pii": op8_pii,
