@@ -39,6 +39,15 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(text, SPACE_PATTERN), lambda w: w != "")
 
 
+def held(value: Column) -> Column:
+    """``value``, which no later filter or projection may pull into its own expressions.
+
+    Arrays that lambdas read must be computed once for each row. The condition is always true but not deterministic, and
+    the optimizer moves nothing through such a projection.
+    """
+    return F.when(F.spark_partition_id() >= 0, value)
+
+
 def _grams(words: str, n: str, buckets: int) -> Column:
     """Buckets of the unigrams and bigrams, from columns with the words and their number."""
     w = F.col(words)
@@ -82,16 +91,16 @@ def apply_rules(docs: DataFrame, weights: DataFrame, *, text_col: str = "text",
     # a constant of the plan, folded once: as a column it would be copied into every row
     table = F.from_json(F.lit(json.dumps(weights.first()["weights"])), "array<double>")
     df = docs.select(*names, F.col(text_col).cast("string").alias("__text"))
-    df = df.select("*", words_of(text).alias("__w"))
+    df = df.select("*", held(words_of(text)).alias("__w"))
     df = df.select("*", F.size("__w").alias("__n"))
     windows = F.when(n > 3, F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))))
-    df = df.select("*", windows.alias("__h"), _grams("__w", "__n", buckets).alias("__g"))
+    df = df.select("*", held(windows).alias("__h"), _grams("__w", "__n", buckets).alias("__g"))
     repeated = F.size(F.array_distinct(h)) < F.size(h)
     df = df.select(
         *names, "__text", "__n",
         F.when(repeated, F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))).alias("__s"),
         F.aggregate("__g", F.lit(0.0), lambda acc, g: acc + F.get(table, g)).alias("__sum"),
-        F.size("__g").alias("__grams"),
+        held(F.size("__g")).alias("__grams"),
         F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, SPACE, "")) > 0).alias("__lines"),
     )
     s = F.col("__s")
@@ -104,7 +113,7 @@ def apply_rules(docs: DataFrame, weights: DataFrame, *, text_col: str = "text",
         lambda a: a["total"],
     )
     df = df.select(
-        *names, "__n", "__sum", "__grams", covered.cast("long").alias("__repeat"),
+        *names, "__n", "__sum", "__grams", held(covered.cast("long")).alias("__repeat"),
         F.length(F.translate(text, SPACE, "")).cast("long").alias("__chars"),
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("__symbols"),
         (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("__dup"),
