@@ -17,9 +17,11 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 from bisect import bisect_left, insort
 from collections import defaultdict, deque
 from collections.abc import Iterator
+from struct import pack as packed_ids
 
 import numpy as np
 import pyarrow as pa
@@ -44,19 +46,28 @@ PIECES = T.StructType([
 ])
 
 
+#: Signs between an ASCII letter or digit and a space.
+_TRAILING = re.compile(rb"([!-&(-/:-@\[-`{-~](?<=[a-z0-9].)[!-&(-/:-@\[-`{-~]*)(?=\s|$)")
+#: Words that normalisation and splitting leave as they are: lower-case letters in composed form.
+_PLAIN = re.compile("[a-zß-öø-ÿ]+")
+
+
 class ChunkTokenizer:
-    """Ids of texts by way of their chunks between ASCII spaces, in one worker process.
+    """Ids of texts by way of their chunks between ASCII spaces, in one worker process, for byte-level tokenizers that lower-case.
 
     Such a space ends every token of a tokenizer that drops white space before its model runs, so a text's ids are its
-    chunks' ids in a row. Frequent chunks are tokenised once (two generations of a bounded cache).
+    chunks' ids in a row. A run of ASCII signs after a letter or digit is a chunk of its own, as the tokenizer parts them
+    anyway, and A-Z are lower-cased, as it does too. Frequent chunks are tokenised once (two generations of a bounded cache).
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.words = Tokenizer(self.tokenizer.model)  # the same model for words that need no normalisation
+        self.words.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
@@ -70,15 +81,17 @@ class ChunkTokenizer:
             else:
                 found[chunk] = ids
         for at in range(0, len(new), 20_000):
-            part = new[at: at + 20_000]
-            for chunk, got in zip(part, self.tokenizer.encode_batch_fast([x.decode() for x in part], add_special_tokens=False)):
-                found[chunk] = np.array(got.ids, dtype="<u4").tobytes()
+            texts = [x.decode() for x in new[at: at + 20_000]]
+            for tokenizer, part in ((self.words, [x for x in texts if _PLAIN.fullmatch(x)]), (self.tokenizer, [x for x in texts if not _PLAIN.fullmatch(x)])):
+                for text, got in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                    ids = got.ids
+                    found[text.encode()] = packed_ids(f"<{len(ids)}I", *ids)
         self.young.update(found)
         return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
-        chunks = [x.encode().split() for x in texts]
+        chunks = [_TRAILING.sub(rb" \1", x.encode().lower()).split() for x in texts]
         local = self.lookup(set().union(*chunks))
         return [b"".join(map(local.__getitem__, x)) for x in chunks]
 
