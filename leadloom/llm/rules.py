@@ -1,8 +1,9 @@
 """Quality rules: base text statistics, then a hashed n-gram log-likelihood ratio with a fixed threshold.
 
 Two multinomials over hashed word n-grams (unigrams and bigrams) are counted over *all* documents: one of the raw
-corpus, one of its trusted rows. A document's score is the mean over its n-grams of log(p_trusted / p_raw); documents
-below ``threshold`` are rejected, each by the same fixed number whatever the corpus is. Only DataFrame functions run.
+corpus, one of its trusted rows, each bucket shrunk towards equal shares. A document's score is the mean over its n-grams
+of log(p_trusted / p_raw); documents below ``threshold`` are rejected, each by the same fixed number whatever the corpus
+is. Only DataFrame functions run.
 
 Scale: the counts are partial sums of at most ``buckets`` rows for each task, so the shuffle does not follow the text;
 the weights, one array of ``buckets`` doubles (512 KB), become a constant of the scoring plan. No text is shuffled, as
@@ -27,9 +28,10 @@ SPACE_PATTERN = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 
 BUCKETS = 65_536
-SMOOTHING = 0.5
+#: N-grams that each bucket is given of both kinds: rare n-grams, as in small corpora, then say little.
+SMOOTHING = 4.0
 #: Mean log ratio, in nats for each n-gram, from which a document is kept.
-THRESHOLD = -0.115
+THRESHOLD = -0.14
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
@@ -78,26 +80,28 @@ def gram_weights(docs: DataFrame, trusted: DataFrame, *, id_col: str = "doc_id",
     filled = every.join(counts, "bucket", "left").na.fill(0, ["raw", "good"])
     # one row of at most `buckets` pairs: its size does not depend on the documents
     rows = filled.agg(F.sort_array(F.collect_list(F.struct("bucket", "raw", "good"))).alias("c"), F.sum("raw").alias("raw_all"), F.sum("good").alias("good_all"))
-    ratio = lambda c: F.log(c["good"] + smoothing) - F.log(F.col("good_all") + smoothing * buckets) - F.log(c["raw"] + smoothing) + F.log(F.col("raw_all") + smoothing * buckets)
+    expected = lambda c: c["raw"] * F.col("good_all") / F.col("raw_all")
+    ratio = lambda c: F.log((c["good"] + smoothing) / (expected(c) + smoothing))
     return rows.select(F.transform("c", lambda c: F.when(F.col("good_all") > 0, ratio(c)).otherwise(0.0)).alias("weights"))
 
 
 def apply_rules(docs: DataFrame, weights: DataFrame, *, text_col: str = "text", out_col: str = "rules",
                 threshold: float = THRESHOLD, buckets: int = BUCKETS) -> DataFrame:
     """``docs`` with a struct column ``out_col``: base statistics, ``score``, ``base_failed`` and ``kept``."""
-    names = [c for c in docs.columns if c != out_col]
+    names = [c for c in docs.columns if c.lower() != out_col.lower()]
     w, n, h = F.col("__w"), F.col("__n"), F.col("__h")
     text = F.coalesce(F.col("__text"), F.lit(""))
     # a constant of the plan, folded once: as a column it would be copied into every row
     table = F.from_json(F.lit(json.dumps(weights.first()["weights"])), "array<double>")
-    df = docs.select(*names, F.col(text_col).cast("string").alias("__text"))
+    # the row goes through as one struct, so that its names cannot clash with those below
+    df = docs.select(F.struct(*names).alias("__in"), F.col(text_col).cast("string").alias("__text"))
     df = df.select("*", held(words_of(text)).alias("__w"))
     df = df.select("*", F.size("__w").alias("__n"))
     windows = F.when(n > 3, F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))))
     df = df.select("*", held(windows).alias("__h"), _grams("__w", "__n", buckets).alias("__g"))
     repeated = F.size(F.array_distinct(h)) < F.size(h)
     df = df.select(
-        *names, "__text", "__n",
+        "__in", "__text", "__n",
         F.when(repeated, F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))).alias("__s"),
         F.aggregate("__g", F.lit(0.0), lambda acc, g: acc + F.get(table, g)).alias("__sum"),
         held(F.size("__g")).alias("__grams"),
@@ -113,14 +117,14 @@ def apply_rules(docs: DataFrame, weights: DataFrame, *, text_col: str = "text",
         lambda a: a["total"],
     )
     df = df.select(
-        *names, "__n", "__sum", "__grams", held(covered.cast("long")).alias("__repeat"),
+        "__in", "__n", "__sum", "__grams", held(covered.cast("long")).alias("__repeat"),
         F.length(F.translate(text, SPACE, "")).cast("long").alias("__chars"),
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("__symbols"),
         (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("__dup"),
     )
     failed = (n < MIN_WORDS) | (100 * F.col("__repeat") > MAX_REPEAT_PERCENT * n)
     score = F.when(F.col("__grams") > 0, F.round(F.col("__sum") / F.col("__grams"), 9)).otherwise(0.0)
-    return df.select(*names, F.struct(
+    return df.select("__in.*", F.struct(
         n.cast("long").alias("n_words"), F.col("__chars").alias("word_chars"), F.col("__symbols").alias("n_symbols"),
         F.col("__dup").alias("n_dup_lines"), F.col("__repeat").alias("n_repeat_words"), failed.alias("base_failed"),
         score.alias("score"), (~failed & (score >= threshold)).alias("kept"),
