@@ -19,6 +19,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from leadloom.llm.shared import fresh_prefix
+
 CHUNK_PATTERN = r"[^.!?]{0,11}[.!?]+ ?|[^.!?]{1,12}"
 CELLS = 4096
 #: Rows of a bucket, and the most buckets (the size of a broadcast table of their first ids).
@@ -28,21 +30,18 @@ MAX_BUCKETS = 100_000
 
 def with_tree(df: DataFrame, text_col: str, out_col: str) -> DataFrame:
     """``df`` with a struct ``out_col``: root, sections, paragraphs (digests) and leaves (array<bigint>)."""
-    names = [c for c in df.columns if c != out_col]
-    lines = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")
-    df = df.select(*df.columns, lines.alias("__lines"))
-    df = df.select(*names, F.transform("__lines", lambda p: F.substring(F.sha2(p, 256), 1, 32)).alias("__par"), F.flatten(F.transform(
-        "__lines", lambda p: F.transform(F.regexp_extract_all(p, F.lit(CHUNK_PATTERN), F.lit(0)), lambda c: F.xxhash64(c)))).alias("__leaves"))
-    par = F.col("__par")
-    ends = F.filter(F.sequence(F.lit(1), F.size(par)), lambda i: F.get(par, i - 1).substr(1, 1).isin("0", "8") | (i == F.size(par)))
-    df = df.select("*", ends.alias("__ends"))
-    e = F.col("__ends")
-    sections = F.transform(e, lambda end, k: F.sha2(F.array_join(F.slice(
-        par, F.coalesce(F.get(e, k - 1), F.lit(0)) + 1, end - F.coalesce(F.get(e, k - 1), F.lit(0))), ""), 256))
-    df = df.select(*names, "__par", "__leaves", sections.alias("__sections"))
+    names = [c for c in df.columns if c.lower() != out_col.lower()]
+    q = fresh_prefix(df)
+    lines, par, leaves, ends, sections = (f"{q}{x}" for x in ("lines", "par", "leaves", "ends", "sections"))
+    df = df.select("*", F.split(F.coalesce(F.col(text_col), F.lit("")), "\n").alias(lines))
+    df = df.select(*names, F.transform(lines, lambda p: F.substring(F.sha2(p, 256), 1, 32)).alias(par), F.flatten(F.transform(
+        lines, lambda p: F.transform(F.regexp_extract_all(p, F.lit(CHUNK_PATTERN), F.lit(0)), lambda c: F.xxhash64(c)))).alias(leaves))
+    p, e = F.col(par), F.col(ends)
+    df = df.select("*", F.filter(F.sequence(F.lit(1), F.size(p)), lambda i: F.get(p, i - 1).substr(1, 1).isin("0", "8") | (i == F.size(p))).alias(ends))
+    df = df.select(*names, par, leaves, F.transform(e, lambda end, k: F.sha2(F.array_join(F.slice(
+        p, F.coalesce(F.get(e, k - 1), F.lit(0)) + 1, end - F.coalesce(F.get(e, k - 1), F.lit(0))), ""), 256)).alias(sections))
     return df.select(*names, F.struct(
-        F.sha2(F.array_join("__sections", ""), 256).alias("root"), F.col("__sections").alias("sections"),
-        par.alias("paragraphs"), F.col("__leaves").alias("leaves")).alias(out_col))
+        F.sha2(F.array_join(sections, ""), 256).alias("root"), F.col(sections).alias("sections"), p.alias("paragraphs"), F.col(leaves).alias("leaves")).alias(out_col))
 
 
 def _same_from_start(a: Column, b: Column) -> Column:

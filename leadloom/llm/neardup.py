@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from leadloom.llm.components import components
 from leadloom.llm.hashing import SYMBOLS, constants, mix, shingles_of, span_hashes, word_bounds
-from leadloom.llm.shared import groups_of, small_keys, written
+from leadloom.llm.shared import fresh_prefix, groups_of, small_keys, written
 
 WORDS = 5
 PERCENT = 85
@@ -241,11 +241,13 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     id one stays; rows without id or without words all stay.
     """
     found = written(near_duplicates(docs, id_col=id_col, text_col=text_col), "groups")
-    dropped = found.where(~F.col("kept")).select(F.col(id_col).alias("__dropped")).distinct()
-    left = docs.join(small_keys(dropped), F.col(id_col).cast("long") == F.col("__dropped"), "left_anti")
+    q = fresh_prefix(docs)
+    drop, more = f"{q}dropped", f"{q}again"
+    own = F.col(id_col).cast("long")
+    dropped = found.where(~F.col("kept")).select(F.col(id_col).alias(drop)).distinct()
+    left = docs.join(small_keys(dropped), own == F.col(drop), "left_anti")
     repeated = found.where("kept and n_shingles > 0").groupBy(id_col).agg(F.count("*").alias("n")).where("n > 1")
     if repeated.isEmpty():
         return left
-    again = small_keys(repeated.select(F.col(id_col).alias("__again")))
-    same = F.col(id_col).cast("long") == F.col("__again")
-    return left.join(again, same, "left_anti").unionByName(left.join(again, same, "left_semi").dropDuplicates([id_col]))
+    again = small_keys(repeated.select(F.col(id_col).alias(more)))
+    return left.join(again, own == F.col(more), "left_anti").unionByName(left.join(again, own == F.col(more), "left_semi").dropDuplicates([id_col]))

@@ -18,6 +18,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from leadloom.llm.shared import fresh_prefix
+
 ROUNDS = 8
 KINDS = ["email", "iban", "ip", "date", "ssn", "phone", "card", "secret"]
 # Candidate patterns by kind, in the order in which they are tried.
@@ -200,12 +202,13 @@ def pseudonym(m: Column, kind: Column, key: str) -> Column:
 
 def pseudonymise(docs: DataFrame, key: str, *, text_col: str = "text", out_col: str = "pii") -> DataFrame:
     """``docs`` with pseudonyms in ``text_col`` and a struct ``out_col`` with the number of values of each kind."""
-    names = [c for c in docs.columns if c != out_col]
+    names = [c for c in docs.columns if c.lower() != out_col.lower()]
+    mine = fresh_prefix(docs) + "found"
     text = F.col(text_col)
     some = text.rlike("[0-9@]")
     found = F.when(some, F.transform(F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)), lambda m: F.struct(m.alias("m"), _kind(m).alias("kind"))))
-    df = docs.select(*names, found.alias("__found"))
-    found = F.col("__found")
+    df = docs.select(*names, found.alias(mine))
+    found = F.col(mine)
     between = F.split(text, CANDIDATE, -1)
     pairs = F.zip_with(between, found, lambda rest, f: F.concat(rest, F.coalesce(pseudonym(f["m"], f["kind"], key), F.lit(""))))
     masked = F.when(F.size(F.filter(found, lambda f: f["kind"].isNotNull())) > 0, F.array_join(pairs, "")).otherwise(text)

@@ -31,6 +31,15 @@ def let_workers_import(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([REPO_ROOT, *paths])
 
 
+def fresh_prefix(*frames: DataFrame) -> str:
+    """A prefix that no column of the frames has, for columns of an operator's own."""
+    names = [c.lower() for f in frames for c in f.columns]
+    prefix = "__"
+    while any(c.startswith(prefix) for c in names):
+        prefix += "_"
+    return prefix
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A folder that driver and executors share: ``spark.checkpoint.dir``, or a local one where it is unset (tests)."""
     base = spark.conf.get("spark.checkpoint.dir", None)
