@@ -32,8 +32,8 @@ from leadloom.llm.shared import written
 CAPACITY = 2048
 CLOSING_ID = 0
 #: Chunks in a generation of the cache, and characters that are tokenised together.
-GENERATION = 300_000
-BATCH_CHARS = 2_000_000
+GENERATION = 150_000
+BATCH_CHARS = 1_000_000
 #: Pieces that share a salt, about.
 SALT_ROWS = 2_000_000
 MIN_SALTS = 16

@@ -23,12 +23,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows and bytes of a batch between the JVM and a Python worker: long texts make large rows, held twice on either side.
+BATCH_ROWS, BATCH_BYTES = 1000, 8_000_000
+#: Large blocks go back to the system when freed, so a worker that is used again stays small.
+WORKER_ENV = {"MALLOC_MMAP_THRESHOLD_": "262144", "MALLOC_TRIM_THRESHOLD_": "1048576", "MALLOC_ARENA_MAX": "2"}
+
+
 def let_workers_import(spark: SparkSession) -> None:
-    """Put the repository on the Python path of the executors' workers."""
+    """Put the repository on the Python path of the executors' workers, and keep their batches and memory small."""
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if REPO_ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([REPO_ROOT, *paths])
+    for name, value in WORKER_ENV.items():
+        env.setdefault(name, value)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def fresh_prefix(*frames: DataFrame) -> str:
