@@ -431,6 +431,7 @@ def test_near_duplicates_brute_force(spark, monkeypatch, block):
     assert {k: r["component_id"] for k, r in got.items()} == label
     assert {k: r["n_shingles"] for k, r in got.items()} == {k: len(s) for k, s in sets.items()}
     assert all(r["kept"] == (label[k] == k) for k, r in got.items())
+    _, label = brute_components(texts, percent=80)
     assert sorted(r["doc_id"] for r in neardup.deduplicate(df).collect()) == sorted(k for k in texts if label[k] == k)
 
 
