@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from leadloom.functions import people
+from leadloom.functions.text import is_blank
+
 
 def verification_state(first: Column, second: Column, second_on: tuple[str, ...] = ()) -> Column:
     """sendable, risky, dropped or unverified from two verifiers' results (null: not asked).
@@ -68,3 +71,47 @@ def greedy_distinct(df: DataFrame, order: list[Column], keys: list[str], group:
         return pdf.loc[keep, names]
 
     return sortable.groupBy(group).applyInPandas(survivors, df.schema)
+
+
+def seeded_candidates(persons: DataFrame, seeds: DataFrame, person_id: str) -> DataFrame:
+    """(person, form, email): addresses of the forms that verified addresses of the same domain follow, never a guess.
+
+    ``persons`` has domain, first_name and last_name, ``seeds`` the same and email. A domain without a seed, or whose
+    seeds follow no form, gives nothing; addresses that are seeds themselves are left out. Forms of a domain are at most
+    eleven, so the join cannot multiply rows by a domain's size.
+    """
+    local = F.substring_index(F.lower("email"), "@", 1)
+    known = seeds.withColumn("domain", F.lower("domain")).where(~is_blank(F.col("domain")))
+    forms = known.select("domain", people.detect_form(local, F.col("first_name"), F.col("last_name")).alias("form")).where("form is not null").distinct()
+    made = persons.withColumn("domain", F.lower("domain")).join(forms, "domain")
+    made = made.select(person_id, "form", F.concat_ws("@", people.local_forms(F.col("first_name"), F.col("last_name"))[F.col("form")], "domain").alias("email"))
+    taken = known.select(F.lower("email").alias("email")).distinct()
+    return made.where("email like '_%@_%'").join(taken, "email", "left_anti").select(person_id, "form", "email")
+
+
+def adjudicate(df: DataFrame, *, tier: str = "tier", verdict: str = "verdict", bucket: str = "bucket", brand: str = "brand_family",
+               own_verdict: str | None = None, side_bucket: str | None = None, worth: float = 0.05) -> DataFrame:
+    """``df`` with drop_reason (null: kept), qa_flags (array) and aside (kept, but for a list of its own).
+
+    Tiers A to C: no drops but for a no (a missing verdict is flagged, an unclear one too). Tier D: unsampled rows are
+    dropped with the rate of yes among sampled rows (one aggregate, of ``own_verdict``: verdicts not taken over from
+    others), and the reason says whether the tier is worth a full reading (``worth``). A no for ``side_bucket`` goes
+    aside. An unclear row with a brand is never dropped.
+    """
+    own = F.nullif(F.trim(F.coalesce(F.col(own_verdict or verdict), F.lit(""))), F.lit(""))
+    rate = df.where((F.col(tier) == "D") & own.isNotNull()).agg(F.avg((own == "yes").cast("double")).alias("rate"), F.count("*").alias("n")).first()
+    share, sampled = rate["rate"] or 0.0, rate["n"]
+    v, t = F.coalesce(F.trim(F.col(verdict)), F.lit("")), F.coalesce(F.col(tier), F.lit(""))
+    early = t.isin("A", "B", "C")
+    aside = (v == "no") & (F.col(bucket) == side_bucket) if side_bucket else F.lit(False)
+    aside = F.coalesce(aside, F.lit(False))
+    said_no = F.concat(F.lit("adjudicated_no:"), F.when(is_blank(F.col(bucket)), "unknown").otherwise(F.col(bucket)))
+    unread = ("tier_d_unadjudicated" if sampled and share >= worth else "tier_d_unsampled") + f":sample_yes_rate={100 * share:.1f}%"
+    reason = (F.when(~early & (t != "D"), F.concat(F.lit("unknown_tier:"), t)).when(aside, F.lit(None)).when(v == "no", said_no)
+              .when((t == "D") & ~v.isin("yes", "unclear"), F.lit(unread)).when(early & ~v.isin("", "yes", "unclear"), said_no))
+    branded = (v == "unclear") & ~is_blank(F.col(brand))
+    flags = F.array_compact(F.array(
+        F.when(early & (v == ""), "missing_verdict"), F.when((early | (t == "D")) & (v == "unclear"), "icp_unclear"), F.when((t == "D") & (v == "yes"), "tier_d_sampled_yes"),
+        F.when((t == "D") & (v == "unclear"), "tier_d_sampled_unclear"), F.when((t == "D") & aside, "tier_d_sampled_aside"),
+        F.when(branded & reason.isNotNull(), F.concat(F.lit("brand_unclear_kept:"), F.substring_index(reason, ":", 1)))))
+    return df.withColumns({"drop_reason": F.when(~branded, reason), "qa_flags": flags, "aside": aside & (early | (t == "D"))})

@@ -52,6 +52,19 @@ def claim_once(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]], l
     return won.select(F.col("m.__l").alias(left_order), F.col("__r").alias(right_id), F.col("m.__basis").alias("basis"))
 
 
+def candidate_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: str, tokens: str, *, most_common: int = 10_000) -> DataFrame:
+    """(left_id, right_id) of the rows that share a token that at most ``most_common`` right rows have, or the left row's
+    rarest one: the pairs that a matcher has to look at."""
+    lt = left.select(F.col(left_id).alias("l"), F.array_distinct(tokens).alias("lt"))
+    rt = right.select(F.col(right_id).alias("r"), F.array_distinct(tokens).alias("rt"))
+    index = rt.select("r", F.explode("rt").alias("t"))
+    df = index.groupBy("t").agg(F.count("*").alias("df"))
+    probes = lt.select("l", F.explode("lt").alias("t")).join(df, "t")
+    rarest = F.min(F.struct("df", "t")).over(Window.partitionBy("l"))
+    probes = probes.withColumn("m", rarest).where((F.col("df") <= most_common) | (F.col("t") == F.col("m.t"))).select("l", "t")
+    return probes.join(index, "t").select(F.col("l").alias(left_id), F.col("r").alias(right_id)).distinct()
+
+
 def token_matches(left: DataFrame, right: DataFrame, left_id: str, right_id: str, tokens: str, *, least: float = 0.6,
                   of_larger: bool = True, most_common: int = 10_000) -> DataFrame:
     """Best right row for each left row by shared tokens (token-blocked: only rows with a common token are compared).
@@ -61,12 +74,7 @@ def token_matches(left: DataFrame, right: DataFrame, left_id: str, right_id: str
     """
     lt = left.select(F.col(left_id).alias("l"), F.array_distinct(tokens).alias("lt"))
     rt = right.select(F.col(right_id).alias("r"), F.array_distinct(tokens).alias("rt"))
-    index = rt.select("r", F.explode("rt").alias("t"))
-    df = index.groupBy("t").agg(F.count("*").alias("df"))
-    probes = lt.select("l", F.explode("lt").alias("t")).join(df, "t")
-    rarest = F.min(F.struct("df", "t")).over(Window.partitionBy("l"))
-    probes = probes.withColumn("m", rarest).where((F.col("df") <= most_common) | (F.col("t") == F.col("m.t"))).select("l", "t")
-    pairs = probes.join(index, "t").select("l", "r").distinct().join(lt, "l").join(rt, "r")
+    pairs = candidate_pairs(left, right, left_id, right_id, tokens, most_common=most_common).select(F.col(left_id).alias("l"), F.col(right_id).alias("r")).join(lt, "l").join(rt, "r")
     n = F.greatest(F.size("lt"), F.size("rt")) if of_larger else F.least(F.size("lt"), F.size("rt"))
     scored = pairs.withColumn("overlap", F.round(F.size(F.array_intersect("lt", "rt")) / n, 6)).where(F.col("overlap") >= least)
     best = scored.groupBy("l").agg(F.max(F.struct("overlap", (-F.col("r")).alias("nr"))).alias("m"))

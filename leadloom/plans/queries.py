@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from leadloom.functions import geo, text
-from leadloom.operators import cascade, delta, graph, joins, merge, ranking, reports, rules
+from leadloom.functions import geo, pages, people, text
+from leadloom.operators import cascade, cover, delta, graph, joins, merge, ranking, registry, reports, rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -398,6 +398,60 @@ def round_robin_shards(spark, sf_dir):
     return ranking.round_robin(table(spark, sf_dir, "customer").select("c_custkey"), ["c_custkey"], 8)
 
 
+_PERSON_SQL = "select c_custkey, 'ann' || chr(97 + (c_custkey % 26)::int) as f, 'bell' || chr(97 + (c_custkey % 7)::int) as l, 'd' || c_nationkey || '.com' as domain from customer"
+
+
+@query(f"""
+with p as ({_PERSON_SQL}), s as (select distinct domain, case c_custkey % 3 when 0 then 'flast' when 1 then 'first.last' else 'last' end as form,
+  case c_custkey % 3 when 0 then f[1] || l when 1 then f || '.' || l else l end || '@' || domain as email from p where c_custkey % 50 = 0)
+select distinct c_custkey, form, case form when 'flast' then f[1] || l when 'first.last' then f || '.' || l else l end || '@' || p.domain as email from p join (select distinct domain, form from s) s on p.domain = s.domain
+where case form when 'flast' then f[1] || l when 'first.last' then f || '.' || l else l end || '@' || p.domain not in (select email from s)
+""")
+def seeded_rung(spark, sf_dir):
+    c = F.col("c_custkey")
+    p = table(spark, sf_dir, "customer").select(c, F.concat(F.lit("ann"), F.char(97 + c % 26)).alias("first_name"), F.concat(F.lit("bell"), F.char(97 + c % 7)).alias("last_name"), F.concat(F.lit("d"), "c_nationkey", F.lit(".com")).alias("domain"))
+    forms = people.local_forms(F.col("first_name"), F.col("last_name"))
+    form = F.when(c % 3 == 0, "flast").when(c % 3 == 1, "first.last").otherwise("last")
+    seeds = p.where(c % 50 == 0).select("domain", "first_name", "last_name", F.concat_ws("@", forms[form], "domain").alias("email"))
+    return cascade.seeded_candidates(p, seeds, "c_custkey")
+
+
+@query("""
+with c as (select c_custkey, case c_nationkey % 5 when 0 then 'A' when 1 then 'B' when 2 then 'D' when 3 then 'D' else 'Z' end as tier,
+  case c_custkey % 4 when 0 then 'yes' when 1 then 'no' when 2 then 'unclear' else '' end as v, lower(c_mktsegment) as b, case when c_custkey % 3 = 0 then 'brand' else '' end as brand from customer),
+d as (select avg((v = 'yes')::int) as r from c where tier = 'D' and v <> ''),
+x as (select *, case when tier = 'Z' then 'unknown_tier:Z' when v = 'no' and b = 'building' then null when v = 'no' then 'adjudicated_no:' || b
+  when tier = 'D' and v = '' then case when r >= 0.05 then 'tier_d_unadjudicated' else 'tier_d_unsampled' end || ':sample_yes_rate=' || printf('%.1f', 100 * r) || '%' end as reason from c, d)
+select c_custkey, case when v = 'unclear' and brand <> '' then null else reason end as drop_reason, v = 'no' and b = 'building' and tier <> 'Z' as aside from x
+""")
+def adjudicate_rules(spark, sf_dir):
+    k, n = F.col("c_custkey"), F.col("c_nationkey") % 5
+    tier = F.when(n == 0, "A").when(n == 1, "B").when(n.isin(2, 3), "D").otherwise("Z")
+    verdict = F.when(k % 4 == 0, "yes").when(k % 4 == 1, "no").when(k % 4 == 2, "unclear").otherwise("")
+    c = table(spark, sf_dir, "customer").select(k, tier.alias("tier"), verdict.alias("verdict"), F.lower("c_mktsegment").alias("bucket"), F.when(k % 3 == 0, "brand").otherwise("").alias("brand_family"))
+    return cascade.adjudicate(c, side_bucket="building").select("c_custkey", "drop_reason", "aside")
+
+
+@query()
+def min_separation(spark, sf_dir):
+    return cover.minimum_separation(_points(spark, sf_dir), "c_custkey", 600.0)
+
+
+@query()
+def registry_best_match(spark, sf_dir):
+    p = table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("name"), F.split(F.lower("p_name"), " ").alias("tokens"))
+    lead, cand = p.where("p_partkey % 2 = 0").withColumnRenamed("p_partkey", "lead"), p.where("p_partkey % 2 = 1").withColumnRenamed("p_partkey", "cand")
+    pairs = joins.candidate_pairs(lead, cand, "lead", "cand", "tokens").join(lead.select("lead", "name"), "lead").join(cand.select("cand", F.col("name").alias("title")), "cand")
+    blank = {c: F.lit("") for c in ("full_address", "city", "address_snippet", "office_town")}
+    best = registry.best_registry_match(pairs.withColumns(blank).withColumn("company_status", F.lit("active")), "lead", "cand", "cand", least=0.6)
+    return best.select("lead", "cand", F.col("evidence.overlap").alias("overlap"), registry.registry_basis(F.col("evidence"))["basis"].alias("basis"))
+
+
+@query()
+def social_profiles(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", F.explode(pages.social_profiles(F.col("html"))).alias("network", "urls"))
+
+
 # --- reports ---------------------------------------------------------------------------------------------------------------
 
 @query("select o_orderstatus, count(*) as n, round(count(*) / (select count(*) from orders), 6) as share from orders group by o_orderstatus")
