@@ -1,21 +1,27 @@
 """License scans: normalised text compared with license templates by the Dice coefficient over word bigrams.
 
-A text's lines are normalised to lower-case words and compared with every template whose size allows the coefficient to
-reach the threshold: with t the threshold and b the template's number of bigrams, only windows of t / (2 - t) * b to
-(2 - t) / t * b bigrams can. A window is one line, or a run of lines that begins at a line sharing bigrams with the
-template, for license texts that are wrapped. Only the best template of a window is reported, and of overlapping windows
-the best one.
-
-Scale: each text is scanned within its row, linear in its words; the templates are part of the code.
-
-Edge cases: null, empty and wordless texts have no match; ties go to the template that comes first by name and then to
-the earlier window; repeated rows are reported each; an empty table gives an empty result; extra columns are ignored.
+A text is normalised to its lower-case words, and every window of words, within a line or over many, is compared with
+every template. A window that is reported begins and ends with bigrams of the template that it has once: any other can be
+cut shorter without a loss in its coefficient. So only such windows are made: from each bigram of the template to the
+right, counts kept as the window grows, until the bigram comes again or more words are foreign than the threshold allows.
+Of overlapping windows the one with the best coefficient is reported.
+
+Scale: each text is scanned within its row; the templates are part of the code. A template is tried only if the text has
+as many of its bigrams as the threshold needs; windows that begin with the same bigram do not overlap, so a template's
+scan takes at most the words of the text times the template's bigrams.
+
+Edge cases: null, empty and wordless texts have no match; ties go to the template that comes first by name, then to the
+shorter and then to the earlier window; repeated rows are reported each; an empty table gives an empty result; extra
+columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -105,32 +111,46 @@ class Templates:
         for k, (_, grams) in enumerate(self.all):
             for g in grams:
                 self.known.setdefault(g, []).append(k)
-        low, high = threshold / (2 - threshold), (2 - threshold) / threshold
-        self.bounds = [(low * len(grams), high * len(grams)) for _, grams in self.all]
+        # a window needs so many of the template's bigrams, even if it has no others
+        self.least = [next((c for c in range(1, len(grams) + 1) if 2 * c / (c + len(grams)) >= threshold), len(grams) + 1) for _, grams in self.all]
+
+    def windows(self, words: list[str], starts: list[int], k: int) -> Iterator[tuple[int, int, float]]:
+        """(first word, last word, coefficient) of the windows near template k that cannot be cut shorter."""
+        grams, size, end = self.all[k][1], len(self.all[k][1]), starts[-1]
+        for i in starts:
+            first, ours, foreign = (words[i], words[i + 1]), set(), set()
+            for j in range(i, end + 1):
+                g = words[j], words[j + 1]
+                if g in grams:
+                    if g not in ours:
+                        ours.add(g)
+                        if (d := 2 * len(ours) / (len(ours) + len(foreign) + size)) >= self.threshold:
+                            yield i, j + 1, d
+                    elif g == first:
+                        break
+                elif g not in foreign:
+                    foreign.add(g)
+                    if 2 * size / (2 * size + len(foreign)) < self.threshold:
+                        break
 
     def scan(self, text: str) -> list[Match]:
         """(first line, last line, license, coefficient) of the matches, lines counted from 0."""
-        lines = [normalised(x) for x in text.split("\n")]
-        found: list[Match] = []
-        for i, words in enumerate(lines):
-            near = bigrams(words) & self.known.keys() if len(words) > 1 else None
-            if near:
-                for k in sorted({k for g in near for k in self.known[g]}):
-                    name, grams = self.all[k]
-                    low, high = self.bounds[k]
-                    window: list[str] = []
-                    for j in range(i, len(lines)):
-                        window = window + lines[j]
-                        mine = bigrams(window)
-                        if len(mine) > high:
-                            break
-                        if lines[j] and len(mine) >= low and (d := dice(mine, grams)) >= self.threshold:
-                            found.append((i, j, name, d))
-        chosen: list[Match] = []
-        for m in sorted(found, key=lambda m: (-m[3], m[2], m[0], m[1])):
-            if all(m[1] < c[0] or m[0] > c[1] for c in chosen):
-                chosen.append(m)
-        return sorted(chosen)
+        words = normalised(text)
+        near = [(i, g) for i, g in enumerate(zip(words, words[1:])) if g in self.known]
+        shared = Counter(k for g in {g for _, g in near} for k in self.known[g])
+        found = []
+        for k in sorted(k for k, n in shared.items() if n >= self.least[k]):
+            name, grams = self.all[k]
+            found += [(-d, name, j - i, i) for i, j, d in self.windows(words, [i for i, g in near if g in grams], k)]
+        if not found:
+            return []
+        taken, chosen = bytearray(len(words)), []
+        for d, name, more, i in sorted(found):
+            if taken.find(1, i, i + more + 1) < 0:
+                taken[i: i + more + 1] = b"\1" * (more + 1)
+                chosen.append((i, i + more, name, -d))
+        ends = list(accumulate(len(normalised(line)) for line in text.split("\n")))  # words up to each line's end
+        return [(bisect_right(ends, i), bisect_right(ends, j), name, d) for i, j, name, d in sorted(chosen)]
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, *, threshold: float = THRESHOLD,

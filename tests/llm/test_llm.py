@@ -276,6 +276,41 @@ def test_licenses_wrapped_and_edges(spark, odd, empty):
     assert licenses.scan_licenses(odd, id_col="doc_id").count() == 0 and licenses.scan_licenses(empty).count() == 0
 
 
+def all_word_windows(text, templates):
+    """Every window of words against every template; of overlapping windows the best."""
+    words = licenses.normalised(text)
+    lines = [k for k, line in enumerate(text.split("\n")) for _ in licenses.normalised(line)]
+    found = []
+    for name, known in ((n, licenses.bigrams(licenses.normalised(t))) for n, ts in templates.items() for t in ts):
+        for i in range(len(words)):
+            for j in range(i + 2, len(words) + 1):
+                if (d := licenses.dice(licenses.bigrams(words[i:j]), known)) >= licenses.THRESHOLD:
+                    found.append((-d, name, j - i, i))
+    chosen = []
+    for d, name, n, i in sorted(found):
+        if all(i + n <= c[0] or i >= c[0] + c[1] for c in chosen):
+            chosen.append((i, n, name, -d))
+    return [(lines[i], lines[i + n - 1], name, d) for i, n, name, d in sorted(chosen)]
+
+
+def test_licenses_all_word_windows():
+    templates = {"B": ["a b c d e", "a b"], "A": ["a b c"], "C": ["c d a b c d d e e a"]}
+    ready, rng, n = licenses.Templates(templates), random.Random(4), 0
+    for _ in range(400):
+        text = "".join(rng.choice("aabbccddexy") + rng.choice(["  ", " ", " ", ".", "\n", "\n\n"]) for _ in range(rng.randrange(40)))
+        assert ready.scan(text) == all_word_windows(text, templates), text
+        n += len(ready.scan(text))
+    assert n > 200
+
+
+def test_licenses_inside_lines():
+    ready, mit = licenses.Templates(), licenses.TEMPLATES["MIT"][1]
+    assert ready.scan("Copyright 2020 Foo Inc. All rights reserved.") == [(0, 0, "All-Rights-Reserved", 1.0)]
+    assert ready.scan("x\nSome prose. Released under the MIT License. More prose.") == [(1, 1, "MIT", 1.0)]
+    assert ready.scan(f"{sentence(200, 3)} {mit} {sentence(200, 4)} All rights reserved. {sentence(9, 5)}") == [(0, 0, "MIT", 1.0), (0, 0, "All-Rights-Reserved", 1.0)]
+    assert ready.scan("Some prose. Released under\nthe MIT License. More prose.") == [(0, 1, "MIT", 1.0)]
+
+
 # --- packing --------------------------------------------------------------------------------------------------------------------
 
 def check_packing(rows, capacity):
