@@ -10,9 +10,9 @@ Scale: each text is scanned within its row; the templates are part of the code.
 as many of its bigrams as the threshold needs; windows that begin with the same bigram do not overlap, so a template's
 scan takes at most the words of the text times the template's bigrams.
 
-Edge cases: null, empty and wordless texts have no match; ties go to the template that comes first by name, then to the
-shorter and then to the earlier window; repeated rows are reported each; an empty table gives an empty result; extra
-columns are ignored.
+Edge cases: null, empty and wordless texts have no match; ties go to the larger template (a licence that contains another's
+whole text), then to the first by name, to the shorter and to the earlier window; repeated rows are reported each; an
+empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -141,11 +141,11 @@ class Templates:
         found = []
         for k in sorted(k for k, n in shared.items() if n >= self.least[k]):
             name, grams = self.all[k]
-            found += [(-d, name, j - i, i) for i, j, d in self.windows(words, [i for i, g in near if g in grams], k)]
+            found += [(-d, -len(grams), name, j - i, i) for i, j, d in self.windows(words, [i for i, g in near if g in grams], k)]
         if not found:
             return []
         taken, chosen = bytearray(len(words)), []
-        for d, name, more, i in sorted(found):
+        for d, _, name, more, i in sorted(found):
             if taken.find(1, i, i + more + 1) < 0:
                 taken[i: i + more + 1] = b"\1" * (more + 1)
                 chosen.append((i, i + more, name, -d))

@@ -285,9 +285,9 @@ def all_word_windows(text, templates):
         for i in range(len(words)):
             for j in range(i + 2, len(words) + 1):
                 if (d := licenses.dice(licenses.bigrams(words[i:j]), known)) >= licenses.THRESHOLD:
-                    found.append((-d, name, j - i, i))
+                    found.append((-d, -len(known), name, j - i, i))
     chosen = []
-    for d, name, n, i in sorted(found):
+    for d, _, name, n, i in sorted(found):
         if all(i + n <= c[0] or i >= c[0] + c[1] for c in chosen):
             chosen.append((i, n, name, -d))
     return [(lines[i], lines[i + n - 1], name, d) for i, n, name, d in sorted(chosen)]
@@ -311,6 +311,14 @@ def test_licenses_inside_lines():
     assert ready.scan("Some prose. Released under\nthe MIT License. More prose.") == [(0, 1, "MIT", 1.0)]
 
 
+def test_licenses_larger_template_wins_ties():
+    ready, bsd = licenses.Templates(), {k: licenses.TEMPLATES[f"BSD-{k}-Clause"][1] for k in (2, 3)}
+    wrapped = bsd[3].replace(" 1. ", "\n1. ").replace(" 2. ", "\n2. ").replace(" 3. ", "\n3. ")
+    assert ready.scan(wrapped) == [(0, 3, "BSD-3-Clause", 1.0)] and ready.scan(f"x y\n{bsd[3]}\nz") == [(1, 1, "BSD-3-Clause", 1.0)]
+    assert ready.scan(f"x y\n{bsd[2]}\nz") == [(1, 1, "BSD-2-Clause", 1.0)]
+    assert ready.scan("Released under the MIT License." + "\nfoo" * 300_000 + "\n" * 300_000 + "under") == [(0, 0, "MIT", 1.0)]  # ends, in linear time
+
+
 # --- packing --------------------------------------------------------------------------------------------------------------------
 
 def check_packing(rows, capacity):
