@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from leadloom.functions.text import is_blank
 from leadloom.operators.merge import best_per_key
@@ -52,30 +52,51 @@ def claim_once(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]], l
     return won.select(F.col("m.__l").alias(left_order), F.col("__r").alias(right_id), F.col("m.__basis").alias("basis"))
 
 
-def candidate_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: str, tokens: str, *, most_common: int = 10_000) -> DataFrame:
-    """(left_id, right_id) of the rows that share a token that at most ``most_common`` right rows have, or the left row's
-    rarest one: the pairs that a matcher has to look at."""
-    lt = left.select(F.col(left_id).alias("l"), F.array_distinct(tokens).alias("lt"))
-    rt = right.select(F.col(right_id).alias("r"), F.array_distinct(tokens).alias("rt"))
-    index = rt.select("r", F.explode("rt").alias("t"))
-    df = index.groupBy("t").agg(F.count("*").alias("df"))
-    probes = lt.select("l", F.explode("lt").alias("t")).join(df, "t")
-    rarest = F.min(F.struct("df", "t")).over(Window.partitionBy("l"))
-    probes = probes.withColumn("m", rarest).where((F.col("df") <= most_common) | (F.col("t") == F.col("m.t"))).select("l", "t")
-    return probes.join(index, "t").select(F.col("l").alias(left_id), F.col("r").alias(right_id)).distinct()
+def _token_sets(df: DataFrame, tokens: str, name: str) -> DataFrame:
+    """``df`` with the sorted distinct tokens of each row; nulls are no tokens, rows without tokens are left out."""
+    return df.withColumn(name, F.array_sort(F.array_compact(F.array_distinct(tokens)))).where(F.size(name) > 0)
+
+
+def _similar_sets(left: DataFrame, right: DataFrame, least: float, of_larger: bool) -> DataFrame:
+    """(lt, rt, overlap) of the sets ``lt`` of the left and ``rt`` of the right that share a token and ``least`` of theirs.
+
+    Exact prefix filter: with a set's tokens from rare to common, two sets that have to share k tokens share one of the
+    first n - k + 1 of each. Overlaps are rounded to 6 digits, so k is taken from a little less than ``least``.
+    """
+    must = lambda n: F.greatest(F.lit(1), F.ceil(F.lit(least - 1e-6) * n)).cast("int")
+    df = right.select(F.explode("rt").alias("t")).groupBy("t").agg(F.count("*").alias("df"))
+
+    def rare_first(sets: DataFrame, name: str) -> DataFrame:
+        each = sets.select(name, F.explode(name).alias("t")).join(df, "t", "left").groupBy(name)
+        each = each.agg(F.transform(F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "t"))), lambda x: x["t"]).alias("o"))
+        # against a smaller set fewer common tokens can do, so only the larger set's share bounds the tokens by themselves
+        first = F.slice("o", F.lit(1), F.size("o") - must(F.size("o")) + 1) if of_larger else F.col("o")
+        return each.select(name, F.posexplode(first).alias(f"{name}_at", "t"))
+
+    pairs = rare_first(left, "lt").join(rare_first(right, "rt"), "t")
+    n = F.greatest(F.size("lt"), F.size("rt")) if of_larger else F.least(F.size("lt"), F.size("rt"))
+    pairs = pairs.where((F.col("lt_at") <= F.size("lt") - must(n)) & (F.col("rt_at") <= F.size("rt") - must(n)))
+    pairs = pairs.select("lt", "rt", F.round(F.size(F.array_intersect("lt", "rt")) / n, 6).alias("overlap"))
+    return pairs.where(F.col("overlap") >= least).distinct()
+
+
+def candidate_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: str, tokens: str, *, least: float = 0.0, of_larger: bool = True) -> DataFrame:
+    """(left_id, right_id) of all rows that share a token and at least ``least`` of the tokens of the larger (or smaller)
+    set: the pairs that a matcher has to look at. Sets that many rows have are compared once."""
+    lt = _token_sets(left, tokens, "lt").select(F.col(left_id).alias("l"), "lt")
+    rt = _token_sets(right, tokens, "rt").select(F.col(right_id).alias("r"), "rt")
+    pairs = _similar_sets(lt.select("lt").distinct(), rt.select("rt").distinct(), least, of_larger)
+    return pairs.join(lt, "lt").join(rt, "rt").select(F.col("l").alias(left_id), F.col("r").alias(right_id)).distinct()
 
 
 def token_matches(left: DataFrame, right: DataFrame, left_id: str, right_id: str, tokens: str, *, least: float = 0.6,
-                  of_larger: bool = True, most_common: int = 10_000) -> DataFrame:
+                  of_larger: bool = True, most_common: int | None = None) -> DataFrame:
     """Best right row for each left row by shared tokens (token-blocked: only rows with a common token are compared).
 
-    Tokens that more than ``most_common`` right rows have do not block alone, but count in the overlap; a left row whose
-    tokens are all that common is compared by its rarest one. Ties go to the smaller right id.
+    Exact however common a token is: ``most_common``, once a cap, has no effect. Ties go to the smaller right id.
     """
-    lt = left.select(F.col(left_id).alias("l"), F.array_distinct(tokens).alias("lt"))
-    rt = right.select(F.col(right_id).alias("r"), F.array_distinct(tokens).alias("rt"))
-    pairs = candidate_pairs(left, right, left_id, right_id, tokens, most_common=most_common).select(F.col(left_id).alias("l"), F.col(right_id).alias("r")).join(lt, "l").join(rt, "r")
-    n = F.greatest(F.size("lt"), F.size("rt")) if of_larger else F.least(F.size("lt"), F.size("rt"))
-    scored = pairs.withColumn("overlap", F.round(F.size(F.array_intersect("lt", "rt")) / n, 6)).where(F.col("overlap") >= least)
-    best = scored.groupBy("l").agg(F.max(F.struct("overlap", (-F.col("r")).alias("nr"))).alias("m"))
-    return best.select(F.col("l").alias(left_id), (-F.col("m.nr")).alias(right_id), F.col("m.overlap").alias("overlap"))
+    lt = _token_sets(left, tokens, "lt").select(F.col(left_id).alias("l"), "lt")
+    rt = _token_sets(right, tokens, "rt").groupBy("rt").agg(F.min(right_id).alias("r"))
+    pairs = _similar_sets(lt.select("lt").distinct(), rt.select("rt"), least, of_larger).join(rt, "rt")
+    best = pairs.groupBy("lt").agg(F.min(F.struct((-F.col("overlap")).alias("no"), "r")).alias("m"))
+    return lt.join(best, "lt").select(F.col("l").alias(left_id), F.col("m.r").alias(right_id), (-F.col("m.no")).alias("overlap"))

@@ -1,7 +1,7 @@
 """Registry candidates: one scored winner for each lead, acceptance ladders, demotion and a second pass.
 
 Every function takes *pairs*: one row for each lead and candidate (from ``joins.candidate_pairs`` or a search's results),
-with the candidate's place in ``order``. A lead's candidates meet in one partial aggregation; nothing else is shuffled.
+with the candidate's place in ``order``. Pairs of ``name_tokens`` with the same ``least`` lose no registry match. A lead's candidates meet in one partial aggregation; nothing else is shuffled.
 """
 
 from __future__ import annotations
@@ -21,6 +21,11 @@ def _words(key: Column) -> Column:
     return F.array_distinct(F.filter(F.split(key, " "), lambda w: w != ""))
 
 
+def name_tokens(name: Column) -> Column:
+    """The words by which ``registry_evidence`` compares names."""
+    return _words(company_key(name, REGISTRY_FORMS))
+
+
 def _without(words: Column, stop: list[str]) -> Column:
     return F.array_except(words, F.array(*[F.lit(w) for w in stop]).cast("array<string>"))
 

@@ -439,11 +439,15 @@ def min_separation(spark, sf_dir):
 
 @query()
 def registry_best_match(spark, sf_dir):
-    p = table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("name"), F.split(F.lower("p_name"), " ").alias("tokens"))
-    lead, cand = p.where("p_partkey % 2 = 0").withColumnRenamed("p_partkey", "lead"), p.where("p_partkey % 2 = 1").withColumnRenamed("p_partkey", "cand")
-    pairs = joins.candidate_pairs(lead, cand, "lead", "cand", "tokens").join(lead.select("lead", "name"), "lead").join(cand.select("cand", F.col("name").alias("title")), "cand")
+    p = table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("name"))
+    lead, cand = p.where("p_partkey % 2 = 0").withColumnRenamed("p_partkey", "lead"), p.where("p_partkey % 2 = 1")
+    # only names are compared here: equal names are compared once, and the first candidate of a name is its best
+    names = lead.select("name").distinct().withColumn("tokens", registry.name_tokens(F.col("name")))
+    cand = cand.groupBy(F.col("name").alias("title")).agg(F.min("p_partkey").alias("cand")).withColumn("tokens", registry.name_tokens(F.col("title")))
+    pairs = joins.candidate_pairs(names, cand, "name", "cand", "tokens", least=0.6).join(cand.select("cand", "title"), "cand")
     blank = {c: F.lit("") for c in ("full_address", "city", "address_snippet", "office_town")}
-    best = registry.best_registry_match(pairs.withColumns(blank).withColumn("company_status", F.lit("active")), "lead", "cand", "cand", least=0.6)
+    best = registry.best_registry_match(pairs.withColumns(blank).withColumn("company_status", F.lit("active")), "name", "cand", "cand", least=0.6)
+    best = lead.join(best, "name")
     return best.select("lead", "cand", F.col("evidence.overlap").alias("overlap"), registry.registry_basis(F.col("evidence"))["basis"].alias("basis"))
 
 

@@ -1,5 +1,7 @@
 """The list operators: every registered query against DuckDB, and the semantics that order and blanks bring."""
 
+import random
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -114,6 +116,35 @@ def test_joins_claims_and_tokens(spark):
     assert got == {1: (99, 1.0), 2: (0, 0.5)}
 
 
+def test_token_pairs_lose_nothing(spark):
+    many = [(i, ["a", "b"]) for i in range(10_001)]  # a and b are common, c is rare
+    left = spark.createDataFrame([(1, ["a", "b", "c"])], "id long, t array<string>")
+    right = spark.createDataFrame([*many, (-1, ["a", "b", "d"]), (-2, ["c", "x", "y", "z"])], "rid long, t array<string>")
+    assert [tuple(r) for r in joins.token_matches(left, right, "id", "rid", "t").collect()] == [(1, -1, 0.666667)]
+    assert joins.candidate_pairs(left, right, "id", "rid", "t", least=0.34).count() == 10_002
+    assert joins.candidate_pairs(left, right, "id", "rid", "t").count() == 10_003
+
+
+@pytest.mark.parametrize("of_larger", [True, False])
+def test_token_pairs_equal_brute_force(spark, of_larger):
+    rng = random.Random(6)
+    draw = lambda n: [(i, [rng.choice("aaaabbbcccdefghij") for _ in range(rng.randrange(7))] + [None] * (i % 3)) for i in range(n)]
+    a, b = draw(60), draw(80)
+    left, right = spark.createDataFrame(a, "id long, t array<string>"), spark.createDataFrame(b, "rid long, t array<string>")
+    score = {}
+    for i, x in a:
+        for j, y in b:
+            p, q = set(x) - {None}, set(y) - {None}
+            if p & q:
+                score[i, j] = round(len(p & q) / (max if of_larger else min)(len(p), len(q)), 6)
+    for least in (0.0, 0.34, 0.6, 0.666667, 1.0):
+        want = {k for k, v in score.items() if v >= least}
+        assert {tuple(r) for r in joins.candidate_pairs(left, right, "id", "rid", "t", least=least, of_larger=of_larger).collect()} == want
+        best = {i: max((v, -j) for (k, j), v in score.items() if k == i and (k, j) in want) for i, _ in want}
+        got = joins.token_matches(left, right, "id", "rid", "t", least=least, of_larger=of_larger).collect()
+        assert {r["id"]: (r["overlap"], -r["rid"]) for r in got} == best
+
+
 def test_upsert_and_memory(spark):
     old = spark.createDataFrame([(1, "r1", "a"), (2, "r1", "b")], "k long, first string, v string")
     new = spark.createDataFrame([(2, 1, "r2", "c"), (2, 2, "r2", "d"), (3, 1, "r2", "e")], "k long, o long, first string, v string")
