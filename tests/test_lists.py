@@ -92,6 +92,27 @@ def test_greedy_is_not_transitive(spark):
     assert {r["component"] for r in parts.collect()} == {1}
 
 
+def union_find(edges):
+    up = {}
+    def top(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+    for x, y in edges:
+        p, q = sorted((top(x), top(y)))
+        up[q] = p
+    return {x: top(x) for x in up}
+
+
+def test_components_equal_union_find(spark, sf):
+    rng = random.Random(8)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(140)] + [(k, k + 1) for k in range(1000, 1060)] + [(5000, k) for k in range(5001, 5100)] + [(7, 7)]
+    got = graph.connected_components(spark.createDataFrame([*edges, (1, None)], "a long, b long").repartition(5), "a", "b").collect()
+    assert {r["node"]: r["component"] for r in got} == union_find(edges) and len(got) == len(union_find(edges))
+    whole = [(r["l_partkey"], 1000000000 + r["l_suppkey"] * 1000 + r["l_orderkey"] % 97) for r in spark.read.parquet(f"{sf}/lineitem.parquet").collect()]
+    assert {r["node"]: r["component"] for r in queries.QUERIES["connected_components_all"](spark, sf).collect()} == union_find(whole)
+
+
 def test_verification_truth_table(spark):
     cases = [(None, None, "unverified"), ("ok", None, "sendable"), ("disposable", "deliverable", "dropped"), ("invalid", "deliverable", "sendable"), ("invalid", None, "dropped"),
              ("catch_all", None, "unverified"), ("catch_all", "deliverable", "sendable"), ("catch_all", "risky", "risky"), (None, "risky", "risky")]
