@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from leadloom.functions import people
 from leadloom.functions.text import is_blank
+from leadloom.operators import ranking
+from leadloom.operators.durable import durable
 
 
 def verification_state(first: Column, second: Column, second_on: tuple[str, ...] = ()) -> Column:
@@ -48,29 +50,28 @@ def first_source(df: DataFrame, key: str, source_rank: str, present: Column, *or
     return df.where(present).withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 
 
-def greedy_distinct(df: DataFrame, order: list[Column], keys: list[str], group: str) -> DataFrame:
+def greedy_distinct(df: DataFrame, order: list[Column], keys: list[str], group: str | None = None) -> DataFrame:
     """Survivors of a greedy pass: a row is dropped if an earlier *survivor* shares one of its non-blank keys.
 
-    The pass is sequential inside ``group`` (a connected component of shared keys, so that no two groups can meet); a
-    group is streamed to one Python call, which keeps only its survivors' keys.
+    The result is that of the sequential pass, made in rounds over the whole table: open rows that come first under all
+    of their keys survive, open rows that share a key with a survivor go, each round written. A round settles the first
+    open row at least, so the pass ends; rounds follow the longest chain of rows that wait for each other. ``group`` (a
+    component of shared keys, once the unit of work) has no effect. Rows with equal order are put in one order, any.
     """
-    import pandas as pd
-
-    names = df.columns
-    sortable = df.withColumn("__place", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
-
-    def survivors(pdf: pd.DataFrame) -> pd.DataFrame:
-        seen: set[tuple[str, str]] = set()
-        keep = []
-        pdf = pdf.sort_values("__place")
-        for row in pdf[keys].itertuples(index=False):
-            mine = {(k, str(v)) for k, v in zip(keys, row) if v is not None and v == v and str(v).strip()}
-            keep.append(not mine & seen)
-            if keep[-1]:
-                seen |= mine
-        return pdf.loc[keep, names]
-
-    return sortable.groupBy(group).applyInPandas(survivors, df.schema)
+    placed = durable(ranking.numbered(df, order, "__place"), "placed")
+    pairs = [F.struct(F.lit(i).alias("k"), F.when(~is_blank(F.col(c)), F.col(c).cast("string")).alias("v")) for i, c in enumerate(keys)]
+    each = placed.select("__place", F.explode(F.filter(F.array(*pairs), lambda p: p["v"].isNotNull())).alias("p")).select("__place", "p.*")
+    left, kept = durable(each, "open"), None
+    alone = placed.select("__place").join(left, "__place", "left_anti")
+    while not left.isEmpty():
+        firsts = left.groupBy("k", "v").agg(F.min("__place").alias("first"))
+        rows = left.join(firsts, ["k", "v"]).groupBy("__place").agg(F.max("first").alias("last"), F.min("first").alias("first"))
+        chosen = durable(rows.where("first = __place and last = __place").select("__place"), "chosen")
+        kept = chosen if kept is None else durable(kept.union(chosen), "kept")
+        taken = left.join(chosen, "__place", "left_semi").select("k", "v")
+        gone = left.join(taken, ["k", "v"], "left_semi").select("__place").distinct()
+        left = durable(left.join(gone, "__place", "left_anti"), "open")
+    return placed.join(alone if kept is None else alone.union(kept), "__place", "left_semi").select(*df.columns)
 
 
 def seeded_candidates(persons: DataFrame, seeds: DataFrame, person_id: str) -> DataFrame:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from leadloom.operators.durable import durable
 
 
-def numbered(df: DataFrame, order: list[str], out: str = "row_number") -> DataFrame:
+def numbered(df: DataFrame, order: list[str | Column], out: str = "row_number") -> DataFrame:
     """``df`` with 1-based numbers in the order of columns that are unique together.
 
     Rows are range-partitioned and written once with their partition's number; each partition numbers its own rows and

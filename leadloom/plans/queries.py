@@ -306,10 +306,10 @@ def claim_once(spark, sf_dir):
 
 @query()
 def greedy_dedupe(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", F.floor(F.col("c_acctbal")).cast("long").alias("phone"), F.concat_ws("/", "c_mktsegment", F.floor(F.col("c_acctbal") * 10 % 400)).alias("street"))
-    parts = graph.connected_components(graph.shared_edges(c, "c_custkey", ["phone", "street"]), "a", "b")
-    grouped = c.join(parts.withColumnRenamed("node", "c_custkey"), "c_custkey")
-    return cascade.greedy_distinct(grouped, [F.col("c_acctbal").desc(), F.col("c_custkey")], ["phone", "street"], "component").drop("component")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", F.col("c_nationkey").alias("name"), F.floor(F.col("c_acctbal")).cast("long").alias("phone"), F.concat_ws("/", "c_mktsegment", F.floor(F.col("c_acctbal") * 10 % 400)).alias("street"))
+    both = lambda a: F.when(~text.is_blank(F.col(a)) & ~text.is_blank(F.col("street")), F.concat_ws("|", F.col(a).cast("string"), "street"))
+    keyed = c.withColumns({"phone_street": both("phone"), "name_street": both("name")})
+    return cascade.greedy_distinct(keyed, [F.col("c_acctbal").desc(), F.col("c_custkey")], ["phone_street", "name_street"]).drop("phone_street", "name_street")
 
 
 # --- snapshots and memory -------------------------------------------------------------------------------------------------

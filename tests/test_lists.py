@@ -92,6 +92,22 @@ def test_greedy_is_not_transitive(spark):
     assert {r["component"] for r in parts.collect()} == {1}
 
 
+def test_greedy_equals_sequential_pass_without_python_groups(spark):
+    rng = random.Random(9)
+    draw = lambda n: rng.choice([None, "", " ", *[f"v{k}" for k in range(n)]])
+    rows = [(i, rng.randrange(10**6), draw(40), draw(60)) for i in range(400)] + [(400 + i, -i, f"c{i // 2}", f"d{(i + 1) // 2}") for i in range(9)]
+    seen, want = set(), set()
+    for i, _, a, b in sorted(rows, key=lambda x: (-x[1], x[0])):
+        mine = {(k, v) for k, v in enumerate((a, b)) if v and v.strip()}
+        if not mine & seen:
+            seen |= mine
+            want.add(i)
+    df = spark.createDataFrame(rows, "id long, o long, a string, b string").repartition(3)
+    got = cascade.greedy_distinct(df, [F.col("o").desc(), F.col("id")], ["a", "b"])  # needs no components, and no group in one task
+    assert {r["id"] for r in got.collect()} == want and got.columns == df.columns and "InPandas" not in got._jdf.queryExecution().toString()
+    assert cascade.greedy_distinct(df.limit(0), [F.col("id")], ["a", "b"]).count() == 0
+
+
 def union_find(edges):
     up = {}
     def top(x):
