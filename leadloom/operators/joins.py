@@ -39,13 +39,14 @@ def known_reason(df: DataFrame, known: list[tuple[str, Column, DataFrame]]) -> D
 def claim_once(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]], left_order: str, right_id: str, right_order: str) -> DataFrame:
     """(left_order, right_id, basis): each left row claims its first candidate; a right row goes to its first claimant.
 
-    Candidates share the first key pair if any do, else the second, and so on.
+    Candidates share the first key pair if any do, else the second, and so on. Of a key's right rows only the first can be
+    a left row's first candidate, so the right side is reduced to it before the join.
     """
     found = None
     for i, (a, b) in enumerate(keys):
         pairs = left.where(~is_blank(F.col(a))).select(F.col(left_order).alias("__l"), F.col(a).cast("string").alias("__key"))
-        pairs = pairs.join(right.where(~is_blank(F.col(b))).select(F.col(b).cast("string").alias("__key"), F.col(right_id).alias("__r"), F.col(right_order).alias("__o")), "__key")
-        pairs = pairs.select("__l", F.lit(i).alias("__basis"), "__o", "__r")
+        firsts = right.where(~is_blank(F.col(b))).groupBy(F.col(b).cast("string").alias("__key")).agg(F.min(F.struct(F.col(right_order).alias("__o"), F.col(right_id).alias("__r"))).alias("m"))
+        pairs = pairs.join(firsts, "__key").select("__l", F.lit(i).alias("__basis"), "m.__o", "m.__r")
         found = pairs if found is None else found.unionByName(pairs)
     first = found.groupBy("__l").agg(F.min(F.struct("__basis", "__o", "__r")).alias("m")).select("__l", "m.*")
     won = first.groupBy("__r").agg(F.min(F.struct("__l", "__basis")).alias("m"))

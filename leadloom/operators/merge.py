@@ -7,10 +7,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from leadloom.functions.text import is_blank
 
 
-def ordered_distinct(value: Column, order: Column) -> Column:
-    """Aggregate: distinct values in the order of their first appearance."""
-    seen = F.array_sort(F.collect_list(F.struct(order.alias("o"), value.alias("v"))))
-    return F.array_distinct(F.transform(seen, lambda s: s["v"]))
+def ordered_distinct(df: DataFrame, keys: list[str], column: str, order: Column) -> DataFrame:
+    """(keys, column): for each key the distinct values in the order of their first appearance; repeats go before values
+    are gathered, so a key's array holds its distinct values only."""
+    each = df.select(*keys, F.col(column).alias("__v"), order.alias("__o"))
+    firsts = each.groupBy(*keys, "__v").agg(F.min(F.struct(F.col("__o").alias("o"), F.col("__v").alias("v"))).alias("s"))
+    return firsts.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["v"]).alias(column))
 
 
 def first_non_blank(column: str, order: Column) -> Column:
@@ -20,8 +22,12 @@ def first_non_blank(column: str, order: Column) -> Column:
 
 def merge_by_key(df: DataFrame, keys: list[str], order: Column, *, fields: list[str] = (), tags: list[str] = ()) -> DataFrame:
     """One row for each key: first non-blank fields, tags as ordered distinct arrays."""
-    return df.groupBy(*keys).agg(
-        *[first_non_blank(c, order).alias(c) for c in fields], *[ordered_distinct(F.col(c), order).alias(c) for c in tags])
+    merged = df.select(*keys).distinct() if not fields else df.groupBy(*keys).agg(*[first_non_blank(c, order).alias(c) for c in fields])
+    for c in tags:
+        found = ordered_distinct(df, keys, c, order).select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col(c).alias("__tags"))
+        same = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+        merged = merged.join(found, same).drop(*[f"__k{i}" for i in range(len(keys))]).withColumnRenamed("__tags", c)
+    return merged
 
 
 def best_per_key(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
@@ -48,8 +54,11 @@ def union_first_source(frames: list[DataFrame], keys: list[str]) -> DataFrame:
 
 def collapse_groups(df: DataFrame, group: str, row_id: str, order: list[Column]) -> DataFrame:
     """``df`` with group_size, is_multi and rep (id of the first row of the group); blank groups are rows of their own."""
-    part = Window.partitionBy(F.when(~is_blank(F.col(group)), F.col(group)).otherwise(F.concat(F.lit("\0"), F.col(row_id).cast("string"))))
-    return df.withColumns({
-        "group_size": F.count("*").over(part), "is_multi": F.count("*").over(part) > 1,
-        "rep": F.first(row_id).over(part.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
-    })
+    named = df.where(~is_blank(F.col(group)))
+    sizes = named.groupBy(F.col(group).alias("__g")).agg(F.count("*").alias("__n"))
+    first = best_per_key(named, [group], *order).select(F.col(group).alias("__f"), F.col(row_id).alias("__rep"))  # a limit before the shuffle
+    found = sizes.join(first, F.col("__g") == F.col("__f")).drop("__f")
+    size = F.coalesce("__n", F.lit(1))
+    return df.join(found, F.col(group) == F.col("__g"), "left").withColumns({
+        "group_size": size, "is_multi": size > 1, "rep": F.when(F.col("__g").isNull(), F.col(row_id)).otherwise(F.col("__rep")),
+    }).drop("__g", "__n", "__rep")

@@ -182,6 +182,39 @@ def test_token_pairs_equal_brute_force(spark, of_larger):
         assert {r["id"]: (r["overlap"], -r["rid"]) for r in got} == best
 
 
+def most_rows(df):
+    """Runs ``df``; the most rows that a node of its plan made."""
+    df.collect()
+    most, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.metrics().contains("numOutputRows"):
+            most = max(most, node.metrics().apply("numOutputRows").value())
+        kids = node.children()
+        todo += [kids.apply(i) for i in range(kids.size())]
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+    return most
+
+
+def test_hot_groups_are_reduced_first(spark):
+    left, right = spark.range(2000).select(F.col("id").alias("l"), F.lit("hot").alias("k")), spark.range(2000).select(F.col("id").alias("r"), (-F.col("id")).alias("o"), F.lit("hot").alias("k"))
+    claimed = joins.claim_once(left, right, [("k", "k")], "l", "r", "o")
+    assert [tuple(r) for r in claimed.collect()] == [(0, 1999, 0)] and most_rows(claimed) <= 4000
+    events = spark.range(3000).select((F.col("id") % 2).alias("k"), F.when(F.col("id") % 2 == 1, 1).alias("j"), F.col("id").alias("o"), F.when(F.col("id") % 5 > 0, F.col("id") % 5).alias("t"), (F.col("id") % 3).alias("u")).repartition(4)
+    merged = merge.merge_by_key(events, ["k", "j"], F.col("o"), tags=["t", "u"])
+    assert sorted(map(tuple, merged.select("k", "t", "u").collect())) == [(0, [None, 2, 4, 1, 3], [0, 2, 1]), (1, [1, 3, None, 2, 4], [1, 0, 2])]
+    assert "__v" in merged._jdf.queryExecution().optimizedPlan().toString()  # repeats go before values are gathered
+    rows = [(i, "hot" if i % 3 else [None, "", " "][i // 3 % 3], i % 7) for i in range(60)]
+    groups = merge.collapse_groups(spark.createDataFrame(rows, "id long, g string, n long"), "g", "id", [F.col("n").desc(), F.col("id")])
+    assert all((r["group_size"], r["is_multi"], r["rep"]) == ((40, True, 13) if r["g"] == "hot" else (1, False, r["id"])) for r in groups.collect()) and groups.count() == 60
+    plan = groups._jdf.queryExecution().optimizedPlan().toString()
+    assert "WindowGroupLimit" in plan and "count(1) windowspec" not in plan
+
+
 def test_upsert_and_memory(spark):
     old = spark.createDataFrame([(1, "r1", "a"), (2, "r1", "b")], "k long, first string, v string")
     new = spark.createDataFrame([(2, 1, "r2", "c"), (2, 2, "r2", "d"), (3, 1, "r2", "e")], "k long, o long, first string, v string")
