@@ -7,8 +7,9 @@ borders and an edit moves none but its own. Equal roots mean equal texts; where
 (sections, paragraphs, chunks from either end) locate the edit.
 
 Scale: a tree is made within its row, linear in the text. ``with_next`` gives each row its follower by id with one
-shuffle of the texts: rows go to buckets of the id's range (a histogram of at most 4096 cells, dense cells cut again),
-and the first rows of each bucket are copied to the bucket before, so no window spans the table.
+shuffle of the texts: rows go to buckets by id and the first characters of the text, the borders are those of range
+partitions of these keys, written once, and the first rows of each bucket are copied to the bucket before, so no window
+spans the table. Rows with the same id, or none, and the same first characters share a bucket: that is its limit.
 
 Edge cases: a null text counts as empty; an empty text has one empty paragraph and no chunk; a lone document follows
 itself; repeated ids follow each other in the order of their texts; null ids come first; an empty table gives an empty
@@ -19,13 +20,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from leadloom.llm.shared import fresh_prefix
+from leadloom.llm.shared import fresh_prefix, written
 
 CHUNK_PATTERN = r"[^.!?]{0,11}[.!?]+ ?|[^.!?]{1,12}"
-CELLS = 4096
-#: Rows of a bucket, and the most buckets (the size of a broadcast table of their first ids).
+#: Rows of a bucket, and the most buckets (the size of a broadcast table of their first keys).
 BUCKET_ROWS = 2000
-MAX_BUCKETS = 100_000
+MAX_BUCKETS = 4096
+#: Characters of the text in a key, and keys of a step of the search for a row's bucket.
+KEY_CHARS, STEP = 100, 64
 
 
 def with_tree(df: DataFrame, text_col: str, out_col: str) -> DataFrame:
@@ -74,41 +76,27 @@ def fingerprint(tree: Column) -> Column:
     return F.concat(tree["root"], F.lit(":"), F.array_join(F.transform(tree["paragraphs"], lambda p: F.substring(p, 1, 8)), "."))
 
 
-def _bucket_of(docs: DataFrame, id_col: str) -> Column:
-    """The bucket (long, in the order of ids) of an id, from a histogram over all ids."""
-    ids = docs.select(F.col(id_col).cast("long").alias("i")).where("i is not null")
-    total = ids.agg(F.min("i").alias("lo"), F.max("i").alias("hi"), F.count("*").alias("n")).first()
-    if not total["n"]:
-        return F.lit(-1).cast("long")
-    width = (total["hi"] - total["lo"]) // CELLS + 1
-    cell = lambda c: F.floor((c - total["lo"]) / F.lit(width)).cast("int")
-    per_bucket = max(BUCKET_ROWS, total["n"] // (MAX_BUCKETS // 2) + 1)
-    counts = {r["cell"]: r["n"] for r in ids.groupBy(cell(F.col("i")).alias("cell")).agg(F.count("*").alias("n")).collect()}
-    parts, base, at, light = [], [], -1, per_bucket
-    for k in range(max(counts) + 1):
-        n = counts.get(k, 0)
-        if n > per_bucket:  # a dense cell: buckets of its own
-            parts.append(min(width, -(-n // per_bucket)))
-            base.append(at + 1)
-            at, light = at + parts[-1], per_bucket
-        else:
-            if light + n > per_bucket:
-                at, light = at + 1, 0
-            light += n
-            parts.append(1)
-            base.append(at)
-    array = lambda values: F.from_json(F.lit(str(values)), "array<bigint>")  # noqa: E731  a constant of the plan
-    i = F.col(id_col).cast("long")
-    inside = F.floor(F.pmod(i - total["lo"], F.lit(width)) * F.get(array(parts), cell(i)) / F.lit(width)).cast("long")
-    return F.coalesce(F.get(array(base), cell(i)) + inside, F.lit(-1).cast("long"))
+def _with_bucket(source: DataFrame) -> DataFrame:
+    """``source`` with __key (id, first characters) and __b, its bucket in the order of keys, alike in rows for any ids."""
+    key = F.struct(F.col("__id").alias("i"), F.substring("__text", 1, KEY_CHARS).alias("t"))
+    keys = source.select(key.alias("k")).select("k.*")
+    parts = min(MAX_BUCKETS, -(-source.count() // BUCKET_ROWS) or 1)
+    borders = keys.repartitionByRange(parts, "i", "t").groupBy(F.spark_partition_id().alias("p")).agg(F.min(F.struct("i", "t")).alias("k"))
+    borders = written(borders.select("k"), "borders").agg(F.array_sort(F.collect_set("k")).alias("__all"))
+    coarse = F.transform(F.sequence(F.lit(0), F.floor((F.size("__all") - 1) / STEP).cast("int")), lambda n: F.get("__all", n * STEP))
+    borders = borders.withColumn("__coarse", F.when(F.size("__all") > 0, coarse))
+    upto = lambda borders: F.size(F.filter(borders, lambda k: k <= F.col("__key")))
+    rows = source.withColumn("__key", key).crossJoin(F.broadcast(borders)).withColumn("__c", upto("__coarse"))
+    fine = upto(F.slice("__all", (F.col("__c") - 1) * STEP + 1, F.lit(STEP)))
+    return rows.withColumn("__b", ((F.col("__c") - 1) * STEP + fine).cast("long")).drop("__all", "__coarse", "__c")
 
 
 def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", next_col: str = "next") -> DataFrame:
     """(id, text, tree, next) of every row; ``next`` is struct(text, tree) of the next row by id, after the last the first."""
     source = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text"))
-    placed = source.withColumn("__b", _bucket_of(source, "__id"))
+    placed = _with_bucket(source)
     # a row for each bucket, MAX_BUCKETS at most
-    firsts = placed.groupBy("__b").agg(F.min("__id").alias("__first"))
+    firsts = placed.groupBy("__b").agg(F.min("__key").alias("__first"))
     order = Window.orderBy("__b")
     every = Window.partitionBy()
     firsts = firsts.select(
@@ -116,7 +104,7 @@ def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
         F.coalesce(F.lag("__b").over(order), F.max("__b").over(every)).alias("__before"),
         F.lag("__b").over(order).isNull().alias("__wraps"),
     )
-    joined = placed.join(F.broadcast(firsts), (F.col("__b") == F.col("__own")) & F.col("__id").eqNullSafe(F.col("__first")), "left")
+    joined = placed.join(F.broadcast(firsts), (F.col("__b") == F.col("__own")) & F.col("__key").eqNullSafe(F.col("__first")), "left")
     own = F.struct(F.col("__b").alias("b"), F.lit(0).alias("copy"))
     copy = F.struct(F.col("__before").alias("b"), F.when(F.col("__wraps"), 2).otherwise(1).alias("copy"))
     dealt = joined.select("__id", "__text", F.explode(F.when(F.col("__own").isNotNull(), F.array(own, copy)).otherwise(F.array(own))).alias("__p"))

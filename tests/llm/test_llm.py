@@ -537,6 +537,18 @@ def test_next_crosses_buckets(spark, monkeypatch):
     assert {((r["doc_id"] or 0), r["text"]): r["next"]["text"] for r in rows} == want and len(rows) == len(ids)
 
 
+def test_next_with_any_ids(spark, monkeypatch):
+    monkeypatch.setattr(fingerprint, "BUCKET_ROWS", 3)
+    ids = [-2**63, 2**63 - 1, 10**15, *range(2**62, 2**62 + 40), *range(300), *[None] * 60, *[5] * 30]
+    df = spark.createDataFrame([(i, f"{n * 7919 % 1000} text") for n, i in enumerate(ids)], "doc_id long, text string").repartition(4)
+    rows = fingerprint.with_next(df).collect()
+    order = sorted(((i is not None, i or 0, t) for i, t in df.collect()))
+    want = {(i, n, t): order[(k + 1) % len(order)][2] for k, (n, i, t) in enumerate(order)}
+    assert {(r["doc_id"] or 0, r["doc_id"] is not None, r["text"]): r["next"]["text"] for r in rows} == want and len(rows) == len(ids)
+    placed = fingerprint._with_bucket(df.select(F.col("doc_id").alias("__id"), F.col("text").alias("__text")))
+    assert placed.groupBy("__b").count().agg(F.max("count")).first()[0] < 40  # neither dense ids nor nulls meet in one bucket
+
+
 def test_edit_span_and_edges(spark, odd, empty):
     df = spark.createDataFrame([("a\nb\nc\nd", "a\nX\nY\nc\nd"), ("same", "same"), ("", "x")], "p string, q string")
     df = fingerprint.with_tree(fingerprint.with_tree(df, "p", "tp"), "q", "tq")
