@@ -9,7 +9,8 @@ Four kinds of evidence meet in one posterior over the languages of a labelled te
 * the host: a prior smoothed level by level, the host's counts towards its domain's, these towards the whole corpus's;
   a page's own count is left out.
 
-Scale: the trigram model is fitted on a bounded sample of labelled texts (``train_rows``). Pages are read once and
+Scale: the trigram model is fitted on a bounded sample of labelled texts of each language (``train_rows`` in all);
+the languages are counted over all of them. Pages are read once and
 reduced to some numbers each; all counts are grouped aggregations over all pages. Hosts join by their key: broadcast if
 they are counted as few, by shuffle otherwise.
 
@@ -33,6 +34,8 @@ from leadloom.llm.shared import small_keys, written
 
 DIMENSIONS = 4096
 TRAIN_ROWS = 10_000
+#: Texts of a language that are sampled, if there are so many, even where languages are very many.
+LEAST_TRAIN_ROWS = 100
 #: Trigrams that count as one independent observation, and the most observations of a text.
 TEMPER, MOST = 8.0, 60.0
 #: Pseudo-counts: of trigrams, of declarations and suffixes, of a level's prior.
@@ -64,7 +67,8 @@ def gram_counts(text: str, dimensions: int = DIMENSIONS) -> np.ndarray:
 
 def fit_text_model(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                    train_rows: int = TRAIN_ROWS) -> tuple[list[str], np.ndarray]:
-    """Language codes, ascending, and log P(trigram | language), from a sample of about ``train_rows`` labelled texts."""
+    """Language codes, ascending, and log P(trigram | language), from a sample of about ``train_rows`` labelled texts, alike
+    for each language: one with fewer texts gives them all."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -78,10 +82,12 @@ def fit_text_model(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"), F.lower(F.col(lang_col).cast("string")).alias("lang"))
     rows = rows.where("text is not null and lang is not null")
     million = 1_000_000
-    share = min(million, -(-train_rows * million // max(1, rows.count())))
-    sample = rows.where(F.pmod(F.xxhash64("id"), F.lit(million)) < share)
-    got = sample.mapInArrow(count, "lang string, gram long, n double").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
-    langs = sorted(set(got.column("lang").to_pylist()))  # at most DIMENSIONS rows for each language
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    langs = sorted(sizes)  # all labelled rows name the classes, however few they are
+    each = max(LEAST_TRAIN_ROWS, -(-train_rows // max(1, len(langs))))
+    shares = [F.lit(x) for k in langs for x in (k, min(million, -(-each * million // sizes[k])))]
+    sample = rows.where(F.pmod(F.xxhash64("id"), F.lit(million)) < F.create_map(*shares)[F.col("lang")]) if langs else rows.limit(0)
+    got = sample.mapInArrow(count, "lang string, gram long, n double").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()  # at most DIMENSIONS rows for each language
     table = np.full((len(langs), DIMENSIONS), GRAM_SMOOTHING)
     if langs:
         table[np.searchsorted(langs, got.column("lang").to_pylist()), got.column("gram").to_numpy()] += got.column("n").to_numpy()

@@ -252,6 +252,14 @@ def test_langid_fuses_evidence_and_edges(spark, docs):
     assert {r["lang"] for r in langid.identify(pages, *langid.fit_text_model(docs.limit(0))).collect()} == {None}
 
 
+def test_langid_rare_language_is_a_class(spark):
+    rows = [(i, sentence(5, i % 50), "en") for i in range(5000)] + [(5000, "päivää huomenta kiitos näkemiin hyvää yötä", "fi")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    langs, model = langid.fit_text_model(docs, train_rows=20)
+    pages = spark.createDataFrame([(1, "", "<body>huomenta kiitos näkemiin</body>"), (2, "", f"<body>{sentence(9, 1)}</body>")], "page_id long, url string, html string")
+    assert langs == ["en", "fi"] and {r["page_id"]: r["lang"] for r in langid.identify(pages, langs, model).collect()} == {1: "fi", 2: "en"}
+
+
 # --- licenses -------------------------------------------------------------------------------------------------------------------
 
 def test_licenses_brute_force(spark, sf, docs):
