@@ -9,13 +9,15 @@ Scale: texts are read once; the pieces (some 40 bytes each) are written to the s
 ranked and placed. A rank is a row number within (length, salt) plus the counts of smaller salts, so that no length
 gathers in one task. The plan is bounded by ``capacity`` and broadcast.
 
-Edge cases: null and empty texts are the closing id alone; repeated rows are packed each; a full piece is a sequence of
-its own; an empty table gives an empty result; extra columns are ignored.
+Edge cases: null and empty texts are the closing id alone; added tokens (such as an end-of-text mark) inside a text get
+their own ids, as the library gives them; repeated rows are packed each; a full piece is a sequence of its own; ids must be
+numbers (they are cast to long); an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
 from bisect import bisect_left, insort
@@ -52,22 +54,50 @@ _TRAILING = re.compile(rb"([!-&(-/:-@\[-`{-~](?<=[a-z0-9].)[!-&(-/:-@\[-`{-~]*)(
 _PLAIN = re.compile("[a-zß-öø-ÿ]+")
 
 
+# Fixed value: the split of the tokenizers that chunks serve.
+CHUNK_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def splits_into_chunks(spec: dict) -> bool:
+    """Whether a tokenizer (its JSON) lower-cases, composes, drops white space and splits as chunks need, with plain added tokens."""
+    def flat(part: dict | None, inner: str) -> list[dict]:
+        return [] if part is None else part[inner] if part["type"] == "Sequence" else [part]
+
+    steps = [x["type"] for x in flat(spec["normalizer"], "normalizers")]
+    spaces = [x for x in flat(spec["normalizer"], "normalizers") if x["type"] == "Replace"]
+    splits = flat(spec["pre_tokenizer"], "pretokenizers")
+    return (
+        "Lowercase" in steps and set(steps) <= {"NFC", "Replace", "Lowercase"} and all(x["pattern"] == {"Regex": r"\s+"} and x["content"] == " " for x in spaces)
+        and [x["type"] for x in splits] == ["Split", "ByteLevel"] and splits[0]["pattern"] == {"Regex": CHUNK_SPLIT}
+        and splits[0]["behavior"] == "Removed" and splits[0]["invert"] and not splits[1]["add_prefix_space"] and not splits[1]["use_regex"]
+        and not any(x["normalized"] or x["lstrip"] or x["rstrip"] or x["single_word"] for x in spec["added_tokens"]))
+
+
 class ChunkTokenizer:
-    """Ids of texts by way of their chunks between ASCII spaces, in one worker process, for byte-level tokenizers that lower-case.
+    """Ids of texts by way of their chunks between ASCII spaces, in one worker process, as the tokenizer gives them for whole texts.
 
     Such a space ends every token of a tokenizer that drops white space before its model runs, so a text's ids are its
     chunks' ids in a row. A run of ASCII signs after a letter or digit is a chunk of its own, as the tokenizer parts them
-    anyway, and A-Z are lower-cased, as it does too. Frequent chunks are tokenised once (two generations of a bounded cache).
+    anyway, and A-Z are lower-cased, as it does too. Added tokens are cut out of the text first, as the library does.
+    Frequent chunks are tokenised once (two generations of a bounded cache). Tokenizers of other kinds take whole texts.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
+        self.whole = Tokenizer.from_file(path)
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = True  # a chunk holds none: lower-casing may have made one up
         self.words = Tokenizer(self.tokenizer.model)  # the same model for words that need no normalisation
         self.words.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        spec = json.loads(self.whole.to_str())
+        self.in_chunks = splits_into_chunks(spec)
+        added = sorted((x["content"] for x in spec["added_tokens"]), key=lambda t: (-len(t), t))
+        self.added = tuple(added)
+        self.mark = re.compile("(" + "|".join(map(re.escape, added)) + ")")
+        # no chunk begins with a space
+        self.fixed = {b" " + x["content"].encode(): packed_ids("<I", x["id"]) for x in spec["added_tokens"]}
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
@@ -76,7 +106,7 @@ class ChunkTokenizer:
             self.old, self.young = self.young, {}
         found, new = {}, []
         for chunk in chunks:
-            if (ids := self.young.get(chunk)) is None and (ids := self.old.get(chunk)) is None:
+            if (ids := self.young.get(chunk)) is None and (ids := self.old.get(chunk)) is None and (ids := self.fixed.get(chunk)) is None:
                 new.append(chunk)
             else:
                 found[chunk] = ids
@@ -89,9 +119,16 @@ class ChunkTokenizer:
         self.young.update(found)
         return found
 
+    def chunks(self, text: str) -> list[bytes]:
+        if any(t in text for t in self.added):
+            return [c for k, part in enumerate(self.mark.split(text)) for c in ([b" " + part.encode()] if k % 2 else self.chunks(part))]
+        return _TRAILING.sub(rb" \1", text.encode().lower()).split()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
-        chunks = [_TRAILING.sub(rb" \1", x.encode().lower()).split() for x in texts]
+        if not self.in_chunks:
+            return [np.array(x.ids, dtype="<u4").tobytes() for x in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
+        chunks = [self.chunks(x) for x in texts]
         local = self.lookup(set().union(*chunks))
         return [b"".join(map(local.__getitem__, x)) for x in chunks]
 
@@ -117,7 +154,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, *, capacity: int = CAPACI
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, piece, start, length, ids) of every document; ``ids`` are little-endian unsigned 32-bit numbers.
 
-    ``tokenizer_path`` must be readable on every executor; the tokenizer must drop white space (see ChunkTokenizer).
+    ``tokenizer_path`` must be readable on every executor.
     """
     step = 4 * capacity
     closing = np.array([closing_id], dtype="<u4").tobytes()

@@ -388,14 +388,25 @@ def test_chunks_equal_whole_texts():
     from tokenizers import Tokenizer
 
     whole, mine = Tokenizer.from_file(WORDS), packing.ChunkTokenizer(WORDS)
-    whole.encode_special_tokens = True
+    assert mine.in_chunks
     rng = random.Random(3)
-    signs = list(" \t\n\x0b\x0c\r\x1c\x85\xa0 　aAß'stéé̈ΣσİK世1٣½#.!…") + ["<|endoftext|>", "ab.", "A!!", "é.", "x#'", "9…. "]
-    for _ in range(1500):
+    signs = list(" \t\n\x0b\x0c\r\x1c\x85\xa0 　aAß'stéé̈ΣσİK世1٣½#.!…") + ["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|", "|>", "ab.", "A!!", "é.", "x#'", "9…. "]
+    for _ in range(3000):
         text = "".join(rng.choice(signs) for _ in range(rng.randrange(25)))
         assert np.frombuffer(mine.encode([text])[0], "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
 
 
+def test_other_tokenizers_take_whole_texts(tmp_path):
+    from tokenizers import Tokenizer, normalizers
+
+    cased = Tokenizer.from_file(WORDS)
+    cased.normalizer = normalizers.NFC()
+    cased.save(str(tmp_path / "cased.json"))
+    mine = packing.ChunkTokenizer(str(tmp_path / "cased.json"))
+    text = "Some Text with CAPITALS<|endoftext|> and\nlines."
+    assert not mine.in_chunks and np.frombuffer(mine.encode([text])[0], "<u4").tolist() == cased.encode(text, add_special_tokens=False).ids
+
+
 # --- personal data ------------------------------------------------------------------------------------------------------------
 
 def luhn(s):
