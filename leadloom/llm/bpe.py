@@ -3,14 +3,17 @@
 Texts are split by a pre-tokenisation pattern. The distinct pieces of a batch become *token-position rows* (piece,
 position, next position, token) in an in-process DuckDB. A recursive query joins adjacent tokens with the merge table
 and, each round, contracts in every piece the leftmost pair of the least rank, until no pair of the piece has a merge.
-Decoding joins (sequence, position, id) rows with the vocabulary and aggregates the bytes in position order.
+Long pieces (unbroken runs) take the same order of contractions in fewer, bounded rounds: all pairs of the least rank at
+once, from the left, where the merge table lets none of the new pairs come before them, and the recursion is taken up
+again from its last state, so that no query holds more than ``QUERY_ROWS`` rows or two rounds.
+Decoding makes (text, position, id) rows of the ids that each text has got, joins them with the vocabulary and
+aggregates the bytes in position order.
 
 Spark deals out the documents; each Python worker holds one DuckDB connection (one thread, bounded memory) and a
 bounded two-generation cache of pieces, so frequent pieces are encoded once. Any task can be re-run anywhere.
 
 Edge cases: a null or empty text gives no ids; a lone surrogate cannot occur in Spark strings; repeated rows are
-encoded each on its own; an empty table gives an empty result; columns other than the id and the text are ignored,
-unless named in ``keep``.
+encoded each on its own; an empty table gives an empty result; columns other than the id and the text are ignored.
 """
 
 from __future__ import annotations
@@ -26,14 +29,19 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 #: Characters of text that are tokenised together.
 BATCH_CHARS = 3_000_000
-#: Pieces of a text that are held at once.
+#: Pieces that are held at once, of a long text or of texts with new pieces.
 BLOCK_PIECES = 1_000_000
 #: Pieces in a generation of the cache.
 GENERATION = 200_000
 #: Rows that one recursive query may come to (a piece of n bytes makes at most n * n / 2).
 QUERY_ROWS = 2_000_000
-#: Longer pieces (runs without any boundary) would need n rounds of n rows; they take a heap instead of SQL.
+#: Longer pieces (runs without any boundary) contract all equal pairs in a round.
 LONG_PIECE = 1024
+#: Beyond this many bytes the rounds, as many as different ranks occur, each read too many rows (a piece of 8,000 random
+#: letters takes 3 s, of 32,768 near 30 s): such runs take the same contractions from a heap.
+HEAP_PIECE = 32_768
+#: Rows of a decoding query.
+DECODE_ROWS = 1_000_000
 
 _ENCODE = """
 with recursive s(i, w, p, n, t, nt, k) as (
@@ -58,6 +66,42 @@ from s join (select w, max(i) as i from s group by w) f on s.w = f.w and s.i = f
 group by s.w order by s.w
 """
 
+# c: contracted in this round, with the following token; the token after a contracted one goes. Contractions stop after
+# the first whose new token would have a merge of a lower rank with one of its neighbours (risky).
+_ENCODE_LONG = """
+with recursive s(i, p, n, t, nt, m) as (
+  select 0, p, n, t, nt, m from start left join merges on l = t and r = nt
+  union all
+  select i + 1, p, n, t, nt, m
+  from (
+    select i, p, case when c then n1 else n end as n, case when c then low else t end as t,
+           case when case when c then c2 else c1 end then low when c then nt1 else nt end as nt
+    from (
+      select *, lag(c, 1, false) over o as gone, lead(c, 1, false) over o as c1, lead(c, 2, false) over o as c2, lead(n) over o as n1, lead(nt) over o as nt1
+      from (
+        select *, m is not null and m = low and p <= coalesce(last, p) and (t <> nt or row_number() over (partition by run order by p) % 2 = 1) as c
+        from (
+          select *, sum(case when m = low then 0 else 1 end) over (order by p rows unbounded preceding) * 2 + case when m = low then 1 else 0 end as run,
+                 min(case when m = low and (a.token is not null or b.token is not null or twice.token is not null) then p end) over () as last
+          from (select *, min(m) over () as low, lag(t) over (order by p) as before, lead(t, 2) over (order by p) as after from s) q
+          left join risky a on a.token = q.m and a.other = q.before and a.left_side and q.m = q.low
+          left join risky b on b.token = q.m and b.other = q.after and not b.left_side and q.m = q.low
+          left join risky twice on twice.token = q.m and twice.other = q.m and twice.left_side and q.m = q.low
+        )
+      )
+      window o as (order by p)
+    ) where low is not null and i < ? and not gone
+  ) left join merges on l = t and r = nt
+)
+select p, n, t, nt, m from s where i = (select max(i) from s) order by p
+"""
+
+_RISKY = """
+create table if not exists risky as
+select a.m as token, b.l as other, true as left_side from (select distinct m from merges) a join merges b on b.r = a.m and b.m < a.m
+union select a.m, b.r, false from (select distinct m from merges) a join merges b on b.l = a.m and b.m < a.m
+"""
+
 _DECODE = """
 select d, list(b order by p) as parts
 from (select d, p, id from positions) join vocab using (id)
@@ -80,9 +124,8 @@ class Codec:
 
         self.ranks = read_ranks(ranks_path)
         self.split = regex.compile(pattern)
-        self.young: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.decoded: dict[bytes, bytes] = {}
         self.byte_ids = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int32)
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": "350MB"})
         merges = [(a, b, m) for token, m in self.ranks.items() for i in range(1, len(token))
@@ -104,8 +147,10 @@ class Codec:
         for i, piece in enumerate(pieces):
             if (whole := self.ranks.get(piece)) is not None:
                 out[i] = np.int32(whole).tobytes()
-            elif len(piece) > LONG_PIECE:
+            elif len(piece) > HEAP_PIECE:
                 out[i] = np.array(_merge_long(piece, self.ranks), dtype=np.int32).tobytes()
+            elif len(piece) > LONG_PIECE:
+                out[i] = self._encode_long(piece)
             else:
                 block.append(i)
                 rows += 1 + len(piece) * len(piece) // 2
@@ -131,78 +176,96 @@ class Codec:
         for k, i in enumerate(block):
             out[i] = values[bounds[k]: bounds[k + 1]].tobytes()
 
+    def _encode_long(self, piece: bytes) -> bytes:
+        self.con.execute(_RISKY)
+        tokens = self.byte_ids[np.frombuffer(piece, dtype=np.uint8)]
+        place = np.arange(len(tokens), dtype=np.int32)
+        state = pa.table({"p": place, "n": place + 1, "t": tokens, "nt": np.append(tokens[1:], np.int32(-1)), "m": np.zeros(len(tokens), dtype=np.int32)})
+        while state.num_rows > state.column("m").null_count:
+            self._load("start", state.drop_columns(["m"]))
+            state = self.con.sql(_ENCODE_LONG, params=[max(1, QUERY_ROWS // state.num_rows)]).to_arrow_table()
+        return state.column("t").to_numpy().astype(np.int32).tobytes()
+
     def decode_sequences(self, sequences: list[bytes]) -> list[bytes]:
         """Bytes of sequences of packed int32 ids. Ids outside the vocabulary have no bytes."""
-        lengths = np.array([len(x) // 4 for x in sequences], dtype=np.int64)
-        ids = np.frombuffer(b"".join(sequences), dtype=np.int32)
-        starts = np.cumsum(lengths) - lengths
-        rows = pa.table({"d": np.repeat(np.arange(len(sequences), dtype=np.int32), lengths), "p": np.arange(len(ids)) - np.repeat(starts, lengths), "id": ids})
-        self._load("positions", rows)
         out = [b""] * len(sequences)
-        got = self.con.sql(_DECODE).to_arrow_table()
-        for d, parts in zip(got.column("d").to_pylist(), got.column("parts").to_pylist()):
-            out[d] = b"".join(parts)
+        block: list[tuple[int, bytes]] = []
+        rows = 0
+        for k, packed in enumerate(sequences):
+            for at in range(0, len(packed), 4 * DECODE_ROWS):
+                part = packed[at: at + 4 * DECODE_ROWS]
+                if rows + len(part) // 4 > DECODE_ROWS:
+                    self._decode_block(block, out)
+                    block, rows = [], 0
+                block.append((k, part))
+                rows += len(part) // 4
+        if block:
+            self._decode_block(block, out)
         return out
 
-    def lookup(self, pieces: set[str]) -> dict[str, bytes]:
-        """Ids of distinct pieces, from the cache or newly encoded."""
-        if len(self.young) > GENERATION:
-            self.old, self.young = self.young, {}
-            self.decoded = {}
-        found: dict[str, bytes] = {}
-        new: list[str] = []
-        for piece in pieces:
-            if (ids := self.young.get(piece)) is None and (ids := self.old.get(piece)) is None:
-                new.append(piece)
+    def _decode_block(self, block: list[tuple[int, bytes]], out: list[bytes]) -> None:
+        lengths = np.array([len(x) // 4 for _, x in block], dtype=np.int64)
+        ids = np.frombuffer(b"".join(x for _, x in block), dtype=np.int32)
+        place = np.arange(len(ids)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        self.con.register("positions", pa.table({"d": np.repeat(np.arange(len(block), dtype=np.int32), lengths), "p": place.astype(np.int32), "id": ids}))
+        got = self.con.sql(_DECODE).to_arrow_table().combine_chunks()
+        self.con.unregister("positions")
+        for chunk in got.to_batches():
+            parts = chunk.column("parts")
+            said = parts.values
+            ends = np.frombuffer(said.buffers()[1], dtype=np.int32)[said.offset: said.offset + len(said) + 1] if len(said) else np.zeros(1, dtype=np.int32)
+            text = memoryview(said.buffers()[2] or b"")
+            bounds = ends[parts.offsets.to_numpy()].tolist()
+            for d, a, b in zip(chunk.column("d").to_pylist(), bounds, bounds[1:]):
+                out[block[d][0]] += bytes(text[a:b])
+
+    def _learn(self, new: set[str]) -> None:
+        """Ids of pieces that the young generation of the cache lacks, from the old one or newly encoded."""
+        again = {p: ids for p in new if (ids := self.old.get(p)) is not None}
+        fresh = [p for p in new if p not in again]
+        self.known.update(again)
+        self.known.update(zip(fresh, self.encode_pieces([p.encode() for p in fresh])))
+
+    def run(self, texts: list[str]) -> list[bytes]:
+        """Packed int32 ids of each text."""
+        if len(self.known) > GENERATION:
+            self.old, self.known = self.known, {}
+        out = [b""] * len(texts)
+        parts: list[tuple[int, bytes | list[str]]] = []  # (text, ids, or pieces with some that are not known yet)
+        new: set[str] = set()
+        waiting = 0
+
+        def settle() -> None:
+            self._learn(new)
+            for k, part in parts:
+                out[k] += part if isinstance(part, bytes) else b"".join(map(self.known.__getitem__, part))
+            parts.clear()
+            new.clear()
+
+        for k, pieces in _pieces(texts, self.split):
+            got = list(map(self.known.get, pieces))
+            if None in got:
+                new.update(p for p, ids in zip(pieces, got) if ids is None)
+                parts.append((k, pieces))
+                waiting += len(pieces)
             else:
-                found[piece] = ids
-        if new:
-            found.update(zip(new, self.encode_pieces([piece.encode() for piece in new])))
-        self.young.update(found)
-        return found
-
-    def decode_distinct(self, sequences: set[bytes]) -> dict[bytes, bytes]:
-        """Bytes of distinct id sequences, from the cache or newly decoded."""
-        new = [x for x in sequences if x not in self.decoded]
-        for at in range(0, len(new), 100_000):
-            part = new[at: at + 100_000]
-            self.decoded.update(zip(part, self.decode_sequences(part)))
-        return self.decoded
-
-    def run(self, texts: list[str], decode: bool) -> tuple[list[bytes], list[bytes]]:
-        """Ids of each text, and the bytes that these ids stand for."""
-        ids: list[bytes] = [b""] * len(texts)
-        back: list[bytes] = [b""] * len(texts)
-        for at, blocks in _blocks(texts, self.split):
-            local = self.lookup(set().union(*blocks))
-            known = self.decode_distinct(set(local.values())) if decode else {}
-            for k, pieces in zip(at, blocks):
-                mine = list(map(local.__getitem__, pieces))
-                ids[k] += b"".join(mine)
-                if decode:
-                    back[k] += b"".join(map(known.__getitem__, mine))
-        return ids, back
-
-
-def _blocks(texts: list[str], split) -> Iterator[tuple[list[int], list[list[str]]]]:
-    """Pieces of the texts, some texts or a part of one text at a time."""
-    at: list[int] = []
-    blocks: list[list[str]] = []
-    chars = 0
+                parts.append((k, b"".join(got)))
+            if waiting > BLOCK_PIECES:
+                settle()
+                waiting = 0
+        settle()
+        return out
+
+
+def _pieces(texts: list[str], split) -> Iterator[tuple[int, list[str]]]:
+    """(text number, pieces) of each text, a long text in parts."""
     for k, text in enumerate(texts):
-        if len(text) > BATCH_CHARS:
+        if len(text) <= BATCH_CHARS:
+            yield k, split.findall(text)
+        else:
             matches = split.finditer(text)
             while part := [m[0] for m in islice(matches, BLOCK_PIECES)]:
-                yield [k], [part]
-            continue
-        at.append(k)
-        blocks.append(split.findall(text))
-        chars += len(text)
-        if chars >= BATCH_CHARS:
-            yield at, blocks
-            at, blocks, chars = [], [], 0
-    if at:
-        yield at, blocks
+                yield k, part
 
 
 def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -257,18 +320,18 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc
     """Token ids of each text: (id, token_ids array<int>[, decoded binary]).
 
     ``ranks_path`` must be readable on every executor (it is installed with the tokenizer files). With ``round_trip``,
-    ``decoded`` holds the bytes that the ids stand for, gathered by ordered aggregation of the ids' bytes.
+    ``decoded`` holds the bytes that the text's ids stand for, gathered by ordered aggregation of the ids' bytes.
     """
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in _slices(whole, "text"):
                 texts = [x or "" for x in batch.column("text").to_pylist()]
-                ids, back = codec(ranks_path, pattern).run(texts, round_trip)
+                ids = codec(ranks_path, pattern).run(texts)
                 columns = [batch.column("id"), _int_lists(ids)]
                 names = ["id", "token_ids"]
                 if round_trip:
-                    columns.append(pa.array(back, pa.binary()))
+                    columns.append(pa.array(codec(ranks_path, pattern).decode_sequences(ids), pa.binary()))
                     names.append("decoded")
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 

@@ -79,15 +79,51 @@ def test_bpe_edges(odd, empty):
     assert bpe.encode(empty, RANKS, public_tokenizers.PATTERN).count() == 0
 
 
-def test_bpe_long_pieces_and_small_blocks(monkeypatch):
+@pytest.mark.parametrize("rows, heap", [(500, 10_000), (2_000_000, 10_000), (500, 1200)])
+def test_bpe_long_pieces_and_small_blocks(monkeypatch, rows, heap):
     codec, encoding = bpe.Codec(RANKS, public_tokenizers.PATTERN), reference_encoding()
     rng = random.Random(5)
-    pieces = ["".join(rng.choice("abcdeéèthening") for _ in range(n)) for n in (1, 2, 40, 300, 1023, 1500, 4000)]
-    monkeypatch.setattr(bpe, "QUERY_ROWS", 500)
+    pieces = ["".join(rng.choice(signs) for _ in range(n)) for n, signs in (
+        (1, "a"), (2, "ab"), (40, "abcde"), (300, "abcdeéèthening"), (1023, "thening"), (1500, "abcdeéèthening"), (4000, "ing"), (3000, "x"), (1300, "日本語"), (1100, "-=#"))]
+    monkeypatch.setattr(bpe, "QUERY_ROWS", rows)
+    monkeypatch.setattr(bpe, "HEAP_PIECE", heap)
     for piece, ids in zip(pieces, codec.encode_pieces([p.encode() for p in pieces])):
         assert np.frombuffer(ids, np.int32).tolist() == encoding._encode_single_piece(piece.encode())
 
 
+def test_bpe_equal_pairs_wait_for_lower_ranks():
+    """A table in which contracting all equal pairs at once would pass over a merge of a lower rank."""
+    ranks = {bytes([i]): i + 100 for i in range(256)} | {b"ab": 50, b"abc": 3, b"bab": 7, b"abab": 20, b"cab": 4}
+    codec = bpe.Codec.__new__(bpe.Codec)
+    codec.ranks, codec.con = ranks, None
+    import duckdb
+    import pyarrow as pa
+
+    codec.con = duckdb.connect()
+    merges = [(ranks[t[:i]], ranks[t[i:]], m) for t, m in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
+    codec._load("merges", pa.table({k: pa.array(x, pa.int32()) for k, x in zip("lrm", zip(*merges))}))
+    codec.byte_ids = np.array([ranks[bytes([i])] for i in range(256)], dtype=np.int32)
+    rng = random.Random(2)
+    for _ in range(60):
+        text = "".join(rng.choice("aabbc") for _ in range(rng.randrange(2, 60))).encode()
+        tokens = [text[i: i + 1] for i in range(len(text))]
+        while found := [(ranks[a + b], i) for i, (a, b) in enumerate(zip(tokens, tokens[1:])) if a + b in ranks]:
+            _, i = min(found)
+            tokens[i: i + 2] = [tokens[i] + tokens[i + 1]]
+        assert np.frombuffer(codec._encode_long(text), np.int32).tolist() == [ranks[t] for t in tokens], text
+
+
+def test_bpe_caches_and_long_texts(monkeypatch):
+    codec, encoding = bpe.Codec(RANKS, public_tokenizers.PATTERN), reference_encoding()
+    for name, value in (("GENERATION", 20), ("BATCH_CHARS", 200), ("BLOCK_PIECES", 30), ("DECODE_ROWS", 50)):
+        monkeypatch.setattr(bpe, name, value)
+    for k in range(6):
+        texts = [sentence(n, n + k) for n in (1, 0, 70, 5, 400)] + [""]
+        ids = codec.run(texts)
+        assert [np.frombuffer(x, np.int32).tolist() for x in ids] == [encoding.encode_ordinary(t) for t in texts]
+        assert [x.decode() for x in codec.decode_sequences(ids)] == texts
+
+
 # --- quality rules --------------------------------------------------------------------------------------------------------
 
 def base_rules(text):
