@@ -1,19 +1,22 @@
 """Document fingerprints: a Merkle tree over chunks, paragraphs and sections, with DataFrame functions only.
 
-A text's paragraphs are its lines. Each is cut into chunks (to the end of a sentence, 12 characters at most, to see edits of the shortest texts), the leaves.
-A paragraph's node is a digest of its text, a section's node the digest of its paragraphs' nodes, the root the digest of
-the sections' nodes. A section ends after a paragraph whose digest begins with 0 or 8, so the text itself sets the
-borders and an edit moves none but its own. Equal roots mean equal texts; where roots differ, the differing branches
-(sections, paragraphs, chunks from either end) locate the edit.
+A text's paragraphs are its lines. Each is cut into chunks (to the end of a sentence, 16 characters at most, to see edits
+of the shortest texts), the leaves. A leaf is a digest of its characters; a paragraph's node is the digest of its leaves, a
+section's node that of its paragraphs' nodes, the root that of the sections' nodes. A section ends after a paragraph whose
+node begins with 0 or 8, so the text itself sets the borders and an edit moves none but its own.
 
-Scale: a tree is made within its row, linear in the text. ``with_next`` gives each row its follower by id with one
-shuffle of the texts: rows go to buckets by id and the first characters of the text, the borders are those of range
-partitions of these keys, written once, and the first rows of each bucket are copied to the bucket before, so no window
-spans the table. Rows with the same id, or none, and the same first characters share a bucket: that is its limit.
+The fingerprint is the tree in one string: the root, then the shortened nodes of sections, paragraphs and chunks. Equal
+texts have equal fingerprints, and roots test equality. ``with_likeness`` and ``edit_span`` go down from the top and look
+only into branches that differ, so the differing branches locate an edit.
+
+Scale: a tree is made within its row, linear in the text. ``with_next`` gives each row the beginning of the next text by id
+and its fingerprint: keys of rows (id, first characters and hash of the text) are put in order by range partitions, each
+row learns who comes before it, and sends the characters that this one needs there. Texts are shuffled once, by key.
 
 Edge cases: a null text counts as empty; an empty text has one empty paragraph and no chunk; a lone document follows
-itself; repeated ids follow each other in the order of their texts; null ids come first; an empty table gives an empty
-result; extra columns are ignored.
+itself; repeated ids follow each other in the order of their texts (of their first 100 characters, then of a hash); rows of
+equal id and text are one document, each with the same result; null ids come first; an empty table gives an empty result;
+extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,28 +25,44 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from leadloom.llm.shared import fresh_prefix, written
 
-CHUNK_PATTERN = r"[^.!?]{0,11}[.!?]+ ?|[^.!?]{1,12}"
-#: Rows of a bucket, and the most buckets (the size of a broadcast table of their first keys).
-BUCKET_ROWS = 2000
-MAX_BUCKETS = 4096
-#: Characters of the text in a key, and keys of a step of the search for a row's bucket.
-KEY_CHARS, STEP = 100, 64
+CHUNK_PATTERN = r"[^.!?]{0,15}[.!?]+ ?|[^.!?]{1,16}"
+#: Hexadecimal digits of a leaf and of a node in the tree, and of a leaf and of a node in the fingerprint.
+LEAF, NODE, SHORT_LEAF, SHORT_NODE = 16, 32, 6, 8
+#: Keys of a range partition, and the characters of the text in a key.
+PART_ROWS = 500_000
+KEY_CHARS = 100
 
 
 def with_tree(df: DataFrame, text_col: str, out_col: str) -> DataFrame:
-    """``df`` with a struct ``out_col``: root, sections, paragraphs (digests) and leaves (array<bigint>)."""
+    """``df`` with a struct ``out_col``: root, sections (array of node, paragraphs (array of node, chunks (array)))."""
     names = [c for c in df.columns if c.lower() != out_col.lower()]
     q = fresh_prefix(df)
-    lines, par, leaves, ends, sections = (f"{q}{x}" for x in ("lines", "par", "leaves", "ends", "sections"))
-    df = df.select("*", F.split(F.coalesce(F.col(text_col), F.lit("")), "\n").alias(lines))
-    df = df.select(*names, F.transform(lines, lambda p: F.substring(F.sha2(p, 256), 1, 32)).alias(par), F.flatten(F.transform(
-        lines, lambda p: F.transform(F.regexp_extract_all(p, F.lit(CHUNK_PATTERN), F.lit(0)), lambda c: F.xxhash64(c)))).alias(leaves))
+    chunks, par, ends, sections = (f"{q}{x}" for x in ("chunks", "par", "ends", "sections"))
+    digest = lambda c, n: F.substring(F.sha2(c, 256), 1, n)
+    lines = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")
+    df = df.select(*names, F.transform(lines, lambda p: F.transform(F.regexp_extract_all(p, F.lit(CHUNK_PATTERN), F.lit(0)), lambda c: digest(c, LEAF))).alias(chunks))
+    df = df.select(*names, F.transform(chunks, lambda c: F.struct(digest(F.array_join(c, ""), NODE).alias("node"), c.alias("chunks"))).alias(par))
     p, e = F.col(par), F.col(ends)
-    df = df.select("*", F.filter(F.sequence(F.lit(1), F.size(p)), lambda i: F.get(p, i - 1).substr(1, 1).isin("0", "8") | (i == F.size(p))).alias(ends))
-    df = df.select(*names, par, leaves, F.transform(e, lambda end, k: F.sha2(F.array_join(F.slice(
-        p, F.coalesce(F.get(e, k - 1), F.lit(0)) + 1, end - F.coalesce(F.get(e, k - 1), F.lit(0))), ""), 256)).alias(sections))
-    return df.select(*names, F.struct(
-        F.sha2(F.array_join(sections, ""), 256).alias("root"), F.col(sections).alias("sections"), p.alias("paragraphs"), F.col(leaves).alias("leaves")).alias(out_col))
+    df = df.select("*", F.filter(F.sequence(F.lit(1), F.size(p)), lambda i: F.get(p, i - 1)["node"].substr(1, 1).isin("0", "8") | (i == F.size(p))).alias(ends))
+    df = df.select(*names, F.transform(e, lambda end, k: F.slice(p, F.coalesce(F.get(e, k - 1), F.lit(0)) + 1, end - F.coalesce(F.get(e, k - 1), F.lit(0)))).alias(sections))
+    df = df.select(*names, F.transform(sections, lambda s: F.struct(
+        digest(F.array_join(F.transform(s, lambda x: x["node"]), ""), NODE).alias("node"), s.alias("paragraphs"))).alias(sections))
+    root = F.sha2(F.array_join(F.transform(sections, lambda s: s["node"]), ""), 256)
+    return df.select(*names, F.struct(root.alias("root"), F.col(sections).alias("sections")).alias(out_col))
+
+
+def fingerprint(tree: Column) -> Column:
+    """A tree as a string: root:section/section…, a section node=paragraph.paragraph…, a paragraph its node and its leaves."""
+    short = lambda p: F.concat(p["node"].substr(1, SHORT_NODE), F.array_join(F.transform(p["chunks"], lambda c: c.substr(1, SHORT_LEAF)), ""))
+    section = lambda s: F.concat(s["node"].substr(1, SHORT_NODE), F.lit("="), F.array_join(F.transform(s["paragraphs"], short), "."))
+    return F.concat(tree["root"], F.lit(":"), F.array_join(F.transform(tree["sections"], section), "/"))
+
+
+def with_fingerprint(df: DataFrame, text_col: str, out_col: str) -> DataFrame:
+    """``df`` with the fingerprint of a text column."""
+    q = fresh_prefix(df) + "tree"
+    names = [c for c in df.columns if c.lower() != out_col.lower()]
+    return with_tree(df, text_col, q).select(*names, fingerprint(F.col(q)).alias(out_col))
 
 
 def _same_from_start(a: Column, b: Column) -> Column:
@@ -53,63 +72,89 @@ def _same_from_start(a: Column, b: Column) -> Column:
     return F.when(at > 0, at - 1).otherwise(n).cast("int")
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """0 to 1, from the leaves of two trees: the share of chunks in both (Dice), or unchanged from either end if more."""
-    x, y = a["leaves"], b["leaves"]
-    both = F.size(x) + F.size(y)
-    longest = F.greatest(F.size(x), F.size(y))
-    shared = 2.0 * F.size(F.array_intersect(x, y)) / (F.size(F.array_distinct(x)) + F.size(F.array_distinct(y)))
-    ends = F.least(_same_from_start(x, y) + _same_from_start(F.reverse(x), F.reverse(y)), F.least(F.size(x), F.size(y)))
-    return F.when(a["root"] == b["root"], 1.0).when(both == 0, 0.0).otherwise(F.greatest(shared, ends / longest))
+def _paragraphs(sections: Column) -> Column:
+    """The paragraphs of a fingerprint's sections, in order."""
+    return F.flatten(F.transform(sections, lambda s: F.split(F.substring_index(s, "=", -1), r"\.")))
 
 
-def edit_span(a: Column, b: Column) -> Column:
-    """Where two trees differ: struct(first, last_a, last_b) of paragraph numbers from 0, null where the roots agree."""
-    x, y = a["paragraphs"], b["paragraphs"]
-    first = _same_from_start(x, y)
-    tail = F.least(_same_from_start(F.reverse(x), F.reverse(y)), F.least(F.size(x), F.size(y)) - first)
-    return F.when(a["root"] != b["root"], F.struct(first.alias("first"), (F.size(x) - tail - 1).alias("last_a"), (F.size(y) - tail - 1).alias("last_b")))
+def _chunks(paragraphs: Column) -> Column:
+    """The leaves of a fingerprint's paragraphs, in order."""
+    return F.flatten(F.transform(paragraphs, lambda p: F.regexp_extract_all(p.substr(F.lit(SHORT_NODE + 1), F.length(p)), F.lit(f".{{{SHORT_LEAF}}}"), F.lit(0))))
 
 
-def fingerprint(tree: Column) -> Column:
-    """The root and, shortened, the nodes of the paragraphs as one string."""
-    return F.concat(tree["root"], F.lit(":"), F.array_join(F.transform(tree["paragraphs"], lambda p: F.substring(p, 1, 8)), "."))
-
-
-def _with_bucket(source: DataFrame) -> DataFrame:
-    """``source`` with __key (id, first characters) and __b, its bucket in the order of keys, alike in rows for any ids."""
-    key = F.struct(F.col("__id").alias("i"), F.substring("__text", 1, KEY_CHARS).alias("t"))
-    keys = source.select(key.alias("k")).select("k.*")
-    parts = min(MAX_BUCKETS, -(-source.count() // BUCKET_ROWS) or 1)
-    borders = keys.repartitionByRange(parts, "i", "t").groupBy(F.spark_partition_id().alias("p")).agg(F.min(F.struct("i", "t")).alias("k"))
-    borders = written(borders.select("k"), "borders").agg(F.array_sort(F.collect_set("k")).alias("__all"))
-    coarse = F.transform(F.sequence(F.lit(0), F.floor((F.size("__all") - 1) / STEP).cast("int")), lambda n: F.get("__all", n * STEP))
-    borders = borders.withColumn("__coarse", F.when(F.size("__all") > 0, coarse))
-    upto = lambda borders: F.size(F.filter(borders, lambda k: k <= F.col("__key")))
-    rows = source.withColumn("__key", key).crossJoin(F.broadcast(borders)).withColumn("__c", upto("__coarse"))
-    fine = upto(F.slice("__all", (F.col("__c") - 1) * STEP + 1, F.lit(STEP)))
-    return rows.withColumn("__b", ((F.col("__c") - 1) * STEP + fine).cast("long")).drop("__all", "__coarse", "__c")
-
-
-def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", next_col: str = "next") -> DataFrame:
-    """(id, text, tree, next) of every row; ``next`` is struct(text, tree) of the next row by id, after the last the first."""
-    source = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text"))
-    placed = _with_bucket(source)
-    # a row for each bucket, MAX_BUCKETS at most
-    firsts = placed.groupBy("__b").agg(F.min("__key").alias("__first"))
-    order = Window.orderBy("__b")
-    every = Window.partitionBy()
-    firsts = firsts.select(
-        F.col("__b").alias("__own"), "__first",
-        F.coalesce(F.lag("__b").over(order), F.max("__b").over(every)).alias("__before"),
-        F.lag("__b").over(order).isNull().alias("__wraps"),
-    )
-    joined = placed.join(F.broadcast(firsts), (F.col("__b") == F.col("__own")) & F.col("__key").eqNullSafe(F.col("__first")), "left")
-    own = F.struct(F.col("__b").alias("b"), F.lit(0).alias("copy"))
-    copy = F.struct(F.col("__before").alias("b"), F.when(F.col("__wraps"), 2).otherwise(1).alias("copy"))
-    dealt = joined.select("__id", "__text", F.explode(F.when(F.col("__own").isNotNull(), F.array(own, copy)).otherwise(F.array(own))).alias("__p"))
-    dealt = dealt.select("__id", "__text", F.col("__p.b").alias("__bucket"), F.col("__p.copy").alias("__copy"))
-    trees = with_tree(dealt.repartition("__bucket"), "__text", "__tree")
-    follow = Window.partitionBy("__bucket").orderBy("__copy", "__id", "__text")
-    rows = trees.withColumn("__next", F.lead(F.struct(F.col("__text").alias("text"), F.col("__tree").alias("tree"))).over(follow))
-    return rows.where("__copy = 0").select(F.col("__id").alias(id_col), F.col("__text").alias(text_col), F.col("__tree").alias("tree"), F.col("__next").alias(next_col))
+def with_likeness(df: DataFrame, a: str, b: str, out_col: str) -> DataFrame:
+    """``df`` with the likeness (0 to 1) of two fingerprint columns: the share of leaves in both (Dice), or of those unchanged
+    from either end if that is more.
+
+    Sections in both are shared as they are; in the others, paragraphs in both; only in the rest leaves are compared.
+    """
+    names = [c for c in df.columns if c.lower() != out_col.lower()]
+    q = fresh_prefix(df)
+    c = lambda x: F.col(q + x)
+    size = lambda x: F.size(x)
+    sections = lambda f: F.split(F.substring_index(F.col(f), ":", -1), "/")
+    df = df.select(*names, sections(a).alias(q + "sa"), sections(b).alias(q + "sb"))
+    df = df.select(
+        *names, _chunks(_paragraphs(c("sa"))).alias(q + "la"), _chunks(_paragraphs(c("sb"))).alias(q + "lb"),
+        _paragraphs(F.array_except(c("sa"), c("sb"))).alias(q + "pa"), _paragraphs(F.array_except(c("sb"), c("sa"))).alias(q + "pb"),
+        size(_chunks(_paragraphs(F.array_intersect(c("sa"), c("sb"))))).alias(q + "n"))
+    df = df.select(
+        *names, q + "la", q + "lb", F.array_distinct(_chunks(F.array_except(c("pa"), c("pb")))).alias(q + "ca"),
+        F.array_distinct(_chunks(F.array_except(c("pb"), c("pa")))).alias(q + "cb"),
+        (c("n") + size(_chunks(F.array_intersect(c("pa"), c("pb"))))).alias(q + "n"))
+    both = 2 * c("n") + size(c("ca")) + size(c("cb"))
+    longest = F.greatest(size(c("la")), size(c("lb")))
+    ends = F.least(_same_from_start(c("la"), c("lb")) + _same_from_start(F.reverse(c("la")), F.reverse(c("lb"))), F.least(size(c("la")), size(c("lb"))))
+    shared = 2.0 * (c("n") + size(F.array_intersect(c("ca"), c("cb")))) / both
+    return df.select(*names, F.when(F.col(a) == F.col(b), 1.0).when((both == 0) | (longest == 0), 0.0).otherwise(F.greatest(shared, ends / longest)).alias(out_col))
+
+
+def edit_span(a: Column, b: Column) -> Column:
+    """Where two trees differ: struct(first, last_a, last_b) of paragraph numbers from 0, null where the roots agree.
+
+    Only paragraphs of the sections between the first and the last that differ are compared.
+    """
+    x, y = a["sections"], b["sections"]
+    nodes = lambda s: F.transform(s, lambda n: n["node"])
+    head = _same_from_start(nodes(x), nodes(y))
+    tail = F.least(_same_from_start(F.reverse(nodes(x)), F.reverse(nodes(y))), F.least(F.size(x), F.size(y)) - head)
+    inner = lambda s: F.flatten(F.transform(F.slice(s, head + 1, F.size(s) - head - tail), lambda n: nodes(n["paragraphs"])))
+    before = F.aggregate(F.slice(x, F.lit(1), head), F.lit(0), lambda n, s: n + F.size(s["paragraphs"]))
+    p, r = inner(x), inner(y)
+    first = _same_from_start(p, r)
+    last = F.least(_same_from_start(F.reverse(p), F.reverse(r)), F.least(F.size(p), F.size(r)) - first)
+    return F.when(a["root"] != b["root"], F.struct(
+        (before + first).alias("first"), (before + F.size(p) - last - 1).alias("last_a"), (before + F.size(r) - last - 1).alias("last_b")))
+
+
+def _befores(keys: DataFrame) -> DataFrame:
+    """Distinct ``keys`` (i, t, h, n) with before: struct(i, t, h, n) of the row before in the order of i, t, h; of the first, the last."""
+    parts = max(1, -(-keys.count() // PART_ROWS))
+    placed = written(keys.repartitionByRange(parts, "i", "t", "h").withColumn("part", F.spark_partition_id()), "keys")
+    whole = F.struct("i", "t", "h", "n")
+    # a row for each range partition
+    order, every = Window.orderBy("part"), Window.partitionBy()
+    ends = placed.groupBy("part").agg(F.max(whole).alias("last"))
+    ends = ends.select(F.col("part").alias("own_part"), F.coalesce(F.lag("last").over(order), F.max("last").over(every)).alias("border"))
+    inside = F.lag(whole).over(Window.partitionBy("part").orderBy("i", "t", "h"))
+    return placed.withColumn("inside", inside).join(F.broadcast(ends), F.col("part") == F.col("own_part")).select(
+        "i", "h", F.coalesce("inside", "border").alias("before"))
+
+
+def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", next_col: str = "next", share: float = 0.25) -> DataFrame:
+    """(id, text, next) of every row; ``next`` is struct(text, fingerprint) of the next document by id, after the last the first.
+
+    ``next.text`` is the beginning of the next text, ``share`` times as long as the row's own text (or all of it).
+    """
+    rows = docs.select(F.col(id_col).alias("i"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    keys = written(rows.groupBy("i", F.substring("text", 1, KEY_CHARS).alias("t"), "h", F.length("text").alias("n")).agg(F.count("*").alias("copies")), "documents")
+    before = _befores(keys.drop("copies")).select(F.col("i").alias("ki"), F.col("h").alias("kh"), "before")
+    once = rows if keys.where("copies > 1").isEmpty() else rows.dropDuplicates(["i", "h"])
+    known = once.join(before, F.col("i").eqNullSafe(F.col("ki")) & (F.col("h") == F.col("kh")))
+    sent = known.select(
+        F.col("before.i").alias("ki"), F.col("before.h").alias("kh"), "text",
+        F.expr(f"left(text, cast(floor(before.n * {share}D) as int))").alias("head"))
+    sent = with_fingerprint(sent, "text", "print").select("ki", "kh", F.struct(F.col("head").alias("text"), F.col("print").alias("fingerprint")).alias("next"))
+    got = rows.join(sent, F.col("i").eqNullSafe(F.col("ki")) & (F.col("h") == F.col("kh")))
+    return got.select(F.col("i").alias(id_col), F.col("text").alias(text_col), F.col("next").alias(next_col))

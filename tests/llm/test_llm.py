@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from leadloom.llm import bpe, chat, fingerprint, langid, licenses, neardup, packing, pii, queries, rules, weak_quality
 from leadloom.llm.components import components
+from leadloom.llm.shared import written
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -583,25 +584,40 @@ def test_fingerprints(spark, sf, docs):
 
 
 def test_next_crosses_buckets(spark, monkeypatch):
-    monkeypatch.setattr(fingerprint, "BUCKET_ROWS", 3)
+    monkeypatch.setattr(fingerprint, "PART_ROWS", 3)
     ids = [None, *random.Random(2).sample(range(10**9), 30), *range(5000, 5040), -5, 7, 7]
     df = spark.createDataFrame([(i, f"text {i} {n if i == 7 else ''}") for n, i in enumerate(ids)], "doc_id long, text string").repartition(4)
-    rows = fingerprint.with_next(df).collect()
+    rows = fingerprint.with_next(df, share=100).collect()
     order = sorted(((i is not None, i or 0, t) for i, t in df.collect()))
     want = {(i, t): order[(k + 1) % len(order)][2] for k, (_, i, t) in enumerate(order)}
     assert {((r["doc_id"] or 0), r["text"]): r["next"]["text"] for r in rows} == want and len(rows) == len(ids)
 
 
 def test_next_with_any_ids(spark, monkeypatch):
-    monkeypatch.setattr(fingerprint, "BUCKET_ROWS", 3)
+    monkeypatch.setattr(fingerprint, "PART_ROWS", 3)
     ids = [-2**63, 2**63 - 1, 10**15, *range(2**62, 2**62 + 40), *range(300), *[None] * 60, *[5] * 30]
     df = spark.createDataFrame([(i, f"{n * 7919 % 1000} text") for n, i in enumerate(ids)], "doc_id long, text string").repartition(4)
-    rows = fingerprint.with_next(df).collect()
+    rows = fingerprint.with_next(df, share=100).collect()
     order = sorted(((i is not None, i or 0, t) for i, t in df.collect()))
     want = {(i, n, t): order[(k + 1) % len(order)][2] for k, (n, i, t) in enumerate(order)}
     assert {(r["doc_id"] or 0, r["doc_id"] is not None, r["text"]): r["next"]["text"] for r in rows} == want and len(rows) == len(ids)
-    placed = fingerprint._with_bucket(df.select(F.col("doc_id").alias("__id"), F.col("text").alias("__text")))
-    assert placed.groupBy("__b").count().agg(F.max("count")).first()[0] < 40  # neither dense ids nor nulls meet in one bucket
+
+
+def test_keys_are_dealt_evenly(spark, monkeypatch):
+    monkeypatch.setattr(fingerprint, "PART_ROWS", 1000)
+    asked = []
+    monkeypatch.setattr(fingerprint, "written", lambda df, label: asked.append(written(df, label)) or asked[-1])
+    rows = spark.range(20_000).select(F.when(F.col("id") < 6000, None).when(F.col("id") == 7000, 9 * 10**18).otherwise(F.col("id")).alias("doc_id"),
+                                      F.concat(F.lit("text "), "id").alias("text"))  # null ids, dense ids and one far away
+    assert fingerprint.with_next(rows).count() == 20_000
+    sizes = [r["count"] for r in asked[1].groupBy("part").count().collect()]
+    assert len(sizes) == 20 and max(sizes) < 2 * 1000
+
+
+def test_equal_rows_are_one_document(spark):
+    df = spark.createDataFrame([(1, "a" * 9)] * 5 + [(2, "b" * 50)] + [(None, "c")] * 3, "doc_id long, text string")
+    got = [(r["doc_id"], r["next"]["text"]) for r in fingerprint.with_next(df).collect()]
+    assert sorted(got, key=str) == sorted([(1, "bb")] * 5 + [(2, "c")] + [(None, "")] * 3, key=str)
 
 
 def test_edit_span_and_edges(spark, odd, empty):
@@ -611,14 +627,88 @@ def test_edit_span_and_edges(spark, odd, empty):
     assert tuple(spans[0]) == (1, 1, 2) and spans[1] is None and tuple(spans[2]) == (0, 0, 0)
     rows = fingerprint.with_next(odd).collect()
     assert len(rows) == 14 and all(r["next"] is not None for r in rows)
-    assert fingerprint.with_next(empty).count() == 0 and fingerprint.with_next(odd.where("doc_id = 5").limit(1)).first()["next"]["text"] == sentence(80, 1)
+    assert fingerprint.with_next(empty).count() == 0 and fingerprint.with_next(odd.where("doc_id = 5").limit(1), share=1).first()["next"]["text"] == sentence(80, 1)
+
+
+def merkle(text):
+    """A plain Merkle tree: (root, sections), a section (node, paragraphs), a paragraph (node, leaves)."""
+    digest = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    sections, open_section = [], []
+    lines = text.split("\n")
+    for k, line in enumerate(lines):
+        leaves = [digest(c)[:16] for c in re.findall(r"[^.!?]{0,15}[.!?]+ ?|[^.!?]{1,16}", line)]
+        open_section.append((digest("".join(leaves))[:32], leaves))
+        if open_section[-1][0][0] in "08" or k + 1 == len(lines):
+            sections.append((digest("".join(n for n, _ in open_section))[:32], open_section))
+            open_section = []
+    return digest("".join(n for n, _ in sections)), sections
+
+
+def test_tree_equals_plain_merkle(spark, docs):
+    texts = ["", "\n", "a\n\nb", "x" * 40, "One. Two! Three?! ..."] + ["\n".join(sentence(n % 13, n + k) + "." for n in range(k)) for k in (5, 40)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").unionByName(docs.select("text").limit(40))
+    for r in fingerprint.with_tree(df, "text", "t").withColumn("f", fingerprint.fingerprint(F.col("t"))).collect():
+        root, sections = merkle(r["text"])
+        assert r["t"]["root"] == root and [(s["node"], [(p["node"], p["chunks"]) for p in s["paragraphs"]]) for s in r["t"]["sections"]] == sections
+        assert r["f"] == root + ":" + "/".join(n[:8] + "=" + ".".join(p[:8] + "".join(c[:6] for c in cs) for p, cs in ps) for n, ps in sections)
+
+
+def plain_likeness(a, b):
+    """Likeness of two fingerprints, level by level, and from the ends."""
+    if a == b:
+        return 1.0
+    level = lambda f: f.split(":")[1].split("/")
+    inner = lambda ss: [p for s in ss for p in s.split("=")[1].split(".")]
+    leaves = lambda ps: [p[i: i + 6] for p in ps for i in range(8, len(p), 6)]
+    less = lambda x, y: [v for v in dict.fromkeys(x) if v not in y]
+    both = lambda x, y: [v for v in dict.fromkeys(x) if v in y]
+    sa, sb = level(a), level(b)
+    n = len(leaves(inner(both(sa, sb))))
+    p, q = inner(less(sa, sb)), inner(less(sb, sa))
+    n += len(leaves(both(p, q)))
+    x, y = set(leaves(less(p, q))), set(leaves(less(q, p)))
+    la, lb = leaves(inner(sa)), leaves(inner(sb))
+    if not la or not lb:
+        return 0.0
+    run = lambda u, v: next((i for i, (c, d) in enumerate(zip(u, v)) if c != d), min(len(u), len(v)))
+    ends = min(run(la, lb) + run(la[::-1], lb[::-1]), len(la), len(lb))
+    return max(2 * (n + len(x & y)) / (2 * n + len(x) + len(y)), ends / max(len(la), len(lb)))
+
+
+def test_likeness_comes_from_the_fingerprint(spark, sf):
+    rows = queries.op10_fingerprint(spark, sf).collect()
+    after = dict(zip((r["doc_id"] for r in sorted(rows, key=lambda r: r["doc_id"])), [r["fingerprint"] for r in sorted(rows, key=lambda r: r["doc_id"])][1:] + [min(rows, key=lambda r: r["doc_id"])["fingerprint"]]))
+    for r in rows:
+        assert abs(r["near_edited"] - plain_likeness(r["fingerprint"], r["edited_fingerprint"])) < 1e-12
+        assert abs(r["near_next"] - plain_likeness(r["fingerprint"], after[r["doc_id"]])) < 1e-12
+
+
+def test_edit_span_equals_plain_search(spark):
+    rng, pairs = random.Random(6), []
+    for k in range(60):
+        lines = [sentence(rng.randrange(4), rng.randrange(30)) for _ in range(rng.randrange(1, 40))]
+        other = list(lines)
+        a = rng.randrange(len(lines))
+        other[a: rng.randrange(a, len(lines) + 1)] = [f"new {k} {i}" for i in range(rng.randrange(3))]
+        pairs.append(("\n".join(lines), "\n".join(other)))
+    df = spark.createDataFrame([(k, *p) for k, p in enumerate(pairs)], "k long, p string, q string")
+    df = fingerprint.with_tree(fingerprint.with_tree(df, "p", "tp"), "q", "tq")
+    for r in df.select("k", fingerprint.edit_span(F.col("tp"), F.col("tq")).alias("s")).collect():
+        p, q = (x.split("\n") for x in pairs[r["k"]])
+        if p == q:
+            assert r["s"] is None
+            continue
+        head = next((i for i, (x, y) in enumerate(zip(p, q)) if x != y), min(len(p), len(q)))
+        tail = next((i for i, (x, y) in enumerate(zip(p[::-1], q[::-1])) if x != y), min(len(p), len(q)))
+        tail = min(tail, min(len(p), len(q)) - head)
+        # repeated lines at the border of an insertion may be counted to either side
+        assert (r["s"]["last_a"] - r["s"]["first"], r["s"]["last_b"] - r["s"]["first"]) == (len(p) - tail - 1 - head, len(q) - tail - 1 - head) and r["s"]["first"] == head
 
 
 # --- pipeline and SQL -----------------------------------------------------------------------------------------------------------
 
 def test_pipeline_stages(spark, sf, docs):
     import corpus_pipeline
-    from leadloom.llm.shared import written
 
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "quality_classifier", "near_dedup", "pseudonyms", "best_fit_packing"]
     now, counts = docs, [docs.count()]
