@@ -86,27 +86,25 @@ def with_likeness(df: DataFrame, a: str, b: str, out_col: str) -> DataFrame:
     """``df`` with the likeness (0 to 1) of two fingerprint columns: the share of leaves in both (Dice), or of those unchanged
     from either end if that is more.
 
-    Sections in both are shared as they are; in the others, paragraphs in both; only in the rest leaves are compared.
+    Sections in both are shared as they are; in the others, paragraphs in both; only in the rest leaves are compared. Of
+    sections, paragraphs and, for the Dice share, leaves that a text repeats, one counts.
     """
     names = [c for c in df.columns if c.lower() != out_col.lower()]
     q = fresh_prefix(df)
     c = lambda x: F.col(q + x)
-    size = lambda x: F.size(x)
     sections = lambda f: F.split(F.substring_index(F.col(f), ":", -1), "/")
     df = df.select(*names, sections(a).alias(q + "sa"), sections(b).alias(q + "sb"))
     df = df.select(
-        *names, _chunks(_paragraphs(c("sa"))).alias(q + "la"), _chunks(_paragraphs(c("sb"))).alias(q + "lb"),
-        _paragraphs(F.array_except(c("sa"), c("sb"))).alias(q + "pa"), _paragraphs(F.array_except(c("sb"), c("sa"))).alias(q + "pb"),
-        size(_chunks(_paragraphs(F.array_intersect(c("sa"), c("sb"))))).alias(q + "n"))
+        *names, _paragraphs(F.array_except(c("sa"), c("sb"))).alias(q + "pa"), _paragraphs(F.array_except(c("sb"), c("sa"))).alias(q + "pb"),
+        F.size(_chunks(_paragraphs(F.array_intersect(c("sa"), c("sb"))))).alias(q + "n"))
     df = df.select(
-        *names, q + "la", q + "lb", F.array_distinct(_chunks(F.array_except(c("pa"), c("pb")))).alias(q + "ca"),
-        F.array_distinct(_chunks(F.array_except(c("pb"), c("pa")))).alias(q + "cb"),
-        (c("n") + size(_chunks(F.array_intersect(c("pa"), c("pb"))))).alias(q + "n"))
-    both = 2 * c("n") + size(c("ca")) + size(c("cb"))
-    longest = F.greatest(size(c("la")), size(c("lb")))
-    ends = F.least(_same_from_start(c("la"), c("lb")) + _same_from_start(F.reverse(c("la")), F.reverse(c("lb"))), F.least(size(c("la")), size(c("lb"))))
-    shared = 2.0 * (c("n") + size(F.array_intersect(c("ca"), c("cb")))) / both
-    return df.select(*names, F.when(F.col(a) == F.col(b), 1.0).when((both == 0) | (longest == 0), 0.0).otherwise(F.greatest(shared, ends / longest)).alias(out_col))
+        *names, _chunks(F.array_except(c("pa"), c("pb"))).alias(q + "x"), _chunks(F.array_except(c("pb"), c("pa"))).alias(q + "y"),
+        (c("n") + F.size(_chunks(F.array_intersect(c("pa"), c("pb"))))).alias(q + "n"))
+    x, y, n = c("x"), c("y"), c("n")
+    longest = n + F.greatest(F.size(x), F.size(y))
+    ends = n + F.least(_same_from_start(x, y) + _same_from_start(F.reverse(x), F.reverse(y)), F.least(F.size(x), F.size(y)))
+    shared = 2.0 * (n + F.size(F.array_intersect(x, y))) / (2 * n + F.size(F.array_distinct(x)) + F.size(F.array_distinct(y)))
+    return df.select(*names, F.when(F.col(a) == F.col(b), 1.0).when(longest == 0, 0.0).otherwise(F.greatest(shared, ends / longest)).alias(out_col))
 
 
 def edit_span(a: Column, b: Column) -> Column:
@@ -151,10 +149,11 @@ def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     keys = written(rows.groupBy("i", F.substring("text", 1, KEY_CHARS).alias("t"), "h", F.length("text").alias("n")).agg(F.count("*").alias("copies")), "documents")
     before = _befores(keys.drop("copies")).select(F.col("i").alias("ki"), F.col("h").alias("kh"), "before")
     once = rows if keys.where("copies > 1").isEmpty() else rows.dropDuplicates(["i", "h"])
-    known = once.join(before, F.col("i").eqNullSafe(F.col("ki")) & (F.col("h") == F.col("kh")))
+    # both joins deal the texts by the same key, whatever their size: one shuffle
+    known = once.join(before.hint("merge"), F.col("i").eqNullSafe(F.col("ki")) & (F.col("h") == F.col("kh")))
     sent = known.select(
         F.col("before.i").alias("ki"), F.col("before.h").alias("kh"), "text",
         F.expr(f"left(text, cast(floor(before.n * {share}D) as int))").alias("head"))
     sent = with_fingerprint(sent, "text", "print").select("ki", "kh", F.struct(F.col("head").alias("text"), F.col("print").alias("fingerprint")).alias("next"))
-    got = rows.join(sent, F.col("i").eqNullSafe(F.col("ki")) & (F.col("h") == F.col("kh")))
+    got = rows.join(sent.hint("merge"), F.col("i").eqNullSafe(F.col("ki")) & (F.col("h") == F.col("kh")))
     return got.select(F.col("i").alias(id_col), F.col("text").alias(text_col), F.col("next").alias(next_col))

@@ -666,13 +666,14 @@ def plain_likeness(a, b):
     n = len(leaves(inner(both(sa, sb))))
     p, q = inner(less(sa, sb)), inner(less(sb, sa))
     n += len(leaves(both(p, q)))
-    x, y = set(leaves(less(p, q))), set(leaves(less(q, p)))
-    la, lb = leaves(inner(sa)), leaves(inner(sb))
-    if not la or not lb:
+    la, lb = leaves(less(p, q)), leaves(less(q, p))
+    x, y = set(la), set(lb)
+    longest = n + max(len(la), len(lb))
+    if not longest:
         return 0.0
     run = lambda u, v: next((i for i, (c, d) in enumerate(zip(u, v)) if c != d), min(len(u), len(v)))
-    ends = min(run(la, lb) + run(la[::-1], lb[::-1]), len(la), len(lb))
-    return max(2 * (n + len(x & y)) / (2 * n + len(x) + len(y)), ends / max(len(la), len(lb)))
+    ends = n + min(run(la, lb) + run(la[::-1], lb[::-1]), len(la), len(lb))
+    return max(2 * (n + len(x & y)) / (2 * n + len(x) + len(y)), ends / longest)
 
 
 def test_likeness_comes_from_the_fingerprint(spark, sf):
