@@ -146,21 +146,20 @@ def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
 
     ``next.text`` is the beginning of the next text, ``share`` times as long as the row's own text (or all of it).
     """
-    known_id = F.coalesce(F.hash("i"), F.lit(0))
+    # a document goes by 128 bits of hashes of its id (null has one too) and its text
     rows = docs.select(F.col(id_col).alias("i"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("h", F.xxhash64("text"))
     keys = written(rows.groupBy("i", F.substring("text", 1, KEY_CHARS).alias("t"), "h", F.length("text").alias("n")).agg(F.count("*").alias("copies")), "documents")
-    before = _befores(keys.drop("copies")).select(F.col("i").alias("ki"), F.col("h").alias("kh"), known_id.alias("kk"), "before")
+    before = _befores(keys.drop("copies")).select(F.col("h").alias("kh"), F.xxhash64("i").alias("kk"), "before")
     total = keys.agg(F.max("copies").alias("most"), F.sum(F.col("n") * F.col("copies")).alias("chars")).first()
     # both joins deal the texts by the same key, whatever their size: one shuffle, its partitions by the characters
-    same = (F.col("i") == F.col("ki")) | (F.col("i").isNull() & F.col("ki").isNull())  # not a join key of its own
-    rows = rows.withColumn("k", known_id).repartition(max(1, -(-(total["chars"] or 0) // PART_CHARS)), "k", "h")
+    rows = rows.withColumn("k", F.xxhash64("i")).repartition(max(1, -(-(total["chars"] or 0) // PART_CHARS)), "k", "h")
     once = rows if (total["most"] or 0) < 2 else rows.dropDuplicates(["i", "h"])
-    known = once.join(before.hint("merge"), (F.col("k") == F.col("kk")) & (F.col("h") == F.col("kh")) & same)
+    known = once.join(before.hint("merge"), (F.col("k") == F.col("kk")) & (F.col("h") == F.col("kh")))
     sent = known.select(
-        F.col("before.i").alias("ki"), F.col("before.h").alias("kh"), "text",
+        F.xxhash64("before.i").alias("kk"), F.col("before.h").alias("kh"), "text",
         F.expr(f"left(text, cast(floor(before.n * {share}D) as int))").alias("head"))
     sent = with_fingerprint(sent, "text", "print").select(
-        "ki", "kh", F.coalesce(F.hash("ki"), F.lit(0)).alias("kk"), F.struct(F.col("head").alias("text"), F.col("print").alias("fingerprint")).alias("next"))
-    got = rows.join(sent.hint("merge"), (F.col("k") == F.col("kk")) & (F.col("h") == F.col("kh")) & same)
+        "kk", "kh", F.struct(F.col("head").alias("text"), F.col("print").alias("fingerprint")).alias("next"))
+    got = rows.join(sent.hint("merge"), (F.col("k") == F.col("kk")) & (F.col("h") == F.col("kh")))
     return got.select(F.col("i").alias(id_col), F.col("text").alias(text_col), F.col("next").alias(next_col))
