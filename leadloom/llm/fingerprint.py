@@ -11,7 +11,8 @@ only into branches that differ, so the differing branches locate an edit.
 
 Scale: a tree is made within its row, linear in the text. ``with_next`` gives each row the beginning of the next text by id
 and its fingerprint: keys of rows (id, first characters and hash of the text) are put in order by range partitions, each
-row learns who comes before it, and sends the characters that this one needs there. Texts are shuffled once, by key.
+row learns who comes before it, and sends the characters that this one needs there. Texts are shuffled once, by hashes of
+id and text, into partitions that follow the characters; only rows of equal id and text meet in one task.
 
 Edge cases: a null text counts as empty; an empty text has one empty paragraph and no chunk; a lone document follows
 itself; repeated ids follow each other in the order of their texts (of their first 100 characters, then of a hash); rows of

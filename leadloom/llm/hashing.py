@@ -6,8 +6,9 @@ import functools
 
 import numpy as np
 
-#: Hash functions of a signature.
+#: Hash functions of a signature, and more of a sketch.
 SYMBOLS = 32
+SKETCH = 128
 
 _U = np.uint64
 _POWER, _ODD = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
@@ -15,12 +16,12 @@ _POWER, _ODD = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 
 @functools.lru_cache(maxsize=1)
 def constants() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Random values of bytes, space flags of bytes, shingle multipliers and hash multipliers (all odd)."""
+    """Random values of bytes, space flags of bytes, shingle multipliers and hash multipliers of signature and sketch (all odd)."""
     rng = np.random.Generator(np.random.PCG64(20240229))
     odd = lambda n: rng.integers(0, 2**63, n, dtype=_U) * _U(2) + _U(1)
     space = np.zeros(256, dtype=bool)
     space[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-    return odd(256), space, odd(64), odd(SYMBOLS)
+    return odd(256), space, odd(64), np.concatenate((odd(SYMBOLS), odd(SKETCH)))
 
 
 _powers: list[np.ndarray] = [np.ones(1, dtype=_U), np.ones(1, dtype=_U)]

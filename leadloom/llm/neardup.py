@@ -6,8 +6,11 @@
    one symbol of some chunk (8 * 2 - 1 = 15). For each chunk, every allowed error position is enumerated: the other
    three symbols make a key. So all pairs within distance 15 meet under a key. At a similarity of 0.85 a pair differs in
    more than 15 of 32 symbols with a probability near 3e-6 (1e-4 at 0.8), and only then can it be missed.
-3. Under each key, members within the distance are joined to a forest (no pair list leaves the task), the forests'
-   components are clusters, and in each cluster the exact overlaps of full sets decide the links.
+3. Under each key, members within the distance whose sizes allow the similarity, and whose sketches (8 bits each of 128
+   further MinHashes) do not speak against it, are joined to a forest (no pair list leaves the task). The sketch rules out
+   a pair at the similarity with a probability near 1e-5, and nearly all pairs that are 0.2 below it, so texts that only
+   resemble each other do not chain. The forests' components are clusters, and in each cluster the exact overlaps of full
+   sets decide the links.
 
 Scale: (key, id) rows are 32 for each class; only keys with two members or more go on. A key or cluster of many members
 is dealt to tasks by pairs of blocks, so no group gathers in one task and none is capped. Sets are made again for
@@ -28,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from leadloom.llm.components import components
-from leadloom.llm.hashing import SYMBOLS, constants, mix, shingles_of, span_hashes, word_bounds
+from leadloom.llm.hashing import SKETCH, SYMBOLS, constants, mix, shingles_of, span_hashes, word_bounds
 from leadloom.llm.shared import fresh_prefix, groups_of, small_keys, written
 
 WORDS = 5
@@ -38,8 +41,10 @@ FILTER_PERCENT = 80
 CHUNKS = 8
 WIDTH = SYMBOLS // CHUNKS
 DISTANCE = CHUNKS * 2 - 1
+#: Standard deviations below the similarity at which a sketch rules a pair out.
+SKETCH_DEVIATIONS = 4.5
 #: Members and set bytes of a block.
-BLOCK_ROWS = 2048
+BLOCK_ROWS = 1024
 BLOCK_BYTES = 24_000_000
 
 _U = np.uint64
@@ -54,13 +59,24 @@ def shingle_set(text: str | None, words: int = WORDS) -> np.ndarray:
     return np.unique(shingles_of(span_hashes(raw, starts, ends), words))
 
 
+def minima(shingles: np.ndarray) -> np.ndarray:
+    """The mixed minimum under each hash function, signature first, then sketch."""
+    factors = constants()[3][:, None]
+    least = np.full(len(factors), np.iinfo(np.uint64).max, dtype=_U)
+    for at in range(0, len(shingles), 512):
+        np.minimum(least, (shingles[None, at: at + 512] * factors).min(axis=1), out=least)
+    return mix(least)
+
+
 def signature(shingles: np.ndarray) -> np.ndarray:
     """16 bits of the minimum under each hash function."""
-    factors = constants()[3]
-    least = np.full(SYMBOLS, np.iinfo(np.uint64).max, dtype=_U)
-    for at in range(0, len(shingles), 2048):
-        np.minimum(least, (shingles[None, at: at + 2048] * factors[:, None]).min(axis=1), out=least)
-    return (mix(least) >> _U(48)).astype(np.uint16)
+    return (minima(shingles)[:SYMBOLS] >> _U(48)).astype(np.uint16)
+
+
+def least_agreement(percent: int) -> int:
+    """Symbols of the sketch in which a pair at the similarity agrees, but for a chance near 1e-5."""
+    p = percent / 100
+    return int(SKETCH * p - SKETCH_DEVIATIONS * (SKETCH * p * (1 - p)) ** 0.5)
 
 
 def chunk_keys(signatures: np.ndarray) -> np.ndarray:
@@ -94,11 +110,20 @@ def _forest(n: int, linked: Callable[[int], np.ndarray]) -> list[tuple[int, int]
     return out
 
 
-def close_signatures(ids: np.ndarray, signatures: np.ndarray) -> list[tuple[int, int]]:
-    """Forest edges (ids) of the pairs of signatures within the distance."""
+def close_signatures(ids: np.ndarray, sizes: np.ndarray, signatures: np.ndarray, sketches: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Forest edges (ids) of the pairs within the signature distance whose sizes and sketches allow the similarity."""
+    agree = least_agreement(percent)
+
+    def linked(k: int) -> np.ndarray:
+        near = (signatures != signatures[k]).sum(axis=1) <= DISTANCE
+        near &= 100 * np.minimum(sizes, sizes[k]) >= percent * np.maximum(sizes, sizes[k])
+        at = np.flatnonzero(near)
+        near[at] = (sketches[at] == sketches[k]).sum(axis=1) >= agree
+        return near
+
     if len(ids) == 2:
-        return [(ids[1], ids[0])] if (signatures[0] != signatures[1]).sum() <= DISTANCE else []
-    return [(ids[i], ids[j]) for i, j in _forest(len(ids), lambda k: (signatures != signatures[k]).sum(axis=1) <= DISTANCE)]
+        return [(ids[1], ids[0])] if linked(0)[1] else []
+    return [(ids[i], ids[j]) for i, j in _forest(len(ids), linked)]
 
 
 def linked_sets(ids: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, int]]:
@@ -146,26 +171,29 @@ def _dealt(rows: DataFrame, key: str, blocks: str, id_col: str) -> DataFrame:
 
 
 def signatures(docs: DataFrame, *, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, digest of the set, sig: 32 16-bit symbols) of every row; no digest for an empty set."""
+    """(id, n_shingles, digest of the set, sig: 32 symbols of 16 bits, sketch: 128 of 8 bits) of every row; no digest for an empty set."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, digests, signed = [], [], []
+            sizes, digests, signed, sketches = [], [], [], []
             for text in batch.column("text"):
                 shingles = shingle_set(text.as_py(), words)
                 sizes.append(len(shingles))
                 digests.append(hashlib.blake2b(shingles, digest_size=16).digest() if len(shingles) else None)
-                signed.append(signature(shingles).tobytes() if len(shingles) else None)
+                least = minima(shingles) if len(shingles) else None
+                signed.append(None if least is None else (least[:SYMBOLS] >> _U(48)).astype(np.uint16).tobytes())
+                sketches.append(None if least is None else (least[SYMBOLS:] >> _U(56)).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(signed, pa.binary())],
-                names=["id", "n_shingles", "digest", "sig"])
+                [batch.column("id"), pa.array(sizes, pa.int64()), *(pa.array(x, pa.binary()) for x in (digests, signed, sketches))],
+                names=["id", "n_shingles", "digest", "sig", "sketch"])
 
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return source.mapInArrow(sign, "id long, n_shingles long, digest binary, sig binary")
+    return source.mapInArrow(sign, "id long, n_shingles long, digest binary, sig binary, sketch binary")
 
 
-def hamming_join(signed: DataFrame) -> DataFrame:
-    """Forest edges (a, b) that connect all pairs of (id, sig) rows within the signature distance.
+def hamming_join(signed: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Forest edges (a, b) that connect all pairs of (id, n, sig, sketch) rows within the signature distance that may have
+    ``percent`` of their shingles in common by their sizes n and their sketches.
 
     ``signed`` must be a table that can be read again.
     """
@@ -183,7 +211,8 @@ def hamming_join(signed: DataFrame) -> DataFrame:
         for group in groups_of(batches, ["key", "pair"]):
             if group.num_rows > 1:
                 marks = np.frombuffer(b"".join(group.column("sig").to_pylist()), dtype=np.uint16).reshape(-1, SYMBOLS)
-                found += close_signatures(group.column("id").to_numpy(), marks)
+                sketches = np.frombuffer(b"".join(group.column("sketch").to_pylist()), dtype=np.uint8).reshape(-1, SKETCH)
+                found += close_signatures(group.column("id").to_numpy(), group.column("n").to_numpy(), marks, sketches, percent)
             if len(found) > 50_000:
                 yield _edges(list(set(found)))
                 found = []
@@ -191,9 +220,8 @@ def hamming_join(signed: DataFrame) -> DataFrame:
 
     keyed = signed.select("id", "sig").mapInArrow(key_rows, "key long, id long")
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    rows = keyed.join(shared, "key").join(signed.select("id", "sig"), "id")
-    rows = rows.withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS))
-    return _dealt(rows.select("key", "id", "sig", "blocks"), "key", "blocks", "id").mapInArrow(join, "a long, b long").distinct()
+    rows = keyed.join(shared.withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS)).drop("n"), "key").join(signed.select("id", "n", "sig", "sketch"), "id")
+    return _dealt(rows.select("key", "id", "n", "sig", "sketch", "blocks"), "key", "blocks", "id").mapInArrow(join, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -201,7 +229,7 @@ def near_duplicates(docs: DataFrame, *, words: int = WORDS, percent: int = PERCE
 
     ``component_id`` is the least id that can be reached, itself included; ``kept`` is true for that document.
     ``percent`` should be 80 or more: at 0.8 a pair exceeds the signature distance with a probability near 1e-4, at 0.85
-    near 3e-6.
+    near 3e-6; the sketch adds about 1e-5.
     """
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,8 +247,8 @@ def near_duplicates(docs: DataFrame, *, words: int = WORDS, percent: int = PERCE
 
     signed = written(signatures(docs, words=words, id_col=id_col, text_col=text_col), "signed")
     named = signed.where("digest is not null and id is not null")
-    classes = written(named.groupBy("digest").agg(F.min("id").alias("id"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n")), "classes")
-    clusters = components(hamming_join(classes))
+    classes = written(named.groupBy("digest").agg(F.min("id").alias("id"), F.first("sig").alias("sig"), F.first("sketch").alias("sketch"), F.first("n_shingles").alias("n")), "classes")
+    clusters = components(hamming_join(classes, percent))
     sizes = clusters.join(classes.select(F.col("id").alias("node"), "n"), "node").groupBy("label").agg(F.count("*").alias("rows"), F.sum("n").alias("n"))
     blocks = sizes.select("label", F.ceil(F.greatest(F.col("rows") / BLOCK_ROWS, F.col("n") * 8 / BLOCK_BYTES)).alias("blocks"))
     members = written(clusters.join(blocks, "label").select(F.col("node").alias("id"), F.col("label").alias("cluster"), "blocks"), "members")

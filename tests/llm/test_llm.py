@@ -543,11 +543,39 @@ def test_hamming_join_finds_all_pairs_in_distance(spark):
         at = rng.choice(32, neardup.DISTANCE, replace=False)  # the worst case of the pigeonhole
         other[at] ^= np.uint16(1)
         marks += [base[i], other]
-    df = spark.createDataFrame([(i, bytearray(m.tobytes())) for i, m in enumerate(marks)], "id long, sig binary")
+    alike = bytearray(range(neardup.SKETCH))
+    df = spark.createDataFrame([(i, 50, bytearray(m.tobytes()), alike) for i, m in enumerate(marks)], "id long, n long, sig binary, sketch binary")
     labels = {r["node"]: r["label"] for r in components(neardup.hamming_join(df)).collect()}
     assert all(labels.get(2 * i + 1) == 2 * i for i in range(40))
 
 
+def test_chain_of_resembling_texts_makes_no_cluster(spark, monkeypatch):
+    """Each of 5,000 texts has a similarity near 0.6 with the next: no link, and no cluster to compare."""
+    words = [f"w{i}" for i in range(5000 * 10 + 40)]
+    rows = [(i, " ".join(words[10 * i: 10 * i + 44])) for i in range(5000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    tables = {}
+    monkeypatch.setattr(neardup, "written", lambda d, label: tables.setdefault(label, written(d, label)))
+    got = neardup.near_duplicates(df).collect()
+    assert all(r["kept"] for r in got) and len(got) == 5000
+    assert tables["members"].groupBy("cluster").count().where("count > 20").isEmpty()
+
+
+def test_recall_at_080_against_all_pairs(spark):
+    rng, texts = random.Random(9), {}
+    for group in range(120):
+        base = [f"g{group}w{i}" for i in range(150)]
+        for copy in range(4):
+            words = list(base)
+            for at in rng.sample(range(150), rng.randrange(8)):
+                words[at] = f"x{rng.randrange(10**9)}"
+            texts[len(texts)] = " ".join(words)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    for percent in (80, 85):
+        _, label = brute_components(texts, percent=percent)
+        assert {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(df, percent=percent).collect()} == label
+
+
 def test_near_duplicate_edges(odd, empty):
     rows = neardup.near_duplicates(odd).collect()
     assert len(rows) == 14 and {r["component_id"] for r in rows if r["doc_id"] in (5, 6, 7)} == {5}
