@@ -1,11 +1,13 @@
 """Quality classifier: a weak-label model trains a hashed linear scorer.
 
-1. Heuristic labellers look at each text and vote good, bad or nothing. A text's votes are one number (its pattern).
+1. Heuristic labellers look at each text and vote good, bad or nothing: on its symbols, capitals, repetition, words and
+   lines, and on insults, which no rule on form sees. A text's votes are one number (its pattern).
 2. Expectation-maximisation over the *counts of patterns of all documents* (at most 3 ** labellers rows) estimates how
    often each labeller votes what on good and bad texts, and so the posterior of each pattern. Priors say that labellers
    are better than chance and weigh a fixed share of the rows, so a corpus without bad texts does not turn the classes.
 3. The posteriors are soft labels for a logistic regression over hashed words, word shapes and statistics. It is fitted
-   on a bounded sample: about ``train_rows`` documents, those with the smallest hashes of their ids.
+   on a bounded sample: about ``train_rows`` different texts, those with the smallest hashes. Copies count once, so that
+   neither equal ids nor equal texts can fill the sample or leave it empty.
 4. Every document gets the scorer's probability; those below ``threshold`` are rejected.
 
 Scale: two passes over the texts, no shuffle of texts; the driver sees the pattern counts and the bounded sample.
@@ -25,14 +27,19 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from leadloom.llm.hashing import shingles_of, span_hashes, word_bounds
 
 ABSTAIN, GOOD, BAD = 0, 1, 2
-LABELLERS = ("symbols", "capitals", "exclamations", "repetition", "variety", "word_length", "function_words", "line_ends")
+LABELLERS = ("symbols", "capitals", "exclamations", "repetition", "variety", "word_length", "function_words", "line_ends",
+             "insults", "insult_kinds", "insult_share")
 #: Dimensions of the hashed features, rows of the training sample, probability from which a text is kept.
 DIMENSIONS = 1 << 15
 TRAIN_ROWS = 8_000
 THRESHOLD = 0.3
+#: Share of insults among the words from which a labeller votes bad; those that count them ask for a fifth of it.
+INSULT_SHARE = 0.005
 #: Weight of the priors as a share of the rows; votes (nothing, good, bad) on good and on bad texts; share of good texts.
 PRIOR_WEIGHT = 0.2
 PRIOR_GOOD, PRIOR_BAD, PRIOR_SHARE = (0.28, 0.715, 0.005), (0.28, 0.52, 0.20), 0.85
+#: The same of labellers that never vote good: a text without insults may be bad in any other way.
+ONE_SIDED, PRIOR_GOOD_ONE, PRIOR_BAD_ONE = ("insults", "insult_kinds", "insult_share"), (0.99, 0.005, 0.005), (0.9, 0.005, 0.095)
 # Frequent function words of English, French, German and Spanish.
 FUNCTION_WORDS = (
     "the of and to in is that it for on with as are this be by from was "
@@ -41,6 +48,15 @@ FUNCTION_WORDS = (
     "el los las que y en un una por con para se del al es su no"
 ).split()
 
+# Common insults in English, French, German and Spanish.
+INSULTS = (
+    "idiot idiots moron morons imbecile stupid dumb dumbass fool fools loser losers scum trash garbage filth vermin pathetic worthless disgusting "
+    "clown clowns jerk coward liar bastard bitch asshole "
+    "imbécile crétin débile abruti ordure connard salaud minable pourriture "
+    "trottel dummkopf abschaum widerlich erbärmlich arschloch schwachkopf versager "
+    "idiota imbécil estúpido basura asqueroso patético payaso escoria cabrón"
+).split()
+
 _SHAPES = np.arange(256, dtype=np.uint8)
 _SHAPES[ord("a"): ord("z") + 1] = _SHAPES[0x80:] = ord("x")
 _SHAPES[ord("A"): ord("Z") + 1] = ord("X")
@@ -55,25 +71,35 @@ def _of_string(text: str) -> np.uint64:
     return span_hashes(raw, np.array([0]), np.array([len(raw)]))[0]
 
 
-_FUNCTION_HASHES = np.sort(np.array([_of_string(w) for w in set(FUNCTION_WORDS)], dtype=_U))
+def _hashes(words: list[str]) -> np.ndarray:
+    return np.sort(np.array([_of_string(w) for w in set(words)], dtype=_U))
+
+
+_FUNCTION_HASHES, _INSULT_HASHES = _hashes(FUNCTION_WORDS), _hashes(INSULTS)
+_MARK = np.zeros(256, dtype=bool)
+_MARK[[ord(c) for c in ".,;:!?\"'()"]] = True
+
+
+def _among(words: np.ndarray, known: np.ndarray) -> np.ndarray:
+    return known[np.minimum(np.searchsorted(known, words), len(known) - 1)] == words
 
 
 def statistics(text: str) -> tuple[dict[str, float], np.ndarray, np.ndarray]:
-    """Numbers about a text, and the hashes of its lower-cased words and of their shapes."""
+    """Numbers about a text, and the hashes of its lower-cased words (without one sign at their end) and of their shapes."""
     raw = np.frombuffer(text.encode(), dtype=np.uint8)
     starts, ends = word_bounds(raw)
     n = len(starts)
     if not n:
         return {"words": 0}, np.empty(0, dtype=_U), np.empty(0, dtype=_U)
     lower = np.where((raw >= 65) & (raw <= 90), raw + 32, raw).astype(np.uint8)
-    words = span_hashes(lower, starts, ends)
+    words = span_hashes(lower, starts, ends - _MARK[raw[ends - 1]])
     shape = _SHAPES[raw]
     first = np.concatenate(([True], shape[1:] != shape[:-1]))
     first[starts] = True
     place = np.concatenate(([0], np.cumsum(first)))
     shapes = span_hashes(shape[first], place[starts], place[ends])
     letters = (shape == ord("x")) | (shape == ord("X"))
-    at = np.minimum(np.searchsorted(_FUNCTION_HASHES, words), len(_FUNCTION_HASHES) - 1)
+    insults = words[_among(words, _INSULT_HASHES)]
     windows = shingles_of(words, 3)
     line_ends = np.flatnonzero(raw == 10)
     last = raw[np.concatenate((line_ends[line_ends > 0] - 1, [len(raw) - 1]))]
@@ -81,24 +107,27 @@ def statistics(text: str) -> tuple[dict[str, float], np.ndarray, np.ndarray]:
     return {
         "words": n,
         "symbols": _SYMBOL[raw].sum() / n,
-        "capitals": (raw[letters] < 0x80).dot(shape[letters] == ord("X")) / max(1, letters.sum()),
+        "capitals": np.count_nonzero(shape == ord("X")) / max(1, letters.sum()),
         "exclamations": (raw == ord("!")).sum() / n,
         "repetition": 1 - len(np.unique(windows)) / len(windows),
         "variety": len(np.unique(words)) / n,
         "word_length": bytes_in_words / n,
-        "function_words": (_FUNCTION_HASHES[at] == words).sum() / n,
+        "function_words": _among(words, _FUNCTION_HASHES).sum() / n,
         "line_ends": np.isin(last, [ord(c) for c in ".!?\"'"]).mean(),
+        "insults": len(insults),
+        "insult_kinds": len(np.unique(insults)),
     }, words, shapes
 
 
 def votes(s: dict[str, float]) -> tuple[int, ...]:
     """A vote of each labeller."""
-    def cut(value: float, good: bool, bad: bool) -> int:
+    def cut(_: float, good: bool, bad: bool) -> int:
         return BAD if bad else GOOD if good else ABSTAIN
 
     if not s["words"]:
         return (BAD,) * len(LABELLERS)
     n = s["words"]
+    abused = s["insults"] > INSULT_SHARE / 5 * n
     return (
         cut(s["symbols"], s["symbols"] < 0.02, s["symbols"] > 0.15),
         cut(s["capitals"], s["capitals"] < 0.12, s["capitals"] > 0.35),
@@ -108,6 +137,9 @@ def votes(s: dict[str, float]) -> tuple[int, ...]:
         cut(s["word_length"], 3 < s["word_length"] < 9, s["word_length"] < 2 or s["word_length"] > 14),
         cut(s["function_words"], s["function_words"] > 0.12, n > 30 and s["function_words"] < 0.02),
         cut(s["line_ends"], s["line_ends"] > 0.8, s["line_ends"] < 0.1),
+        cut(s["insults"], False, abused and s["insults"] > 1),
+        cut(s["insult_kinds"], False, abused and s["insult_kinds"] > 1),
+        cut(s["insults"], False, s["insults"] > INSULT_SHARE * n),
     )
 
 
@@ -125,8 +157,8 @@ def fit_labellers(counts: dict[int, int], rounds: int = 100) -> tuple[dict[int,
     n = np.array([counts[int(p)] for p in patterns], dtype=np.float64)
     cast = np.stack([patterns // 3 ** (k - 1 - j) % 3 for j in range(k)], axis=1)
     hot = np.eye(3)[cast]  # pattern, labeller, vote
-    prior = np.array([PRIOR_BAD, PRIOR_GOOD])
-    table = np.repeat(prior[:, None, :], k, axis=1)
+    prior = np.array([[one if name in ONE_SIDED else both for name in LABELLERS] for both, one in ((PRIOR_BAD, PRIOR_BAD_ONE), (PRIOR_GOOD, PRIOR_GOOD_ONE))])
+    table = prior.copy()
     share = PRIOR_SHARE
     weight = PRIOR_WEIGHT * max(1.0, n.sum())
     post = np.empty(0)
@@ -147,6 +179,8 @@ def features(s: dict[str, float], words: np.ndarray, shapes: np.ndarray, dimensi
     n = s["words"]
     ranges = [f"{name}:{int(s[name] * 10)}" for name in ("symbols", "exclamations", "repetition", "variety", "function_words", "capitals")] if n else []
     ranges.append("words:%d" % min(4, int(np.log10(n + 1) * 2)))
+    if n and s["insults"]:
+        ranges += ["insult_kinds:%d" % min(3, s["insult_kinds"]), "insult_share:%d" % min(3, int(s["insults"] / n / INSULT_SHARE * 2))]
     marks = np.array([_of_string(r) for r in ranges], dtype=_U)
     numbers = np.concatenate((words, shapes ^ _U(0x5851F42D4C957F2D), marks)) % _U(dimensions)
     values = np.concatenate((np.full(2 * n, 1 / max(1, n)), np.full(len(marks), 0.5)))
@@ -182,7 +216,7 @@ def score(weights: np.ndarray, index: np.ndarray, value: np.ndarray) -> float:
     return float(1 / (1 + np.exp(-np.clip(value.dot(weights[index]) + weights[-1], -30, 30))))
 
 
-def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", train_rows: int = TRAIN_ROWS) -> tuple[dict[int, float], np.ndarray]:
+def fit(docs: DataFrame, *, text_col: str = "text", train_rows: int = TRAIN_ROWS) -> tuple[dict[int, float], np.ndarray]:
     """The posterior of each vote pattern over all documents, and the scorer's weights."""
 
     def patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,8 +224,8 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", trai
             found = [pattern_of(votes(statistics(x.as_py() or "")[0])) for x in batch.column("text")]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], names=["pattern"])
 
-    source = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = source.select("text").mapInArrow(patterns, "pattern long").groupBy("pattern").agg(F.count("*").alias("n")).collect()
+    source = docs.select(F.col(text_col).cast("string").alias("text"))
+    rows = source.mapInArrow(patterns, "pattern long").groupBy("pattern").agg(F.count("*").alias("n")).collect()
     counts = {r["pattern"]: r["n"] for r in rows}  # 3 ** labellers rows at most
     posterior, _, _ = fit_labellers(counts)
     total = sum(counts.values())
@@ -209,8 +243,8 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", trai
 
     million = 1_000_000
     share = min(million, -(-train_rows * million // max(1, total)))
-    sample = source.where(F.pmod(F.xxhash64("id"), F.lit(million)) < share).limit(2 * train_rows)
-    got = sample.select("text").mapInArrow(train, "i binary, v binary, y double").toArrow()
+    sample = source.where(F.pmod(F.xxhash64("text"), F.lit(million)) < share).distinct()
+    got = sample.mapInArrow(train, "i binary, v binary, y double").toArrow()
     train_set = [(np.frombuffer(i, np.int32), np.frombuffer(v, np.float32).astype(np.float64), y)
                  for i, v, y in sorted(zip(*(got.column(c).to_pylist() for c in "ivy")))]
     return posterior, fit_scorer(train_set)

@@ -190,10 +190,12 @@ def test_weights_equal_brute_force(spark, docs):
 
 def test_classifier_held_out(spark, sf):
     labels = spark.read.parquet(f"{sf}/labels.parquet")
-    rows = queries.op2_quality(spark, sf).join(labels, "doc_id").collect()
-    right = np.mean([r["kept"] == (r["quality"] == 1) for r in rows])
-    clean = np.mean([r["kept"] for r in rows if r["quality"] == 1])
+    rows = queries.op2_quality(spark, sf).join(labels, "doc_id").join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"), "doc_id").collect()
+    insulting = lambda r: sum(w in weak_quality.INSULTS for w in re.findall(r"\w+", r["text"].lower())) > 1
+    right = np.mean([r["kept"] == (r["quality"] == 1 and not insulting(r)) for r in rows])
+    clean = np.mean([r["kept"] for r in rows if r["quality"] == 1 and not r["toxic"]])
     assert right > 0.9 and clean > 0.97
+    assert any(map(insulting, rows)) and not any(r["kept"] for r in rows if insulting(r))
 
 
 def test_classifier_edges(odd, empty):
@@ -206,6 +208,97 @@ def test_classifier_edges(odd, empty):
     assert weak_quality.classify(empty, weak_quality.fit(empty)).count() == 0
 
 
+def plain_statistics(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    low = ["".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in w) for w in words]
+    low = [w[:-1] if w[-1] in ".,;:!?\"'()" else w for w in low]
+    n, grams = len(words), [tuple(low[i: i + 3]) for i in range(max(1, len(low) - 2))]
+    letters = sum(c.isascii() and c.isalpha() for c in text) + sum(len(c.encode()) for c in text if not c.isascii())
+    lines, raw = text.split("\n"), text.encode()
+    ends = [raw[i - 1] for i in range(1, len(raw)) if raw[i] == 10] + [raw[-1]]
+    insults = [w for w in low if w in weak_quality.INSULTS]
+    return {
+        "words": n, "symbols": sum(c in "#*$%&|<>" for c in text) / n, "capitals": sum("A" <= c <= "Z" for c in text) / max(1, letters),
+        "exclamations": text.count("!") / n, "repetition": 1 - len(set(grams)) / len(grams), "variety": len(set(low)) / n, "word_length": sum(len(w.encode()) for w in words) / n,
+        "function_words": sum(w in weak_quality.FUNCTION_WORDS for w in low) / n, "line_ends": np.mean([chr(c) in ".!?\"'" for c in ends]),
+        "insults": len(insults), "insult_kinds": len(set(insults))}
+
+
+def test_statistics_equal_plain_ones(docs):
+    extra = ["You idiot, you moron! Trash.", "A  b\n\nC!\n", "x", "é É ü!\n| |"]
+    for text in [r["text"] for r in docs.limit(120).collect()] + extra:
+        got, want = weak_quality.statistics(text)[0], plain_statistics(text)
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want), (text[:60], got, want)
+
+
+def test_fit_equals_plain_em_and_scorer(spark, docs):
+    """EM document by document, and the scorer's loss against a long plain descent."""
+    some = docs.select("doc_id", "text").where("doc_id < 150")
+    posterior, weights = weak_quality.fit(some)
+    texts = [r["text"] for r in some.collect()]
+    cast = [weak_quality.votes(weak_quality.statistics(t)[0]) for t in texts]
+    k, n = len(weak_quality.LABELLERS), len(texts)
+    pick = lambda one, both: [list(one if x in weak_quality.ONE_SIDED else both) for x in weak_quality.LABELLERS]
+    prior = {0: pick(weak_quality.PRIOR_BAD_ONE, weak_quality.PRIOR_BAD), 1: pick(weak_quality.PRIOR_GOOD_ONE, weak_quality.PRIOR_GOOD)}
+    p, share, weight = prior, weak_quality.PRIOR_SHARE, weak_quality.PRIOR_WEIGHT * n
+    for _ in range(100):
+        good = []
+        for c in cast:
+            a, b = share, 1 - share
+            for j, v in enumerate(c):
+                a, b = a * p[1][j][v], b * p[0][j][v]
+            good.append(a / (a + b))
+        p = {y: [[(sum(g if y else 1 - g for g, c in zip(good, cast) if c[j] == v) + weight * prior[y][j][v]) / (sum(g if y else 1 - g for g in good) + weight) for v in range(3)] for j in range(k)] for y in (0, 1)}
+        share = (sum(good) + weight * weak_quality.PRIOR_SHARE) / (n + weight)
+    for c, g in zip(cast, good):
+        assert abs(posterior[weak_quality.pattern_of(c)] - g) < 1e-4
+    distinct = sorted(set(texts))
+    x, y = np.zeros((len(distinct), weak_quality.DIMENSIONS)), np.array([posterior[weak_quality.pattern_of(weak_quality.votes(weak_quality.statistics(t)[0]))] for t in distinct])
+    for i, t in enumerate(distinct):
+        index, value = weak_quality.features(*weak_quality.statistics(t))
+        np.add.at(x[i], index, value)
+
+    def loss(w):
+        z = x @ w[:-1] + w[-1]
+        return np.mean(np.log1p(np.exp(-np.abs(z))) + np.maximum(z, 0) - y * z) + 5e-5 * (w @ w)
+
+    w = np.zeros(weak_quality.DIMENSIONS + 1)
+    for _ in range(1500):
+        error = (1 / (1 + np.exp(-(x @ w[:-1] + w[-1]))) - y) / len(y)
+        w -= 2.0 * (np.append(x.T @ error, error.sum()) + 1e-4 * w)
+    assert loss(weights) < loss(w) + 0.01
+    for r in weak_quality.classify(some, (posterior, weights)).limit(40).collect():
+        i = distinct.index(r["text"])
+        assert abs(r["quality"]["score"] - 1 / (1 + np.exp(-(x[i] @ weights[:-1] + weights[-1])))) < 1e-9
+        assert r["quality"]["kept"] == (r["quality"]["score"] >= weak_quality.THRESHOLD)
+
+
+def test_classifier_sample_with_null_and_equal_ids(spark, docs):
+    """The sample goes by texts: ids that are null or alike neither fill nor empty it; copies count once."""
+    some = docs.where("doc_id < 100").select(F.lit(None).cast("long").alias("doc_id"), "text")
+    many = some.unionByName(some).unionByName(some)
+    (_, a), (_, b) = weak_quality.fit(some), weak_quality.fit(some.withColumn("doc_id", F.lit(1).cast("long")))
+    assert np.array_equal(a, b) and np.abs(a).sum() > 1
+    assert np.abs(weak_quality.fit(many, train_rows=30)[1]).sum() > 1
+
+
+def test_classifier_drops_insults_that_rules_keep(spark):
+    rng, rows = random.Random(8), []
+    vocabulary = [a + b for a in ("ta", "ri", "mo", "ne", "sul", "ver") for b in ("den", "lor", "mig", "ta", "res")]
+    for k in range(600):
+        text = [". ".join(" ".join(rng.choice(vocabulary + ["the", "of", "and", "in"]) for _ in range(9)).capitalize() for _ in range(9)) + "." for _ in range(2)]
+        words = "\n".join(text).split(" ")
+        if k % 12 == 0:
+            for at in rng.sample(range(len(words)), 5):
+                words[at] = rng.choice(["idiot", "moron", "stupid", "scum"])
+        rows.append((k, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = rules.apply_rules(df, rules.gram_weights(df, df.select("doc_id"))).where("rules.kept")
+    assert kept.count() == 600
+    left = {r["doc_id"] for r in weak_quality.classify(kept, weak_quality.fit(kept)).where("quality.kept").collect()}
+    assert left == {k for k in range(600) if k % 12}
+
+
 def test_em_recovers_accuracies():
     rng = np.random.default_rng(0)
     truth = rng.random(20_000) < 0.8
@@ -289,6 +382,61 @@ def test_langid_fuses_evidence_and_edges(spark, docs):
     assert {r["lang"] for r in langid.identify(pages, *langid.fit_text_model(docs.limit(0))).collect()} == {None}
 
 
+def test_text_model_equals_plain_counts(docs):
+    mask, odd_factor = (1 << 64) - 1, 0xD6E8FEB86659FD93
+
+    def mix(x):
+        for _ in range(2):
+            x = (x ^ (x >> 32)) * odd_factor & mask
+        return x ^ (x >> 32)
+
+    some = docs.where("doc_id < 60")
+    langs, model = langid.fit_text_model(some)
+    counts = {lang: Counter() for lang in langs}
+    for r in some.collect():
+        text = " " + " ".join(re.findall(r"[^\W\d_]+", r["text"].lower())) + " "
+        for a, b, c in zip(text, text[1:], text[2:]):
+            counts[r["lang"]][mix((ord(a) << 42) ^ (ord(b) << 21) ^ ord(c)) % langid.DIMENSIONS] += 1
+    for k, lang in enumerate(langs):
+        row = np.array([counts[lang][d] + langid.GRAM_SMOOTHING for d in range(langid.DIMENSIONS)])
+        assert np.allclose(model[k], np.log(row / row.sum()))
+
+
+def test_fusion_equals_plain_counts(spark, sf, docs):
+    """Counts over all pages, the page itself left out, smoothed host by domain by corpus: in plain loops."""
+    langs, model = langid.fit_text_model(docs)
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    odd = spark.createDataFrame([(-1, None, None), (-2, "https://x.y.fr/a", "<html lang='fr'>"), (-2, "https://x.y.fr/a", "<html lang='fr'>"), (-3, "https://y.fr", "le la les")], "page_id long, url string, html string")
+    pages = pages.select("page_id", "url", "html").unionByName(odd)
+    rows, k = langid.read_pages(pages, langs, model).collect(), len(langs)
+    tally = lambda key: {v: [sum(r["guess"] == i for r in rows if key(r) == v) for i in range(k)] for v in {key(r) for r in rows}}
+    host, domain, suffix, declared = (tally(lambda r, c=c: r[c]) for c in ("host", "domain", "suffix", "declared"))
+    every = [sum(r["guess"] == i for r in rows) for i in range(k)]
+    want = defaultdict(list)
+    for r in rows:
+        less = lambda n, r=r: [max(0, x - (i == r["guess"])) for i, x in enumerate(n)]
+        level = lambda n, above: [(x + langid.LEVEL_WEIGHT * p) / (sum(n) + langid.LEVEL_WEIGHT) for x, p in zip(n, above)]
+        value = lambda n, kinds: [np.log((x + langid.VALUE_SMOOTHING / kinds) / (e + langid.VALUE_SMOOTHING)) for x, e in zip(less(n), less(every))]
+        prior = level(less(host[r["host"]]), level(less(domain[r["domain"]]), level(less(every), [1 / k] * k)))
+        logs = np.array(r["text"]) + np.log(prior)
+        logs = logs + (value(declared[r["declared"]], len(declared)) if r["declared"] else 0) + (value(suffix[r["suffix"]], len(suffix)) if r["suffix"] else 0)
+        best = int(np.argmax(np.round(logs, 9)))  # ties: the first language by code
+        want[r["id"]].append((langs[best], 1 / np.exp(logs - logs[best]).sum()))
+    got = defaultdict(list)
+    for r in langid.identify(pages, langs, model).collect():
+        got[r["page_id"]].append((r["lang"], r["probability"]))
+    assert got.keys() == want.keys()
+    for key in want:
+        for (a, p), (b, q) in zip(sorted(got[key]), sorted(want[key])):
+            assert a == b and abs(p - q) < 1e-5
+
+
+def test_ties_go_to_the_first_language(spark):
+    docs = spark.createDataFrame([(1, "abc abc", "bb"), (2, "abc abc", "aa")], "doc_id long, text string, lang string")
+    pages = spark.createDataFrame([(1, "https://a.com", "<body>abc</body>")], "page_id long, url string, html string")
+    assert langid.identify(pages, *langid.fit_text_model(docs)).first()["lang"] == "aa"
+
+
 def test_langid_rare_language_is_a_class(spark):
     rows = [(i, sentence(5, i % 50), "en") for i in range(5000)] + [(5000, "päivää huomenta kiitos näkemiin hyvää yötä", "fi")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
@@ -477,6 +625,79 @@ def test_pii_values(spark):
     assert {r["text"] for r in pii.pseudonymise(df, "other").where("doc_id = 6").collect()} != {out[6]}
 
 
+def plain_pseudonym(value, kind, key):
+    """A pseudonym by a plain Feistel network."""
+    def prf(*parts):
+        return int(hashlib.sha256("|".join([key, *map(str, parts), key]).encode()).hexdigest()[:12], 16)
+
+    def numbers(tag, a, b, size_a, size_b):
+        for r in range(pii.ROUNDS):
+            a, b = (((a + prf(tag, r, b)) % size_a, b) if r % 2 == 0 else (a, (b + prf(tag, r, a)) % size_b))
+        return a, b
+
+    def characters(tag, text, alphabets):
+        a, b = text[: len(text) // 2], text[len(text) // 2:]
+
+        def shifted(text, r, by):
+            out = ""
+            for i, c in enumerate(text):
+                alphabet = next((x for x in alphabets if c in x), None)
+                out += alphabet[(alphabet.index(c) + prf(tag, r, i, by)) % len(alphabet)] if alphabet else c
+            return out
+
+        for r in range(pii.ROUNDS):
+            a, b = (shifted(a, r, b), b) if r % 2 == 0 else (a, shifted(b, r, a))
+        return a + b
+
+    digits, lower, upper = pii.DIGITS, pii.LOWER, pii.UPPER
+    if kind == "card":
+        body = characters("card", value[:-1], [digits])
+        return next(body + d for d in digits if luhn(re.sub("[^0-9]", "", body + d)))
+    if kind == "iban":
+        body = characters("iban", value[4:], [digits, upper])
+        return next(f"{value[:2]}{c:02d}{body}" for c in range(2, 99) if int("".join(str(int(x, 36)) for x in body.replace(" ", "") + value[:2] + f"{c:02d}")) % 97 == 1)
+    if kind == "ip":
+        o = [int(x) for x in value.split(".")]
+        a, b = numbers("ip", o[0] * 256 + o[1], o[2] * 256 + o[3], 65536, 65536)
+        return f"{a // 256}.{a % 256}.{b // 256}.{b % 256}"
+    if kind == "ssn":
+        area, group, serial = map(int, value.split("-"))
+        a, b = numbers("ssn", area - 1 - (area > 666), (group - 1) * 9999 + serial - 1, 898, 99 * 9999)
+        return f"{a + 1 + (a >= 665):03d}-{b // 9999 + 1:02d}-{b % 9999 + 1:04d}"
+    if kind == "date":
+        import datetime
+
+        days, size = datetime.date.fromisoformat(value).toordinal() - 1, pii.DATE_A * pii.DATE_B
+        block, rest = divmod(days, size)
+        sizes = (pii.DATE_LAST_A, pii.DATE_LAST_B) if block >= 50 else (pii.DATE_A, pii.DATE_B)
+        a, b = numbers("date", rest // sizes[1], rest % sizes[1], *sizes)
+        return datetime.date.fromordinal(block * size + a * sizes[1] + b + 1).isoformat()
+    if kind == "email":
+        last = value.rsplit(".", 1)[1]
+        return characters("email", value[: len(value) - len(last)], [digits, lower, upper]) + last
+    if kind == "phone":
+        head = re.search(r"^\+[0-9]{1,3}(?=[ .(-])|^\+?", value)[0]
+        return head + characters("phone", value[len(head):], [digits])
+    alphabets = [digits, pii.HEX_LOWER, pii.HEX_UPPER] if re.fullmatch("[0-9a-fA-F]+", value) else [digits, lower, upper]
+    return characters("secret", value, alphabets)
+
+
+def test_pii_equals_plain_feistel(spark):
+    rng = random.Random(7)
+    number = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    values = [("card", "4111 1111 1111 1111"), ("card", "378282246310005"), ("iban", "GB82 WEST 1234 5698 7654 32"), ("iban", "DE89370400440532013000"),
+              ("phone", "+1 (301) 555-0346"), ("phone", "301-555-0346"), ("email", "Jane.Doe7@mail.example.com"), ("email", "zoë_x@b-c.co.uk"),
+              ("secret", "8249aa8292c8e2d7dc8d8b760c301111bee22a2c"), ("secret", "sk-AbC123_xyz-abcdefghijkl"), ("date", "9999-12-31"), ("date", "0001-01-01")]
+    values += [("ssn", f"{rng.randrange(1, 666):03d}-{rng.randrange(1, 100):02d}-{rng.randrange(1, 10000):04d}") for _ in range(20)]
+    values += [("ip", ".".join(str(rng.randrange(256)) for _ in range(4))) for _ in range(20)]
+    values += [("date", f"{rng.randrange(1, 10000):04d}-{rng.randrange(1, 13):02d}-{rng.randrange(1, 29):02d}") for _ in range(40)]
+    values += [("email", f"u{number(3)}@h{number(2)}.example.org") for _ in range(10)]
+    df = spark.createDataFrame([(i, f"see {v} here", k) for i, (k, v) in enumerate(values)], "doc_id long, text string, kind string")
+    for r in pii.pseudonymise(df, "secret key").collect():
+        kind, value = values[r["doc_id"]]
+        assert r["pii"][kind] == 1 and r["text"] == f"see {plain_pseudonym(value, kind, 'secret key')} here", (kind, value)
+
+
 def test_pii_is_a_permutation(spark):
     n = 292 * 250
     days = spark.range(0, n, 37).select(F.date_format(F.date_add(F.lit("1900-01-01").cast("date"), F.col("id").cast("int")), "yyyy-MM-dd").alias("text"))
