@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from leadloom.operators.durable import durable
+from leadloom.operators.durable import discard, durable
 
 
 def connected_components(edges: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of the edges; the component is its least node.
 
-    Minimum labels travel along the edges and jump to their label's label; each round is a written table.
+    Each round, a node takes the least component among its neighbours' (partial minima, so that a node with many neighbours
+    is no bottleneck) and then its component's component: rounds follow the logarithm of the longest path. A component's
+    component is looked up only where it has changed, so the rows of a large settled component meet no partner; each round is a
+    written table that replaces the one before. Self-links, repeats and both directions are fine; no edges give no nodes.
     """
     one = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x is not null and y is not null")
     both = durable(one.union(one.select("y", "x")).distinct(), "edges")
@@ -18,12 +21,14 @@ def connected_components(edges: DataFrame, a: str, b: str, max_rounds: int = 60)
     for _ in range(max_rounds):
         near = both.join(labels, F.col("y") == F.col("node")).groupBy("x").agg(F.min("component").alias("near"))
         step = labels.join(near, F.col("node") == F.col("x"), "left").select("node", "component", F.least("component", "near").alias("next"))
-        jump = labels.select(F.col("node").alias("n2"), F.col("component").alias("c2"))
+        jump = labels.where("component < node").select(F.col("node").alias("n2"), F.col("component").alias("c2"))
         after = durable(step.join(jump, F.col("next") == F.col("n2"), "left").select(
             "node", F.least("next", "c2").alias("component"), (F.least("next", "c2") < F.col("component")).alias("changed")), "labels")
-        labels = after.select("node", "component")
+        discard(labels)
+        labels = after
         if after.where("changed").isEmpty():
-            return labels
+            discard(both)
+            return labels.select("node", "component")
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 

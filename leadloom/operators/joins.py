@@ -5,17 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from leadloom.functions.text import is_blank
+from leadloom.operators.durable import small_side
 from leadloom.operators.merge import best_per_key
 
-#: Most keys that are broadcast, counted before.
-BROADCAST_KEYS = 1_000_000
-
-
-def lookup_side(df: DataFrame) -> DataFrame:
-    """``df`` for broadcast if it is counted as small, else as it is."""
-    return F.broadcast(df) if df.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS else df
-
-
 def lookup(left: DataFrame, right: DataFrame, key: str, *order: Column) -> DataFrame:
     """Left join on one row of the right for each key (the first by the order), so that no row is doubled."""
     return left.join(best_per_key(right, [key], *order), key, "left")
@@ -30,7 +22,7 @@ def known_reason(df: DataFrame, known: list[tuple[str, Column, DataFrame]]) -> D
     for i, (reason, key, keys) in enumerate(known):
         name = keys.columns[0]
         mark = keys.where(~is_blank(F.col(name))).select(F.col(name).cast("string").alias(f"__k{i}")).distinct().withColumn(f"__hit{i}", F.lit(True))
-        df = df.join(lookup_side(mark), key.cast("string") == F.col(f"__k{i}"), "left")
+        df = df.join(small_side(mark), key.cast("string") == F.col(f"__k{i}"), "left")
         reasons.append(F.when(F.col(f"__hit{i}"), F.lit(reason)))
         extra += [f"__k{i}", f"__hit{i}"]
     return df.withColumn("drop_reason", F.coalesce(*reasons)).drop(*extra)
