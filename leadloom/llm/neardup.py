@@ -30,9 +30,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from leadloom.llm.components import components
 from leadloom.llm.hashing import SKETCH, SYMBOLS, constants, mix, shingles_of, span_hashes, word_bounds
 from leadloom.llm.shared import fresh_prefix, groups_of, small_keys, written
+from leadloom.operators.graph import connected_components
 
 WORDS = 5
 PERCENT = 85
@@ -153,6 +153,11 @@ def linked_sets(ids: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT)
     return [(ids[i], ids[j]) for i, j in _forest(len(ids), linked)]
 
 
+def components(edges: DataFrame) -> DataFrame:
+    """(node, label) of every node of ``edges`` (a, b)."""
+    return connected_components(edges, "a", "b").withColumnRenamed("component", "label")
+
+
 def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     a, b = zip(*pairs) if pairs else ((), ())
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])

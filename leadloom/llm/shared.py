@@ -3,17 +3,14 @@
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-#: Most rows of keys (one long each) that may be broadcast: 16 MB.
-MAX_BROADCAST_KEYS = 2_000_000
+from leadloom.operators.durable import durable as written, small_side as small_keys  # noqa: F401
 
 REPO_ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -50,46 +47,24 @@ def fresh_prefix(*frames: DataFrame) -> str:
     return prefix
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A folder that driver and executors share: ``spark.checkpoint.dir``, or a local one where it is unset (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + os.path.join(tempfile.gettempdir(), "leadloom-checkpoints")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base
-
-
-def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: lineage is cut and nothing is computed twice.
-
-    The files outlive any executor; the driver's JVM removes them when it ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/leadloom-{uuid.uuid4().hex[:12]}-{label}"
-    df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jpath)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def small_keys(keys: DataFrame, limit: int = MAX_BROADCAST_KEYS) -> DataFrame:
-    """``keys`` marked for broadcast if it is counted at ``limit`` rows or fewer, else as it is (a shuffled join)."""
-    return F.broadcast(keys) if keys.limit(limit + 1).count() <= limit else keys
-
-
 def groups_of(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Runs of rows with equal keys, from batches in the order of the keys."""
-    rest: pa.Table | None = None
+    """Runs of rows with equal keys, from batches in the order of the keys; each batch is looked at once."""
+    held: list[pa.RecordBatch] = []
+    last = None
     for batch in batches:
-        rows = pa.Table.from_batches([batch])
-        if rest is not None:
-            rows = pa.concat_tables([rest, rows])
-        cols = [rows.column(k).to_numpy() for k in keys]
+        if not batch.num_rows:
+            continue
+        cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
         cut = np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols], axis=0)) + 1
-        bounds = [0, *cut.tolist()]
+        bounds = [0, *cut.tolist(), batch.num_rows]
+        if held and tuple(c[0] for c in cols) != last:
+            yield pa.Table.from_batches(held)
+            held = []
         for a, b in zip(bounds, bounds[1:]):
-            yield rows.slice(a, b - a)
-        rest = rows.slice(bounds[-1])
-    if rest is not None and rest.num_rows:
-        yield rest
+            if a:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+        last = tuple(c[-1] for c in cols)
+    if held:
+        yield pa.Table.from_batches(held)

@@ -13,8 +13,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from leadloom.llm import bpe, chat, fingerprint, langid, licenses, neardup, packing, pii, queries, rules, weak_quality
-from leadloom.llm.components import components
-from leadloom.llm.shared import written
+from leadloom.llm.neardup import components
+from leadloom.llm.shared import groups_of, written
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -813,6 +813,18 @@ def test_components_chain(spark):
     assert components(edges.limit(0)).count() == 0
 
 
+def test_groups_of_runs_over_batches():
+    import pyarrow as pa
+
+    rng = random.Random(3)
+    for _ in range(50):
+        keys = sorted((rng.choice("abc"), rng.randrange(3)) for _ in range(rng.randrange(30)))
+        table = pa.table({"k": pa.array([k for k, _ in keys], pa.string()), "p": pa.array([p for _, p in keys], pa.int64()), "v": pa.array(range(len(keys)), pa.int64())})
+        groups = [g.to_pylist() for g in groups_of(iter(table.to_batches(max_chunksize=rng.randrange(1, 9))), ["k", "p"])]
+        assert [r["v"] for g in groups for r in g] == list(range(len(keys)))
+        assert [(g[0]["k"], g[0]["p"]) for g in groups] == sorted(set(keys)) and all(len({(r["k"], r["p"]) for r in g}) == 1 for g in groups)
+
+
 # --- fingerprints ----------------------------------------------------------------------------------------------------------------
 
 def test_fingerprints(spark, sf, docs):
