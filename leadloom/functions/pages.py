@@ -16,7 +16,14 @@ NETWORKS = {
 }
 NO_PROFILE = (
     "sharer sharer.php share dialog plugins login signup hashtag explore intent policies privacy help legal tr about business ads marketplace groups events watch "
-    "reel reels p stories home.php search feed posts pulse embed playlist results biz writeareview i tag accounts settings static").split()
+    "reel reels p stories home.php search feed posts pulse shareArticle embed playlist results biz writeareview i tag accounts settings static").split()
+#: Of each network: first path segments that introduce a profile, and how many segments of the path name it.
+PROFILE_PATHS = {
+    "linkedin": [("company|in|school", 2, 2)], "youtube": [("@.*", 1, 1), ("channel|c|user", 2, 2)], "yelp": [("biz", 2, 2)],
+    "facebook": [("pages|people|pg", 2, 3)],
+}
+#: Networks where only the listed paths are profiles.
+LISTED_ONLY = ["linkedin", "youtube", "yelp"]
 
 
 def cards(markup: Column, start: str, fields: dict[str, str], *, end: str | None = None) -> Column:
@@ -67,14 +74,12 @@ def social_profiles(text: Column, most: int = 2) -> Column:
             network = network.when(host.rlike(pattern), name) if network is not None else F.when(host.rlike(pattern), name)
         n, first = F.size(path), F.coalesce(F.get(path, 0), F.lit(""))
         page_id = F.regexp_extract(url, r"[?&]id=([^&#]+)", 1)
-        keep = (
-            F.when(n == 0, F.lit(None))
-            .when(network == "linkedin", F.when(F.lower(first).isin("company", "in", "school") & (n >= 2), F.slice(path, 1, 2)))
-            .when(network == "youtube", F.when(first.startswith("@"), F.slice(path, 1, 1)).when(F.lower(first).isin("channel", "c", "user") & (n >= 2), F.slice(path, 1, 2)))
-            .when((network == "facebook") & first.isin("pages", "people", "pg"), F.when(n >= 2, F.slice(path, 1, 3)))
-            .when((network == "facebook") & (first == "profile.php"), F.when(page_id != "", F.array(F.concat(F.lit("profile.php?id="), page_id))))
-            .when(network == "yelp", F.when((first == "biz") & (n >= 2), F.slice(path, 1, 2)))
-            .otherwise(F.when(~first.isin(*NO_PROFILE) & ~first.rlike(r"(?i)\.(php|html)$") & (F.length(first) >= 2), F.slice(path, 1, 1))))
+        plain = ~first.isin(*NO_PROFILE) & ~first.rlike(r"(?i)\.(php|html)$") & (F.length(first) >= 2)
+        keep = F.when((network == "facebook") & (first == "profile.php"), F.when(page_id != "", F.array(F.concat(F.lit("profile.php?id="), page_id))))
+        for name, paths in PROFILE_PATHS.items():
+            for segment, least, taken in paths:
+                keep = keep.when((network == name) & first.rlike(f"(?i)^(?:{segment})$"), F.when(n >= least, F.slice(path, 1, taken)))
+        keep = keep.when(~network.isin(*LISTED_ONLY) & plain, F.slice(path, 1, 1))
         return F.struct(network.alias("network"), F.concat(F.lit("https://"), host, F.lit("/"), F.array_join(keep, "/")).alias("url"))
 
     found = F.transform(F.regexp_extract_all(blank_if_null(text), F.lit(r"""(?i)https?://[^\s"'<>()\[\]\\]+"""), F.lit(0)), place)

@@ -22,7 +22,7 @@ def test_who_owns_an_address(spark):
     df = spark.createDataFrame([(f"{x}@a.com",) for x in yes + no], "e string")
     got = [r[0] for r in df.select(people.owns_local(F.col("e"), F.lit("Luke"), F.lit("Sanderson"))).collect()]
     assert got == [True] * len(yes) + [False] * len(no)
-    assert spark.range(1).select(people.owns_local(F.lit("dave@x.com"), F.lit("David"), F.lit("Poe"))).first()[0]
+    assert spark.range(1).select(people.owns_local(F.lit("dave@x.com"), F.lit("David"), F.lit("Poe"), {"david": ["dave"]})).first()[0]
 
 
 def test_forms_round_trip(spark):
