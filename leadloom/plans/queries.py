@@ -509,3 +509,6 @@ def zero_row_suspects(spark, sf_dir):
     l = table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("centre"), F.col("l_returnflag").alias("tile")).agg(F.count("*").alias("c"), F.bool_or(F.col("l_discount") > 0.01).alias("ok"))
     l = l.withColumn("n", F.when((F.col("tile") == "R") & (F.col("centre") % 7 == 0), 0).otherwise(F.col("c")).cast("long"))
     return reports.zero_suspects(l, "centre", "tile", "n", "ok", 10)
+
+
+from leadloom.plans import contact_queries, report_queries  # noqa: E402,F401  register their queries
