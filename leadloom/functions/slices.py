@@ -12,13 +12,16 @@ def flat(c: Column) -> Column:
     return F.trim(F.regexp_replace(blank_if_null(c), r"\s+", " "))
 
 
+def page_title(markup: Column) -> Column:
+    return flat(F.regexp_extract(blank_if_null(markup), r"(?is)<title[^>]*>(.*?)</title>", 1))
+
+
 def pruned(markup: Column, most: int = 2500) -> Column:
     """TITLE | META | BODY of a page without navigation, footers and drawings, the body cut to ``most`` characters."""
     h = blank_if_null(markup)
-    title = flat(F.regexp_extract(h, r"(?is)<title[^>]*>(.*?)</title>", 1))
     meta = flat(F.regexp_extract(h, r"""(?is)<meta[^>]+name=["']description["'][^>]+content=["']([^"']*)""", 1))
     body = F.regexp_replace(h, r"(?is)<(script|style|noscript|nav|footer|svg|title)\b.*?</\1\s*>|<!--.*?-->", " ")
-    return F.concat_ws(" | ", title, meta, F.substring(flat(F.regexp_replace(body, r"<[^>]*>", " ")), 1, most))
+    return F.concat_ws(" | ", page_title(h), meta, F.substring(flat(F.regexp_replace(body, r"<[^>]*>", " ")), 1, most))
 
 
 def link_score(path: Column, anchor: Column, words: list[str]) -> Column:

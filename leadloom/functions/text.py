@@ -160,3 +160,44 @@ def overlap_share(a: Column, b: Column, of_larger: bool = True) -> Column:
     """Shared elements of two token arrays over the larger (or smaller) of both."""
     n = F.greatest(F.size(a), F.size(b)) if of_larger else F.least(F.size(a), F.size(b))
     return F.when(n > 0, F.size(F.array_intersect(a, b)) / n).otherwise(0.0)
+
+
+def lenient_host(url: Column) -> Column:
+    """Lower-case host of an address, a scheme added where it has none, without www.; the port and single labels stay, blank
+    where there is no host."""
+    text = F.trim(blank_if_null(url))
+    whole = F.when(text.rlike(r"(?i)^[a-z][a-z0-9+.\-]*://"), text).otherwise(F.concat(F.lit("https://"), text))
+    return F.regexp_replace(F.lower(F.regexp_extract(whole, r"(?i)^[a-z][a-z0-9+.\-]*://(?:[^/?#@\s]*@)?([^/?#@\s]+)", 1)), r"^www\.", "")
+
+
+def strict_host(url: Column) -> Column:
+    """As ``lenient_host``, but blank for an address without a scheme."""
+    return F.when(F.trim(blank_if_null(url)).rlike(r"(?i)^[a-z][a-z0-9+.\-]*://"), lenient_host(url)).otherwise("")
+
+
+def bare_domain(url: Column) -> Column:
+    """An address in lower case without scheme, www. and path."""
+    return F.regexp_replace(F.regexp_replace(F.lower(F.trim(blank_if_null(url))), r"^[a-z]+://", ""), r"^www\.|/.*$", "")
+
+
+def board_key(c: Column, forms: list[str] | None = None) -> Column:
+    """A job board's company: without points, commas and legal forms, squashed."""
+    text = F.regexp_replace(F.lower(blank_if_null(c)), "[.,]", "")
+    return squash(F.regexp_replace(text, r"\b(?:" + "|".join(forms or COMPANY_FORMS) + r")\b", " "))
+
+
+def delivered_key(c: Column, forms: list[str] | None = None) -> Column:
+    """A delivered list's company: & counts as and, without legal forms, squashed."""
+    return F.replace(company_key(c, forms), F.lit(" "), F.lit(""))
+
+
+def dealer_key(name: Column, zip_code: Column, suffixes: list[str]) -> Column:
+    """A dealer's squashed name without a last suffix, and its postal code."""
+    text = F.regexp_replace(F.lower(F.trim(blank_if_null(name))), r"[\s,]+(?:" + "|".join(suffixes) + r")\.?$", "")
+    return F.concat_ws("|", squash(text), F.trim(blank_if_null(zip_code)))
+
+
+def own_site_link(markup: Column) -> Column:
+    """The first outside link after a profile page's heading, as a host, or blank."""
+    after = F.regexp_extract(blank_if_null(markup), r"(?is)</h1\s*>(.*)$", 1)
+    return lenient_host(F.regexp_extract(after, r"(?i)<a\b[^>]*\bhref\s*=\s*[\"'](https?://[^\"']+)", 1))

@@ -8,11 +8,12 @@ from leadloom.functions import address, emails, geo, slices
 from leadloom.operators import contacts, gates, matching, store, windows
 from leadloom.plans.queries import query, table
 
-K = F.col("c_custkey")
+def key():
+    return F.col("c_custkey")
 
 
 def customers(spark, sf_dir):
-    return table(spark, sf_dir, "customer").select(K.cast("long").alias("c_custkey"), "c_name", F.col("c_nationkey").cast("long").alias("n"), "c_acctbal", "c_mktsegment")
+    return table(spark, sf_dir, "customer").select(key().cast("long").alias("c_custkey"), "c_name", F.col("c_nationkey").cast("long").alias("n"), "c_acctbal", "c_mktsegment")
 
 
 _C = "(select c_custkey::bigint as c_custkey, c_name, c_nationkey::bigint as n, c_acctbal, c_mktsegment from customer)"
@@ -25,7 +26,7 @@ def email_clean(spark, sf_dir):
     c = customers(spark, sf_dir)
     box = F.replace("c_name", F.lit("#"), F.lit(""))
     raw = F.concat(F.lit("MailTo:%20"), box, F.lit("@N"), F.col("n").cast("string"), F.lit(".Shop.com?subject=hi, other@x.com"))
-    return c.select("c_custkey", emails.clean_email(F.when(K % 5 == 0, "nobody").otherwise(raw)).alias("email"))
+    return c.select("c_custkey", emails.clean_email(F.when(key() % 5 == 0, "nobody").otherwise(raw)).alias("email"))
 
 
 @query(f"""
@@ -34,7 +35,7 @@ select c_custkey, unnest([{{'e': 'a' || c_custkey || '@x.com', 's': 'mailto'}},
 """.replace("recursive := true), from", "recursive := true) from").replace("'e':", "'email':").replace("'s':", "'source':"))
 def email_harvest(spark, sf_dir):
     c = customers(spark, sf_dir)
-    page = lambda pattern: F.replace(F.lit(pattern), F.lit("#"), K.cast("string"))
+    page = lambda pattern: F.replace(F.lit(pattern), F.lit("#"), key().cast("string"))
     markup = page('<a href="mailto:A#@x.com?subject=1">x</a><script type="application/ld+json">{"@graph":[{"contactPoint":[{"email":["J#@deep.org","a#@x.com"]}]}]}</script>'
                   '<p>t#<b>@</b>shop.co.uk</p><a href="https://maps.example/p#@path.com/view">m</a><img src="logo#@2x.png">')
     text = page("a#@x.com b# [at] shop [dot] com z#@text.net name@yourdomain.com https://maps.example/p#@path.com/view")
@@ -47,9 +48,9 @@ select c_custkey, ['shape', 'junk', 'unwanted', 'third_party', 'own', 'own', 'ow
 """)
 def email_verdicts(spark, sf_dir):
     listed = ["nobody", "logo@2x.png", "noreply@shopco.com", "me@yell.com", "ann@shopco.com", "ann@mail.shopco.com", "ann@shop-co.co.uk", "ann@gmail.com", "ann@else.org"]
-    email = F.get(F.array(*[F.lit(e) for e in listed]), (K % 9).cast("int"))
+    email = F.get(F.array(*[F.lit(e) for e in listed]), (key() % 9).cast("int"))
     root = F.lit("shopco.com")
-    return customers(spark, sf_dir).select("c_custkey", emails.verdict(email, root, third_parties="yell\\.com").alias("verdict"), F.when(K % 9 < 2, "").otherwise(emails.relation(email, root)).alias("relation"))
+    return customers(spark, sf_dir).select("c_custkey", emails.verdict(email, root, third_parties="yell\\.com").alias("verdict"), F.when(key() % 9 < 2, "").otherwise(emails.relation(email, root)).alias("relation"))
 
 
 @query(f"""
@@ -62,7 +63,7 @@ select c_custkey, email, source, kind, score, row_number() over (partition by c_
 def email_ranking(spark, sf_dir):
     item = lambda e, s: F.struct(e.alias("email"), F.lit(s).alias("source"))
     listed = F.array(*[item(F.lit(e), "site") for e in ("info@own.com", "Jane.Doe@gmail.com", "x9@other.org", "jane.doe@own.com", "info@own.com")],
-                     item(F.concat(F.lit("desk"), (K % 3).cast("string"), F.lit("@free.net")), "maps"))
+                     item(F.concat(F.lit("desk"), (key() % 3).cast("string"), F.lit("@free.net")), "maps"))
     ranked = emails.rank_emails(listed, F.lit("own.com"), ["jane"])
     rows = customers(spark, sf_dir).select("c_custkey", F.posexplode(ranked).alias("p", "x"))
     return rows.select("c_custkey", "x.email", "x.source", "x.kind", "x.score", (F.col("p") + 1).cast("long").alias("rank"))
@@ -72,7 +73,7 @@ def email_ranking(spark, sf_dir):
 def email_rerank(spark, sf_dir):
     item = lambda e: F.struct(F.lit(e).alias("email"), F.lit("site").alias("source"))
     person = emails.rank_emails(F.array(item("jane.doe@own.com"), item("b@own.com")), F.lit("own.com"), ["b"])
-    current = F.get(F.array(F.lit("B@own.com"), F.lit("gone@own.com"), F.lit("jane.doe@own.com")), (K % 3).cast("int"))
+    current = F.get(F.array(F.lit("B@own.com"), F.lit("gone@own.com"), F.lit("jane.doe@own.com")), (key() % 3).cast("int"))
     return customers(spark, sf_dir).select("c_custkey", emails.rerank(person, current).alias("pick"))
 
 
@@ -119,7 +120,7 @@ from (select *, case when c_custkey % 4 = 0 then -c_custkey - 1 else c_custkey %
 def co_tenancy(spark, sf_dir):
     from leadloom.operators import rollups
 
-    c = customers(spark, sf_dir).withColumn("street", F.when(K % 4 == 0, "").otherwise((K % 100).cast("string")))
+    c = customers(spark, sf_dir).withColumn("street", F.when(key() % 4 == 0, "").otherwise((key() % 100).cast("string")))
     return rollups.co_tenancy(c, "c_custkey", "street", "n", "c_mktsegment", "machinery").select("c_custkey", "co_tenants", F.coalesce("top_floor", F.lit(-1)).alias("top_floor"), "hub")
 
 
@@ -130,7 +131,7 @@ _REASONS = ["no_evidence_name", "bad_bucket", "role_word", "trade_word", "busine
 
 def _found(spark, sf_dir):
     names = ["Ann Bell", "Ann Bell", "Sales Team", "Roofing Pro", "Perth House", "Ann", "Ann Bell", "Ann Bell"]
-    get = lambda xs: F.get(F.array(*[F.lit(x) for x in xs]), (K % 8).cast("int"))
+    get = lambda xs: F.get(F.array(*[F.lit(x) for x in xs]), (key() % 8).cast("int"))
     c = customers(spark, sf_dir)
     return c.withColumns({
         "name": get(names), "evidence": get(["nothing", "Ann Bell, owner", "our Sales Team", "Roofing Pro", "perth house", "Ann", "Ann Bell", "Ann Bell"]),
@@ -140,7 +141,7 @@ def _found(spark, sf_dir):
 
 @query(f"select c_custkey, [{', '.join('null' if r is None else repr(r) for r in _REASONS)}][1 + c_custkey % 8] as drop_reason, c_custkey % 2 = 0 as departed from {_C}")
 def contact_guards(spark, sf_dir):
-    said = F.when(K % 2 == 0, "Former director Ann Bell").otherwise("Ann Bell, director")
+    said = F.when(key() % 2 == 0, "Former director Ann Bell").otherwise("Ann Bell, director")
     return _found(spark, sf_dir).select("c_custkey", contacts.guard(trade=["roofing"], first_names=["matt"]).alias("drop_reason"), contacts.departed(said).alias("departed"))
 
 
@@ -160,8 +161,8 @@ _BUCKET = "['office_manager', 'marketing', 'other', 'gm', 'owner_or_partner', 'u
 select n, arg_min(c_custkey, (r, c_custkey)) as c_custkey, arg_min(role_bucket, (r, c_custkey)) as role_bucket from (select *, {_BUCKET} as role_bucket, [4, 2, 5, 1, 0, 6][1 + c_custkey % 6] as r from {_C} where c_custkey % 7 < 3) group by n
 """)
 def primary_choice(spark, sf_dir):
-    b = F.get(F.array(*[F.lit(x) for x in ("office_manager", "marketing", "other", "gm", "owner_or_partner", "unheard_of")]), (K % 6).cast("int"))
-    c = customers(spark, sf_dir).where(K % 7 < 3).select("n", "c_custkey", b.alias("role_bucket"))
+    b = F.get(F.array(*[F.lit(x) for x in ("office_manager", "marketing", "other", "gm", "owner_or_partner", "unheard_of")]), (key() % 6).cast("int"))
+    c = customers(spark, sf_dir).where(key() % 7 < 3).select("n", "c_custkey", b.alias("role_bucket"))
     return contacts.primary_contact(c, "n", "c_custkey")
 
 
@@ -171,8 +172,8 @@ g as (select n, person, max(name) as name, min(r) filter (where title <> '') as
 select n, person, name, 't' || best as title, array_to_string(s, ',') as sources, len(s) > 1 as corroborated from g
 """)
 def source_merge(spark, sf_dir):
-    c = customers(spark, sf_dir).select("n", F.concat(F.lit("P"), (K % 5).cast("string")).alias("name"), F.when(K % 4 == 0, "").otherwise(F.concat(F.lit("t"), (K % 3).cast("string"))).alias("title"),
-                                        F.concat(F.lit("s"), (K % 3).cast("string")).alias("source"), (K % 3).alias("r"))
+    c = customers(spark, sf_dir).select("n", F.concat(F.lit("P"), (key() % 5).cast("string")).alias("name"), F.when(key() % 4 == 0, "").otherwise(F.concat(F.lit("t"), (key() % 3).cast("string"))).alias("title"),
+                                        F.concat(F.lit("s"), (key() % 3).cast("string")).alias("source"), (key() % 3).alias("r"))
     out = contacts.merge_sources(c, "n", "name", "title", "source", F.col("r"))
     return out.select("n", "person", "name", "title", F.array_join("sources", ",").alias("sources"), "corroborated")
 
@@ -191,7 +192,7 @@ def surviving_source(spark, sf_dir):
 
 @query(f"select c_mktsegment, count(*) as n, count(*) filter (where c_custkey % 3 > 0) as named, round(100.0 * count(*) filter (where c_custkey % 3 > 0) / count(*), 1) as named_pct from {_C} group by c_mktsegment")
 def contact_summary(spark, sf_dir):
-    c = customers(spark, sf_dir).withColumn("name", F.when(K % 3 == 0, " ").otherwise(F.col("c_name")))
+    c = customers(spark, sf_dir).withColumn("name", F.when(key() % 3 == 0, " ").otherwise(F.col("c_name")))
     return contacts.contact_summary(c, ["c_mktsegment"], "name")
 
 
@@ -201,8 +202,8 @@ select p, count(*) from (select ['', 'malformed', 'unknown_index', 'no_name'][1
 """)
 def bank_lines(spark, sf_dir):
     c = customers(spark, sf_dir)
-    line = F.when(K % 4 == 0, F.concat(K.cast("string"), F.lit("| Ann | Owner | gm | said | so"))).when(K % 4 == 1, "no bars").when(
-        K % 4 == 2, F.concat((-K - 1).cast("string"), F.lit("|a|b|c|d"))).otherwise(F.concat(K.cast("string"), F.lit("||b|c|d")))
+    line = F.when(key() % 4 == 0, F.concat(key().cast("string"), F.lit("| Ann | Owner | gm | said | so"))).when(key() % 4 == 1, "no bars").when(
+        key() % 4 == 2, F.concat((-key() - 1).cast("string"), F.lit("|a|b|c|d"))).otherwise(F.concat(key().cast("string"), F.lit("||b|c|d")))
     good, bad = contacts.parse_bank_lines(c.select(line.alias("line")), "line", c.select("c_custkey"), "c_custkey")
     return good.select(F.lit("ok").alias("kind"), F.col("c_custkey").alias("id")).unionByName(bad.select(F.col("problem").alias("kind"), F.col("n").alias("id")))
 
@@ -218,12 +219,12 @@ select c_custkey, case when c_acctbal < 0 then 'closed' when not (n in (3, 12) o
 def lead_gates(spark, sf_dir):
     c, n, b = customers(spark, sf_dir), F.col("n"), F.col("c_acctbal")
     code = n.cast("string")
-    region = F.get(F.array(F.lit(""), F.lit("X"), F.lit("R"), F.lit("R")), (K % 4).cast("int"))
+    region = F.get(F.array(F.lit(""), F.lit("X"), F.lit("R"), F.lit("R")), (key() % 4).cast("int"))
     return c.select(
         "c_custkey", gates.active_footprint(closed=b < 0, postal=code, exact=["3", "12"], prefixes=["2"]).alias("active"),
         gates.footprint_reason(b, 5000, code, [str(i) for i in range(16)], region, ["R"]).alias("footprint"),
         gates.signal_gate(known=n == 1, reachable=n != 2, pixel=b >= 1000, sales_route=F.col("c_mktsegment") != "MACHINERY").alias("signal"),
-        gates.ad_channel(linkedin=n < 5, google_trusted=b > 3000, meta=K % 2 == 0).alias("channel"))
+        gates.ad_channel(linkedin=n < 5, google_trusted=b > 3000, meta=key() % 2 == 0).alias("channel"))
 
 
 @query(f"""
@@ -235,15 +236,15 @@ select c_custkey, ['ok', 'challenge', 'transient', 'dead', 'other', 'challenge',
 def triage(spark, sf_dir):
     n = F.col("n")
     get = lambda xs, i: F.get(F.array(*[F.lit(x) for x in xs]), i.cast("int"))
-    status = get(["200", "403", "connect timeout", "404", "weird", "captcha page", "502"], K % 7)
+    status = get(["200", "403", "connect timeout", "404", "weird", "captcha page", "502"], key() % 7)
     tags = F.array(get(["Roofer", "Wholesale", "School", "?"], n % 4))
-    domain = get(["a.yell.com", "yell.com", "notyell.com"], K % 3)
+    domain = get(["a.yell.com", "yell.com", "notyell.com"], key() % 3)
     return customers(spark, sf_dir).select(
         "c_custkey", gates.status_class(status).alias("status"), gates.worth_rendering(status).alias("render"),
-        gates.trade_prefilter(tags, F.when(K % 5 == 0, "Best Roofing").otherwise("x"), trade="roofer", supplier="wholesale", non_trade="school", override="roofing").alias("trade"),
+        gates.trade_prefilter(tags, F.when(key() % 5 == 0, "Best Roofing").otherwise("x"), trade="roofer", supplier="wholesale", non_trade="school", override="roofing").alias("trade"),
         gates.denied(F.lit("x"), domain, names="find a pro", domains=["yell.com"]).alias("denied"),
-        gates.demand_side(get(["agency", "museum", "factory"], n % 3), K % 50, buyers="factory", sellers="agency", least=5, most=20).alias("demand"),
-        gates.evidence_gate(get([" ", "text", "text"], K % 3), get(["x", None, "x"], K % 3)).alias("evidence"))
+        gates.demand_side(get(["agency", "museum", "factory"], n % 3), key() % 50, buyers="factory", sellers="agency", least=5, most=20).alias("demand"),
+        gates.evidence_gate(get([" ", "text", "text"], key() % 3), get(["x", None, "x"], key() % 3)).alias("evidence"))
 
 
 @query(f"""
@@ -254,10 +255,10 @@ from {_C}
 """)
 def verdict_map(spark, sf_dir):
     n = F.col("n")
-    c = customers(spark, sf_dir).withColumns({"lat": n.cast("double"), "lng": 2.0 * n, "at": F.when(K % 2 == 0, " ").otherwise("x"), "domain": F.when(K % 100 == 0, "").otherwise((K % 100).cast("string"))})
+    c = customers(spark, sf_dir).withColumns({"lat": n.cast("double"), "lng": 2.0 * n, "at": F.when(key() % 2 == 0, " ").otherwise("x"), "domain": F.when(key() % 100 == 0, "").otherwise((key() % 100).cast("string"))})
     c = gates.blank_centroids(c, [(3.0, 6.0)], lat="lat", lng="lng", address="at")
     c = gates.noise_split(c, "domain", ["c_custkey"], aggregator=n == 1, out_of_profile=n == 2, verify=n == 4)
-    v = gates.verdict_label(n < 8, n < 16, large=F.col("c_acctbal") > 0, reachable=K % 2 == 0)
+    v = gates.verdict_label(n < 8, n < 16, large=F.col("c_acctbal") > 0, reachable=key() % 2 == 0)
     return c.select("c_custkey", "lat", "lng", v["label"].alias("label"), v["priority"].alias("priority"), "split")
 
 
@@ -269,8 +270,8 @@ select c_custkey, fact, case when coalesce(rep, c_custkey) <> c_custkey and id i
 """)
 def sibling_fan_out(spark, sf_dir):
     c = customers(spark, sf_dir)
-    rows = c.select("c_custkey", F.when(K % 5 == 0, None).otherwise(K - K % 6).alias("rep"))
-    return matching.fan_out(rows, "c_custkey", "rep", c.where(K % 3 == 0).select("c_custkey", F.col("c_acctbal").alias("fact"))).select("c_custkey", "fact", F.coalesce("fanned_from", F.lit(-1)).alias("fanned_from"))
+    rows = c.select("c_custkey", F.when(key() % 5 == 0, None).otherwise(key() - key() % 6).alias("rep"))
+    return matching.fan_out(rows, "c_custkey", "rep", c.where(key() % 3 == 0).select("c_custkey", F.col("c_acctbal").alias("fact"))).select("c_custkey", "fact", F.coalesce("fanned_from", F.lit(-1)).alias("fanned_from"))
 
 
 @query("""
@@ -291,9 +292,9 @@ select c_custkey, case when c_custkey % 2 = 0 and c_custkey % 4 = 0 then 'second
 """)
 def provenance_joins(spark, sf_dir):
     c = customers(spark, sf_dir).withColumn("site", F.lit("first"))
-    second = c.where(K % 4 == 0).select("c_custkey", F.lit("second").alias("site"))
-    out = matching.override(c, "c_custkey", second, "site", K % 2 == 0)
-    out = matching.first_known(out, {"maps": F.lit(" "), "mail": F.when(K % 3 == 1, "b"), "llm": F.when(K % 3 == 2, "c")}, "web")
+    second = c.where(key() % 4 == 0).select("c_custkey", F.lit("second").alias("site"))
+    out = matching.override(c, "c_custkey", second, "site", key() % 2 == 0)
+    out = matching.first_known(out, {"maps": F.lit(" "), "mail": F.when(key() % 3 == 1, "b"), "llm": F.when(key() % 3 == 2, "c")}, "web")
     said = second.select("c_custkey", F.lit("good").alias("label"), F.lit("high").alias("confidence"))
     return matching.with_verdicts(out, "c_custkey", said, "unread").select("c_custkey", "site", "web", "web_source", "label", "confidence")
 
@@ -337,7 +338,7 @@ select 'cache', i, case when i % 2 = 0 and i < 20 then 'new' when i >= 100 then
 def cache_split(spark, sf_dir):
     c = customers(spark, sf_dir)
     cache = spark.range(0, 25, 2).select(F.col("id").cast("string").alias("name"), F.concat(F.lit("v"), F.col("id").cast("string")).alias("value"), F.lit(1).alias("at"))
-    hit, ask = matching.split_by_cache(c, F.when(K % 3 == 0, "").otherwise(F.col("n").cast("string")), cache.drop("at"), "name")
+    hit, ask = matching.split_by_cache(c, F.when(key() % 3 == 0, "").otherwise(F.col("n").cast("string")), cache.drop("at"), "name")
     answers = spark.range(0, 20, 2).select(F.col("id").cast("string").alias("asked"), (F.col("id") + 100).cast("string").alias("brand"), F.lit("new").alias("value"), F.lit(2).alias("at"))
     grown = matching.grown_cache(cache, answers, ["asked", "brand"], "name", "at")
     return (hit.select(F.lit("hit").alias("kind"), F.col("c_custkey").alias("id"), "value").unionByName(ask.select(F.lit("ask").alias("kind"), F.col("c_custkey").alias("id"), F.lit("").alias("value")))
@@ -366,9 +367,9 @@ select n, min(c_custkey) as first_id, lower(s) as person from (select n, c_custk
 """)
 def contact_upsert(spark, sf_dir):
     c = customers(spark, sf_dir)
-    nested = c.groupBy("n").agg(F.collect_list(F.struct("c_custkey", F.when(K % 3 == 0, "").when(K % 3 == 1, F.lower("c_mktsegment")).otherwise(F.col("c_mktsegment")).alias("name"))).alias("contacts"))
+    nested = c.groupBy("n").agg(F.collect_list(F.struct("c_custkey", F.when(key() % 3 == 0, "").when(key() % 3 == 1, F.lower("c_mktsegment")).otherwise(F.col("c_mktsegment")).alias("name"))).alias("contacts"))
     rows = store.flat_contacts(nested, "n", "contacts")
-    out = store.upsert_contacts(rows.where(K % 2 == 0), rows.where(K % 2 == 1), "n", "name", "c_custkey")
+    out = store.upsert_contacts(rows.where(key() % 2 == 0), rows.where(key() % 2 == 1), "n", "name", "c_custkey")
     return out.select("n", F.col("c_custkey").alias("first_id"), F.lower("name").alias("person"))
 
 
@@ -389,8 +390,8 @@ select c_custkey, n, c_mktsegment from {_C} where c_custkey % 2 = 1
 """)
 def ledger(spark, sf_dir):
     c = customers(spark, sf_dir)
-    old = c.where(K % 2 == 1).select("c_custkey", F.col("n").alias("amount"), F.col("c_mktsegment").alias("note"))
-    new = c.where(K % 2 == 0).select("c_custkey", (F.col("c_acctbal") / 7).alias("amount"))
+    old = c.where(key() % 2 == 1).select("c_custkey", F.col("n").alias("amount"), F.col("c_mktsegment").alias("note"))
+    new = c.where(key() % 2 == 0).select("c_custkey", (F.col("c_acctbal") / 7).alias("amount"))
     whole = store.ledger_append(old.drop("note").limit(0), new, "amount").withColumn("extra", F.lit(1))
     return store.append_projected(old, whole)
 
@@ -448,9 +449,9 @@ def place_inference(spark, sf_dir):
     n = F.col("n")
     near = F.struct(n.cast("double").alias("distance"), F.lit("hub").alias("name"))
     label = geo.inferred_label(near, 9)
-    city = geo.city_by_rungs(F.when(K % 3 == 0, "Town"), F.when(K % 3 == 1, "1 Road, west end quarter"), {"end": "End", "west end": "West End"}, F.lit("Hub"))
+    city = geo.city_by_rungs(F.when(key() % 3 == 0, "Town"), F.when(key() % 3 == 1, "1 Road, west end quarter"), {"end": "End", "west end": "West End"}, F.lit("Hub"))
     return customers(spark, sf_dir).select(
-        "c_custkey", label["label"].alias("label"), label["source"].alias("label_source"), geo.footprint_tag(F.when(n != 24, n), n + F.when(K % 2 == 0, -1).otherwise(1), 5, 8).alias("tag"),
+        "c_custkey", label["label"].alias("label"), label["source"].alias("label_source"), geo.footprint_tag(F.when(n != 24, n), n + F.when(key() % 2 == 0, -1).otherwise(1), 5, 8).alias("tag"),
         city["city"].alias("city"), city["rung"].alias("rung"), geo.locality({"suburb": F.when(n % 2 == 0, " Village ").otherwise("North District"), "town": F.lit("Town")}, "district").alias("place"))
 
 
@@ -466,5 +467,5 @@ select 'latitude_band' as problem, count(*) as n from {_C} where n > 20 union al
 select 'duplicate_id', count(*) from (select c_custkey // 2 from {_C} group by 1 having count(*) > 1)
 """)
 def coordinate_checks(spark, sf_dir):
-    c = customers(spark, sf_dir).select(F.floor(K / 2).alias("id"), F.col("n").alias("lat"), F.when(K % 4 == 0, 5).otherwise(-5).alias("lng"))
+    c = customers(spark, sf_dir).select(F.floor(key() / 2).alias("id"), F.col("n").alias("lat"), F.when(key() % 4 == 0, 5).otherwise(-5).alias("lng"))
     return geo.coordinate_problems(c, "id", lat="lat", lng="lng", south=0, north=20)
