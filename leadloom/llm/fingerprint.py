@@ -143,9 +143,10 @@ def _befores(keys: DataFrame) -> DataFrame:
 
 
 def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", next_col: str = "next", share: float = 0.25) -> DataFrame:
-    """(id, text, next) of every row; ``next`` is struct(text, fingerprint) of the next document by id, after the last the first.
+    """(id, text, next) of every row; ``next`` is struct(id, text, fingerprint) of the next document by id, after the last the first.
 
-    ``next.text`` is the beginning of the next text, ``share`` times as long as the row's own text (or all of it).
+    ``next.text`` is the beginning of the next text, ``share`` times as long as the row's own text (or all of it). A caller
+    that uses ``next.id`` too has the texts shuffled once: both joins then read the same columns.
     """
     # a document goes by 128 bits of hashes of its id (null has one too) and its text
     rows = docs.select(F.col(id_col).alias("i"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
@@ -155,12 +156,12 @@ def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     total = keys.agg(F.max("copies").alias("most"), F.sum(F.col("n") * F.col("copies")).alias("chars")).first()
     # both joins deal the texts by the same key, whatever their size: one shuffle, its partitions by the characters
     rows = rows.withColumn("k", F.xxhash64("i")).repartition(max(1, -(-(total["chars"] or 0) // PART_CHARS)), "k", "h")
-    once = rows if (total["most"] or 0) < 2 else rows.dropDuplicates(["i", "h"])
+    once = rows if (total["most"] or 0) < 2 else rows.dropDuplicates(["k", "h"])
     known = once.join(before.hint("merge"), (F.col("k") == F.col("kk")) & (F.col("h") == F.col("kh")))
     sent = known.select(
-        F.xxhash64("before.i").alias("kk"), F.col("before.h").alias("kh"), "text",
+        F.xxhash64("before.i").alias("kk"), F.col("before.h").alias("kh"), "i", "text",
         F.expr(f"left(text, cast(floor(before.n * {share}D) as int))").alias("head"))
     sent = with_fingerprint(sent, "text", "print").select(
-        "kk", "kh", F.struct(F.col("head").alias("text"), F.col("print").alias("fingerprint")).alias("next"))
+        "kk", "kh", F.struct(F.col("i").alias("id"), F.col("head").alias("text"), F.col("print").alias("fingerprint")).alias("next"))
     got = rows.join(sent.hint("merge"), (F.col("k") == F.col("kk")) & (F.col("h") == F.col("kh")))
     return got.select(F.col("i").alias(id_col), F.col("text").alias(text_col), F.col("next").alias(next_col))

@@ -93,13 +93,14 @@ def op9_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fingerprint.with_next(table(spark, sf_dir, "documents"))
     edited = F.concat(F.expr("left(text, length(text) - cast(floor(length(text) / 4) as int))"), F.col("next.text"))
-    rows = rows.select("doc_id", "text", F.length("text").cast("long").alias("n_chars"), edited.alias("edited"), F.col("next.fingerprint").alias("next_fingerprint"))
+    rows = rows.select("doc_id", "text", F.length("text").cast("long").alias("n_chars"), edited.alias("edited"),
+                       F.col("next.id").alias("next_id"), F.col("next.fingerprint").alias("next_fingerprint"))
     rows = fingerprint.with_fingerprint(rows, "text", "fingerprint").drop("text")
     rows = fingerprint.with_fingerprint(rows, "edited", "edited_fingerprint")
     rows = fingerprint.with_likeness(rows, "fingerprint", "edited_fingerprint", "near_edited")
     rows = fingerprint.with_likeness(rows, "fingerprint", "next_fingerprint", "near_next")
     return rows.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-                       "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+                       "fingerprint", "edited_fingerprint", "near_edited", "near_next", "next_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

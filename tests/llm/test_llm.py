@@ -875,6 +875,13 @@ def test_keys_are_dealt_evenly(spark, monkeypatch):
     assert len(sizes) == 20 and max(sizes) < 2 * 1000
 
 
+def test_texts_are_shuffled_once(spark, sf):
+    df = queries.op10_fingerprint(spark, sf)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("ReusedExchange") == 1 and final.count("REPARTITION_BY_NUM") == 2  # the reused one is named again
+
+
 def test_equal_rows_are_one_document(spark):
     df = spark.createDataFrame([(1, "a" * 9)] * 5 + [(2, "b" * 50)] + [(None, "c")] * 3, "doc_id long, text string")
     got = [(r["doc_id"], r["next"]["text"]) for r in fingerprint.with_next(df).collect()]
