@@ -16,6 +16,11 @@ def blank_if_null(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once for each row, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), lambda v: use(v)), 0)
+
+
 def is_blank(c: Column) -> Column:
     return F.trim(blank_if_null(c)) == ""
 
