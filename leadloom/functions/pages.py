@@ -7,7 +7,7 @@ import json
 import pandas as pd
 from pyspark.sql import Column, functions as F
 
-from leadloom.functions.text import blank_if_null
+from leadloom.functions.text import blank_if_null, let
 
 # Social networks by host, and first path segments that are no profiles.
 NETWORKS = {
@@ -65,31 +65,34 @@ def social_profiles(text: Column, most: int = 2) -> Column:
 
     Shares, logins and roots are no profiles; LinkedIn keeps companies, persons and schools, YouTube channels only.
     """
-    def place(raw: Column) -> Column:
+    def parts(raw: Column) -> Column:
         url = F.replace(F.regexp_replace(raw, r"[.,;:!?]+$", ""), F.lit("&amp;"), F.lit("&"))
         host = F.regexp_replace(F.lower(F.regexp_extract(url, r"^https?://(?:[^/@?#]*@)?([^/?#:]+)", 1)), r"^(www|m|mobile|business)\.", "")
         path = F.filter(F.split(F.regexp_extract(url, r"^https?://[^/?#]+([^?#]*)", 1), "/"), lambda s: s != "")
-        network = None
-        for name, pattern in NETWORKS.items():
-            network = network.when(host.rlike(pattern), name) if network is not None else F.when(host.rlike(pattern), name)
-        n, first = F.size(path), F.coalesce(F.get(path, 0), F.lit(""))
-        page_id = F.regexp_extract(url, r"[?&]id=([^&#]+)", 1)
+        return F.struct(host.alias("host"), path.alias("path"), F.regexp_extract(url, r"[?&]id=([^&#]+)", 1).alias("page_id"))
+
+    def named(p: Column) -> Column:
+        network = F.coalesce(*[F.when(p["host"].rlike(pattern), F.lit(name)) for name, pattern in NETWORKS.items()])
+        return F.struct(p["host"].alias("host"), p["path"].alias("path"), p["page_id"].alias("page_id"), network.alias("network"))
+
+    def place(p: Column) -> Column:
+        network, path, n, first = p["network"], p["path"], F.size(p["path"]), F.coalesce(F.get(p["path"], 0), F.lit(""))
         plain = ~first.isin(*NO_PROFILE) & ~first.rlike(r"(?i)\.(php|html)$") & (F.length(first) >= 2)
-        keep = F.when((network == "facebook") & (first == "profile.php"), F.when(page_id != "", F.array(F.concat(F.lit("profile.php?id="), page_id))))
+        keep = F.when((network == "facebook") & (first == "profile.php"), F.when(p["page_id"] != "", F.array(F.concat(F.lit("profile.php?id="), p["page_id"]))))
         for name, paths in PROFILE_PATHS.items():
             for segment, least, taken in paths:
                 keep = keep.when((network == name) & first.rlike(f"(?i)^(?:{segment})$"), F.when(n >= least, F.slice(path, 1, taken)))
         keep = keep.when(~network.isin(*LISTED_ONLY) & plain, F.slice(path, 1, 1))
-        return F.struct(network.alias("network"), F.concat(F.lit("https://"), host, F.lit("/"), F.array_join(keep, "/")).alias("url"))
-
-    found = F.transform(F.regexp_extract_all(blank_if_null(text), F.lit(r"""(?i)https?://[^\s"'<>()\[\]\\]+"""), F.lit(0)), place)
-    found = F.array_distinct(F.filter(found, lambda x: x["network"].isNotNull() & x["url"].isNotNull()))
+        return F.struct(network.alias("network"), F.concat(F.lit("https://"), p["host"], F.lit("/"), F.array_join(keep, "/")).alias("url"))
 
-    def of(network: str) -> Column:
-        return F.slice(F.transform(F.filter(found, lambda x: x["network"] == network), lambda x: x["url"]), 1, most)
+    def lists(found: Column) -> Column:
+        of = lambda network: F.slice(F.transform(F.filter(found, lambda x: x["network"] == network), lambda x: x["url"]), 1, most)
+        return F.array(*[F.struct(F.lit(n).alias("key"), of(n).alias("value")) for n in NETWORKS])
 
-    lists = F.array(*[F.struct(F.lit(n).alias("key"), of(n).alias("value")) for n in NETWORKS])
-    return F.map_from_entries(F.filter(lists, lambda e: F.size(e["value"]) > 0))
+    raw = F.regexp_extract_all(blank_if_null(text), F.lit(r"""(?i)https?://[^\s"'<>()\[\]\\]+"""), F.lit(0))
+    known = F.filter(F.transform(F.transform(raw, parts), named), lambda p: p["network"].isNotNull())
+    found = F.array_distinct(F.filter(F.transform(known, place), lambda x: x["url"].isNotNull()))
+    return F.map_from_entries(F.filter(let(found, lists), lambda e: F.size(e["value"]) > 0))
 
 
 def strip_shared(texts: Column, least: int = 60) -> Column:
