@@ -93,6 +93,21 @@ def phone_key(c: Column) -> Column:
     return F.when(F.length(digits) >= 10, F.substring(digits, -10, 10)).otherwise("")
 
 
+def uk_phone(c: Column) -> Column:
+    """Digits of a British number in national form (00 and 44 become 0), or blank if they are fewer than nine."""
+    digits = F.regexp_replace(F.regexp_replace(blank_if_null(c), "[^0-9]", ""), "^00", "")
+    national = F.regexp_replace(digits, "^44(?=[0-9]{9})", "0")
+    return F.when(F.length(national) >= 9, national).otherwise("")
+
+
+def us_phone(c: Column) -> Column:
+    """struct(display, e164, key) of a number; other than ten digits (after a leading 1) are shown as given, without e164."""
+    digits = F.regexp_replace(F.regexp_replace(blank_if_null(c), "[^0-9]", ""), "^1(?=[0-9]{10}$)", "")
+    ten = F.length(digits) == 10
+    return F.struct(F.when(ten, F.regexp_replace(digits, "^(...)(...)(....)$", "($1) $2-$3")).otherwise(F.trim(blank_if_null(c))).alias("display"),
+                    F.when(ten, F.concat(F.lit("+1"), digits)).otherwise("").alias("e164"), digits.alias("key"))
+
+
 def uk_postcode(c: Column) -> Column:
     """struct(full, outward) of the last postcode in a text, blank if none."""
     found = F.regexp_extract_all(F.upper(blank_if_null(c)), F.lit(r"\b([A-Z]{1,2}[0-9][A-Z0-9]?) ?([0-9][A-Z]{2})\b"), F.lit(0))
@@ -206,3 +221,39 @@ def own_site_link(markup: Column) -> Column:
     """The first outside link after a profile page's heading, as a host, or blank."""
     after = F.regexp_extract(blank_if_null(markup), r"(?is)</h1\s*>(.*)$", 1)
     return lenient_host(F.regexp_extract(after, r"(?i)<a\b[^>]*\bhref\s*=\s*[\"'](https?://[^\"']+)", 1))
+
+
+# Postcode areas outside England.
+NATION_AREAS = {
+    "SCT": ["AB", "DD", "DG", "EH", "FK", "G", "HS", "IV", "KA", "KW", "KY", "ML", "PA", "PH", "TD", "ZE"],
+    "WLS": ["CF", "LD", "LL", "NP", "SA"],
+    "NIR": ["BT"],
+    "Isle of Man": ["IM"], "Guernsey": ["GY"], "Jersey": ["JE"],
+}
+
+
+def nation_of(address: Column, areas: dict[str, list[str]] = NATION_AREAS) -> Column:
+    """The nation of an address by its last postcode's area; ENG for areas not listed, null without a postcode."""
+    area = F.regexp_extract(uk_postcode(address)["outward"], "^[A-Z]+", 0)
+    cases = F.when(area == "", F.lit(None).cast("string"))
+    for nation, listed in areas.items():
+        cases = cases.when(area.isin(listed), nation)
+    return cases.otherwise("ENG")
+
+
+def snippet(c: Column, pattern: str, reach: int = 110) -> Column:
+    """The first match with ``reach`` characters on both sides, white space squashed; blank without a match."""
+    before, match = F.split(c, pattern, 2)[0], F.regexp_extract(c, pattern, 0)
+    after = c.substr(F.length(before) + F.length(match) + 1, F.lit(reach))
+    around = F.concat(F.right(before, F.lit(reach)), match, after)
+    return F.when(c.rlike(pattern), F.trim(F.regexp_replace(around, r"\s+", " "))).otherwise("")
+
+
+def tiered(c: Column, *, strong: str, core: list[str], adjacent: list[str], new: list[str], reach: int = 110) -> Column:
+    """struct(tier, core, adjacent, new, evidence): A by a strong pattern or two core ones, B by an adjacent one, C by a new
+    or one core pattern, D otherwise. Counts are of different patterns; evidence is a snippet of the first pattern that
+    matches, in the order strong, core, adjacent, new."""
+    n_core, n_adjacent, n_new = hits(c, core), hits(c, adjacent), hits(c, new)
+    tier = F.when(c.rlike(strong) | (n_core >= 2), "A").when(n_adjacent >= 1, "B").when((n_new >= 1) | (n_core == 1), "C").otherwise("D")
+    evidence = F.coalesce(*[F.when(c.rlike(p), snippet(c, p, reach)) for p in (strong, *core, *adjacent, *new)], F.lit(""))
+    return F.struct(tier.alias("tier"), n_core.alias("core"), n_adjacent.alias("adjacent"), n_new.alias("new"), evidence.alias("evidence"))

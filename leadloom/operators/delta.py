@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from leadloom.functions.text import blank_if_null
+from leadloom.functions.text import blank_if_null, is_blank
+from leadloom.operators.merge import first_non_blank
 
 
 def pass_hits(passes: DataFrame, key: str, pass_col: str) -> DataFrame:
@@ -12,6 +13,20 @@ def pass_hits(passes: DataFrame, key: str, pass_col: str) -> DataFrame:
     return passes.groupBy(key).agg(F.count_distinct(pass_col).alias("pass_hits"), F.min(pass_col).alias("first_pass"))
 
 
+def merged_memory(prior: DataFrame, key: str, order: str, *, first: str = "first_seen", hits: str = "cumulative_hits", delivered: str = "delivered") -> DataFrame:
+    """One row for each key of earlier cycles: the first ``first`` that is not blank, the most hits, delivered if any row is
+    (a row that does not say so was, so that an old baseline is never new), all other columns of the last row.
+
+    Rows without a key are left out; ``order`` orders the rows of all cycles.
+    """
+    rest = [c for c in prior.columns if c not in (key, order, first, hits, delivered)]
+    was = F.when(is_blank(F.col(delivered).cast("string")), True).otherwise(F.lower(F.col(delivered).cast("string")) == "true")
+    merged = prior.where(~is_blank(F.col(key).cast("string"))).groupBy(key).agg(
+        first_non_blank(first, F.col(order)).alias(first), F.max(F.coalesce(F.col(hits), F.lit(0))).alias(hits), F.bool_or(was).alias(delivered),
+        F.max_by(F.struct(F.lit(0).alias("__"), *rest), F.col(order)).alias("__last"))
+    return merged.select(key, first, hits, delivered, *[F.col("__last")[c].alias(c) for c in rest])
+
+
 def union_with_memory(current: DataFrame, prior: DataFrame, key: str, *, cycle: str, min_hits: int) -> DataFrame:
     """The current cycle's keys with their memory: first_seen, cumulative_hits, delivered and status.
 
@@ -58,3 +73,14 @@ def fresh(df: DataFrame, when: str, as_of: str, days: int) -> DataFrame:
 def coverage_gaps(expected: DataFrame, seen: DataFrame, keys: list[str]) -> DataFrame:
     """Expected keys that were not seen."""
     return expected.join(seen.select(*keys).distinct(), keys, "left_anti")
+
+
+def work_key(query: Column, lat: Column, lng: Column) -> Column:
+    """query|lat|lng with two decimals: the key of a tile's work; null if a part is."""
+    return F.when(lat.isNotNull() & lng.isNotNull(), F.concat(query, F.format_string("|%.2f|%.2f", lat.cast("double"), lng.cast("double"))))
+
+
+def prefixes_not_seen(prefixes: list[str], seen: DataFrame, code: str) -> DataFrame:
+    """Those of a fixed list of prefixes with which no seen code begins."""
+    found = seen.select(F.explode(F.filter(F.array(*[F.lit(p) for p in prefixes]), lambda p: F.col(code).startswith(p))).alias("prefix")).distinct()
+    return seen.sparkSession.createDataFrame([(p,) for p in prefixes], "prefix string").join(found, "prefix", "left_anti")

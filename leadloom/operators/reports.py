@@ -45,3 +45,9 @@ def zero_suspects(tiles: DataFrame, centre: str, tile: str, count: str, ok: str,
     by_tile = tiles.groupBy(centre, tile).agg(F.max(count).alias("best"), F.bool_or(ok).alias("any_ok"))
     by_centre = by_tile.groupBy(centre).agg(F.max("best").alias("centre_best"))
     return by_tile.join(by_centre, centre).where(F.col("any_ok") & (F.col("best") == 0) & (F.col("centre_best") > floor))
+
+
+def manifest(df: DataFrame, counts: dict[str, Column]) -> DataFrame:
+    """One row with a JSON text: the number of rows, then for each name the rows in which its condition holds."""
+    flags = [F.count(F.when(c, F.lit(1))).alias(n) for n, c in counts.items()]
+    return df.agg(F.count("*").alias("rows"), *flags).select(F.to_json(F.struct("rows", *counts)).alias("manifest"))

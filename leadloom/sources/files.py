@@ -39,6 +39,17 @@ def with_aliases(df: DataFrame, aliases: dict[str, list[str]]) -> DataFrame:
     return df.select(*picks)
 
 
+def newest_capture(df: DataFrame, row_id: str, name: str, address: str, captured: str, order: str) -> DataFrame:
+    """For each id, or lower-case name|address where it is blank, the row captured last; ``order`` decides between equal times.
+
+    The result has the key first and every column of the row.
+    """
+    given = F.trim(F.coalesce(F.col(row_id).cast("string"), F.lit("")))
+    key = F.when(given != "", given).otherwise(F.lower(F.concat(F.coalesce(F.col(name).cast("string"), F.lit("")), F.lit("|"), F.coalesce(F.col(address).cast("string"), F.lit("")))))
+    last = F.max_by(F.struct(*df.columns), F.struct(F.coalesce(F.col(captured).cast("string"), F.lit("")).alias("t"), F.col(order).alias("o")))
+    return df.groupBy(key.alias("capture_key")).agg(last.alias("m")).select("capture_key", "m.*")
+
+
 def flags_to_tags(df: DataFrame, prefix: str, out: str) -> DataFrame:
     """Columns prefix* that hold 1 as a |-joined list of their names' rests."""
     flags = [c for c in df.columns if c.startswith(prefix)]
@@ -57,3 +68,29 @@ def write_split(df: DataFrame, path: str, by: str) -> None:
 
 def append_checkpoint(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
+
+
+def _folder(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Complete versions of a table in <path>/v<number>, ascending; those without their mark of success are not listed."""
+    root, fs = _folder(spark, path)
+    if not fs.exists(root):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(root)]
+    return sorted(int(n[1:]) for n in names if n[:1] == "v" and n[1:].isdigit() and fs.exists(_folder(spark, f"{path}/{n}/_SUCCESS")[0]))
+
+
+def rewrite(df: DataFrame, path: str) -> DataFrame:
+    """Write a table's next version beside the last and read it back: readers see the old one or the new one, never half of it."""
+    number = max(versions(df.sparkSession, path), default=-1) + 1
+    df.write.mode("overwrite").parquet(f"{path}/v{number}")
+    return latest(df.sparkSession, path)
+
+
+def latest(spark: SparkSession, path: str) -> DataFrame:
+    """The last complete version of a table that ``rewrite`` wrote."""
+    return spark.read.parquet(f"{path}/v{versions(spark, path)[-1]}")
