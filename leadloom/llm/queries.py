@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from leadloom.llm import bpe, chat, fingerprint, langid, licenses, neardup, packing, pii, rules, weak_quality
-from leadloom.llm.shared import let_workers_import, table
+from leadloom.llm import bpe, chat, fingerprint, langid, licenses, manifest, neardup, packing, pii, rules, weak_quality
+from leadloom.llm.shared import let_workers_import, table, written
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,6 +103,24 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "fingerprint", "edited_fingerprint", "near_edited", "near_next", "next_id")
 
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    touched = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    leaves = written(docs.select(
+        "doc_id", "lang", manifest.digest_of("doc_id", "source", "lang", "n_chars", "text").alias("leaf"),
+        F.when(touched, manifest.digest_of("doc_id", "source", "lang", "n_chars", F.translate("text", UPPER, LOWER))).alias("tampered"),
+    ), "leaves")
+    store = manifest.write_manifest(leaves, tree="lang", key="doc_id", digest="leaf", carry=("tampered",))
+    folded = manifest.fold(F.coalesce("tampered", "digest"), F.col("path"))
+    return manifest.proofs(store).select(
+        "doc_id", F.col("digest").alias("leaf"), "subroot", F.lit(store.root).alias("root"),
+        manifest.path_digest(F.col("path")).alias("proof_sha256"), folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_quality": op2_quality,
@@ -114,11 +132,63 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_neardup": op9_neardup,
     "op10_fingerprint": op10_fingerprint,
+    "op11_manifest": op11_manifest,
 }
 
 _CONTROLS = ", ".join(f"'{c}'" for c in chat.INST_CONTROLS)
 
+
+def _leaf_sql(text: str) -> str:
+    values = ["doc_id::varchar", "source", "lang", "n_chars::varchar", text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + ")"
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op11_manifest": f"""
+with recursive crc_table as (
+  select list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by i) as t
+  from (select unnest(range(256)) as i)
+), touched as (
+  select doc_id as touched_id, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 3 = 0 as hit
+  from (select distinct doc_id from documents where doc_id is not null), crc_table
+), leaves as (
+  select doc_id, coalesce('=' || lang, '') as tree, {_leaf_sql("text")} as leaf,
+    case when hit then {_leaf_sql(f"translate(text, '{UPPER}', '{LOWER}')")} else {_leaf_sql("text")} end as tampered
+  from documents left join touched on touched_id = doc_id
+), placed as (
+  select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as pos, count(*) over (partition by tree) as n from leaves
+), nodes as (
+  select tree, pos, n, 0 as lvl, leaf as digest from placed
+  union all
+  select tree, pos // 8, any_value((n + 7) // 8), any_value(lvl) + 1, sha256(string_agg(digest, '' order by pos)) from nodes where n > 1 group by tree, pos // 8
+), subroots as (
+  select tree as of, digest as subroot, row_number() over (order by tree) - 1 as pos, count(*) over () as n from nodes where n = 1
+), tops as (
+  select pos, n, 0 as lvl, subroot as digest from subroots
+  union all
+  select pos // 8, any_value((n + 7) // 8), any_value(lvl) + 1, sha256(string_agg(digest, '' order by pos)) from tops where n > 1 group by pos // 8
+), runs as (
+  select tree, lvl, pos // 8 as run, list(digest order by pos) as c from nodes where n > 1 group by all
+), top_runs as (
+  select lvl, pos // 8 as run, list(digest order by pos) as c from tops where n > 1 group by all
+), climbs as (
+  select doc_id, leaf, tree, pos, pos as spot, n, 0 as lvl, '' as beside, tampered as own from placed
+  union all
+  select doc_id, leaf, b.tree, pos, spot // 8, (n + 7) // 8, b.lvl + 1, beside || array_to_string(c[:spot % 8] || c[spot % 8 + 2:], ''),
+    sha256(array_to_string(c[:spot % 8] || [own] || c[spot % 8 + 2:], ''))
+  from climbs b join runs r on r.tree = b.tree and r.lvl = b.lvl and r.run = spot // 8 where n > 1
+), tree_climbs as (
+  select doc_id, leaf, subroot, s.pos as spot, s.n as n, 0 as lvl, beside, own, tree, b.pos from climbs b join subroots s on s.of = b.tree where b.n = 1
+  union all
+  select doc_id, leaf, subroot, spot // 8, (n + 7) // 8, b.lvl + 1, beside || array_to_string(c[:spot % 8] || c[spot % 8 + 2:], ''),
+    sha256(array_to_string(c[:spot % 8] || [own] || c[spot % 8 + 2:], '')), tree, pos
+  from tree_climbs b join top_runs r on r.lvl = b.lvl and r.run = spot // 8 where n > 1
+)
+select doc_id, leaf, subroot, (select digest from tops where n = 1) as root, sha256(beside) as proof_sha256, own as folded_root,
+  own = (select digest from tops where n = 1) as verified
+from tree_climbs where n = 1
+""",
     "op3_chat": f"""
 with turns as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations

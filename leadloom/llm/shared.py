@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -10,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from leadloom.operators.durable import durable as written, small_side as small_keys  # noqa: F401
+from leadloom.operators.durable import durable as written, shared_dir, small_side as small_keys  # noqa: F401
 
 REPO_ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -20,6 +21,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A new folder of the shared one, deleted when the driver's JVM ends."""
+    path = f"{shared_dir(spark)}/leadloom-{uuid.uuid4().hex[:12]}-{label}"
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(where)
+    files.deleteOnExit(where)
+    return path
+
+
 #: Rows and bytes of a batch between the JVM and a Python worker: long texts make large rows, held twice on either side.
 BATCH_ROWS, BATCH_BYTES = 1000, 8_000_000
 #: Large blocks go back to the system when freed, so a worker that is used again stays small.
