@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from leadloom.llm.shared import scratch_folder, small_keys, written
 
@@ -46,18 +46,16 @@ def joined_digest(digests: Column) -> Column:
 
 
 class Manifest(NamedTuple):
-    """Where a store lies, the levels of its trees and of the top tree, and the root (None without rows)."""
+    """The levels of the trees and of the top tree, each a written table, where they lie, and the root (None without rows).
+
+    Nodes have tree, pos, n (the tree's nodes at this level) and digest; leaves also key and carried columns, others children.
+    """
 
-    spark: SparkSession
     path: str
-    levels: int
-    top_levels: int
+    levels: list[DataFrame]
+    tops: list[DataFrame]
     root: str | None
 
-    def level(self, k: int, top: bool = False) -> DataFrame:
-        """Nodes of level ``k``: (tree, pos, n: nodes of the tree at this level, digest), leaves with key and carried columns, others with children."""
-        return self.spark.read.parquet(f"{self.path}/{'top' if top else 'trees'}/level={k}")
-
 
 def tree_name(column: Column | str) -> Column:
     """A value's name in the store: null sorts before all others and differs from the empty text."""
@@ -78,21 +76,22 @@ def _placed(rows: DataFrame, key: str) -> DataFrame:
     return placed.drop("__at", "__run", "__shift").sortWithinPartitions("tree", "pos")
 
 
-def _write_levels(leaves: DataFrame, path: str) -> int:
-    """Write level 0 and the levels above it; the number of levels above."""
-    spark = leaves.sparkSession
-    leaves.write.parquet(f"{path}/level=0")
-    most = spark.read.parquet(f"{path}/level=0").agg(F.max("n")).first()[0] or 1
-    k = 0
+def _stored(rows: DataFrame, path: str) -> DataFrame:
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def _write_levels(leaves: DataFrame, path: str) -> list[DataFrame]:
+    """The written levels, from the leaves up."""
+    levels = [_stored(leaves, f"{path}/level=0")]
+    most = levels[0].agg(F.max("n")).first()[0] or 1
     while most > 1:
-        below = spark.read.parquet(f"{path}/level={k}").where("n > 1")
-        runs = below.groupBy("tree", F.expr(f"pos div {FAN}").alias("pos")).agg(
+        runs = levels[-1].where("n > 1").groupBy("tree", F.expr(f"pos div {FAN}").alias("pos")).agg(
             F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("pos", "digest")))["digest"].alias("children"))
         above = runs.select("tree", "pos", F.expr(f"(n + {FAN - 1}) div {FAN}").alias("n"), joined_digest(F.col("children")).alias("digest"), "children")
-        k += 1
-        above.sortWithinPartitions("tree", "pos").write.parquet(f"{path}/level={k}")
+        levels.append(_stored(above.sortWithinPartitions("tree", "pos"), f"{path}/level={len(levels)}"))
         most = -(-most // FAN)
-    return k
+    return levels
 
 
 def write_manifest(leaves: DataFrame, *, tree: str | Column, key: str, digest: str, carry: tuple[str, ...] = (), path: str | None = None) -> Manifest:
@@ -100,18 +99,16 @@ def write_manifest(leaves: DataFrame, *, tree: str | Column, key: str, digest: s
 
     ``leaves`` should be a written table: it is read twice, to find the ranges and to sort. Leaves keep ``key`` and ``carry``.
     """
-    spark = leaves.sparkSession
-    path = path or scratch_folder(spark, "manifest")
+    path = path or scratch_folder(leaves.sparkSession, "manifest")
     rows = leaves.select(tree_name(tree).alias("tree"), key, F.col(digest).alias("digest"), *carry)
     levels = _write_levels(_placed(rows, key), f"{path}/trees")
-    store = Manifest(spark, path, levels, 0, None)
     ends = None
-    for k in range(levels + 1):
-        found = store.level(k).where("n = 1").select(F.lit("").alias("tree"), F.col("tree").alias("of"), "digest")
+    for nodes in levels:
+        found = nodes.where("n = 1").select(F.lit("").alias("tree"), F.col("tree").alias("of"), "digest")
         ends = found if ends is None else ends.unionByName(found)
-    top_levels = _write_levels(_placed(ends, "of"), f"{path}/top")
-    root = store.level(top_levels, top=True).where("n = 1").select("digest").first()
-    return Manifest(spark, path, levels, top_levels, root and root["digest"])
+    tops = _write_levels(_placed(ends, "of"), f"{path}/top")
+    root = tops[-1].where("n = 1").select("digest").first()
+    return Manifest(path, levels, tops, root and root["digest"])
 
 
 def _beside(children: Column, at: Column) -> Column:
@@ -120,12 +117,12 @@ def _beside(children: Column, at: Column) -> Column:
                     F.array_join(F.slice(children, at + 2, F.lit(FAN)), "").alias("right"))
 
 
-def _with_paths(store: Manifest, levels: int, start: DataFrame, top: bool) -> DataFrame:
+def _with_paths(levels: list[DataFrame], start: DataFrame) -> DataFrame:
     """Leaves with ``path`` and the other columns of ``start`` (tree, path, ...), which holds each tree's path above its last node."""
     more = [c for c in start.columns if c not in ("tree", "path")]
     paths = None
-    for k in range(levels, 0, -1):
-        nodes = store.level(k, top)
+    for k in range(len(levels) - 1, 0, -1):
+        nodes = levels[k]
         ended = nodes.where("n = 1").join(start, "tree").select("tree", "pos", "children", "path", *more)
         if paths is not None:
             ended = ended.unionByName(nodes.where("n > 1").join(paths, ["tree", "pos"]).select("tree", "pos", "children", "path", *more))
@@ -134,7 +131,7 @@ def _with_paths(store: Manifest, levels: int, start: DataFrame, top: bool) -> Da
         else:
             child = ended.select("tree", F.col("pos").alias("above"), F.posexplode("children").alias("at", "child"), "children", "path", *more)
             paths = child.select("tree", (F.col("above") * FAN + F.col("at")).alias("pos"), F.concat(F.array(_beside(F.col("children"), F.col("at"))), "path").alias("path"), *more)
-    leaves = store.level(0, top)
+    leaves = levels[0]
     lone = leaves.where("n = 1").join(start, "tree")
     if paths is None:
         return lone
@@ -147,10 +144,10 @@ def proofs(store: Manifest) -> DataFrame:
     """Each leaf (tree, pos, n, digest, key, carried columns) with its tree's ``subroot`` and its ``path``: for each level, from
     the leaf up to the root, the digests to the left and to the right of the node on the way (empty texts where it has none)."""
     nowhere = F.expr("cast(array() as array<struct<left: string, right: string>>)")
-    whole = store.level(0, top=True).select("tree").distinct().withColumn("path", nowhere)
-    tops = _with_paths(store, store.top_levels, whole, top=True)
+    whole = store.tops[-1].where("n = 1").select("tree").withColumn("path", nowhere)
+    tops = _with_paths(store.tops, whole)
     start = written(tops.select(F.col("of").alias("tree"), "path", F.col("digest").alias("subroot")), "tops")
-    return _with_paths(store, store.levels, small_keys(start), top=False)
+    return _with_paths(store.levels, small_keys(start))
 
 
 def path_digest(path: Column) -> Column:
