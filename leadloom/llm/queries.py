@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from leadloom.llm import bpe, chat, fingerprint, langid, licenses, manifest, neardup, packing, pii, rules, weak_quality
+from leadloom.llm import bpe, chat, fingerprint, langid, licenses, manifest, neardup, packing, pii, rules, simhash, weak_quality
 from leadloom.llm.shared import let_workers_import, table, written
 
 
@@ -121,6 +121,11 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    let_workers_import(spark)
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_quality": op2_quality,
@@ -133,6 +138,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_neardup": op9_neardup,
     "op10_fingerprint": op10_fingerprint,
     "op11_manifest": op11_manifest,
+    "op12_simhash": op12_simhash,
 }
 
 _CONTROLS = ", ".join(f"'{c}'" for c in chat.INST_CONTROLS)
