@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from leadloom.llm import bpe, chat, fingerprint, langid, licenses, manifest, neardup, packing, pii, rules, simhash, weak_quality
+from leadloom.llm import bpe, chat, divergence, fingerprint, langid, licenses, manifest, neardup, packing, pii, rules, simhash, weak_quality
 from leadloom.llm.shared import let_workers_import, table, written
 
 
@@ -126,6 +126,11 @@ def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    let_workers_import(spark)
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_quality": op2_quality,
@@ -139,6 +144,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_fingerprint": op10_fingerprint,
     "op11_manifest": op11_manifest,
     "op12_simhash": op12_simhash,
+    "op13_divergence": op13_divergence,
 }
 
 _CONTROLS = ", ".join(f"'{c}'" for c in chat.INST_CONTROLS)
@@ -227,5 +233,29 @@ links as (
 ), best as (select node, min(label) as label from reach group by node)
 select d.doc_id, coalesce(s.n, 0)::bigint as n_shingles, b.label as component_id, d.doc_id = b.label as kept
 from documents d left join sizes s on s.doc_id = d.doc_id join best b on b.node = d.doc_id
+""",
+    "op13_divergence": rf"""
+with docs as (
+  select row_number() over () as d, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w from documents
+), words as (select d, lang, source, unnest(w) as term from docs),
+kept as (select lang, term, count(*) as total from words group by lang, term having count(distinct d) >= 3),
+counts as (select lang, source, term, count(*) as n from words semi join kept using (lang, term) group by all),
+groups as (
+  select g.lang, g.source, coalesce(sum(n), 0)::hugeint as size, (select count(*) from kept k where k.lang = g.lang) as v
+  from (select distinct lang, source from docs) g left join counts c using (lang, source) group by g.lang, g.source
+), shares as (
+  select g.lang, g.source, k.term, coalesce(c.n, 0) as n, 1 + 1000000000 * (coalesce(c.n, 0) + 1)::hugeint // (size + v) as p,
+    1 + 1000000000 * (k.total + 1)::hugeint // ((select sum(total) from kept x where x.lang = g.lang) + v) as q
+  from groups g join kept k using (lang) left join counts c on c.lang = g.lang and c.source = g.source and c.term = k.term
+), found as (
+  select a.lang, a.source, 'pair' as part, b.source as item, sum((a.p - b.p) * (a.p - b.p) // b.p)::bigint as value
+  from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+  union all
+  select a.lang, a.source, 'pair', b.source, 0 from groups a join groups b on a.lang = b.lang and a.source <> b.source where a.v = 0
+  union all
+  select lang, source, 'term', term, ((p - q) * (p - q) // q)::bigint from shares where n > 0 and p > q
+)
+select * from (select *, row_number() over (partition by lang, source, part order by value desc, item)::int as rank from found) where part = 'pair' or rank <= 200
 """,
 }

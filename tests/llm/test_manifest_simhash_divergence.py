@@ -4,14 +4,14 @@ import hashlib
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from leadloom.llm import manifest, queries, simhash
+from leadloom.llm import divergence, manifest, queries, simhash
 from leadloom.llm.shared import written
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, tree string, fingerprint string, value int"
@@ -194,3 +194,74 @@ def test_bits_are_counted_over_many_shingles():
     values = np.random.default_rng(1).integers(0, 2**63, 1000, dtype=np.uint64)
     assert simhash._set_bits(values).tolist() == [int(((values >> np.uint64(k)) & np.uint64(1)).sum()) for k in range(64)]
     assert simhash.fingerprint(b"a b c d " * 40_000) == plain_fingerprint("a b c d " * 40_000)
+
+
+# --- source divergence --------------------------------------------------------------------------------------------------
+
+def plain_audit(rows, top=200):
+    """Rows of op13 by plain loops over all terms of all groups."""
+    counts, in_docs, out = defaultdict(Counter), defaultdict(Counter), []
+    for r in rows:
+        lang, source = r["lang"] or "", r["source"] or ""
+        folded = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in r["text"] or "")
+        terms = re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", folded)
+        counts[lang, source].update(terms)
+        in_docs[lang].update(set(terms))
+    for lang in {k[0] for k in counts}:
+        kept = [t for t, n in in_docs[lang].items() if n >= 3]
+        groups = {s: c for (part, s), c in counts.items() if part == lang}
+        whole = {t: sum(c[t] for c in groups.values()) for t in kept}
+
+        def shares(c):
+            total = sum(c[t] for t in kept)
+            return {t: 1 + 10**9 * (c[t] + 1) // (total + len(kept)) for t in kept}
+
+        p, q = {s: shares(c) for s, c in groups.items()}, shares(whole)
+        f = lambda a, b: (a - b) ** 2 // b
+        for s, c in groups.items():
+            pairs = [(o, sum(f(p[s][t], p[o][t]) for t in kept)) for o in groups if o != s]
+            terms = [(t, f(p[s][t], q[t])) for t in kept if c[t] and p[s][t] > q[t]]
+            for part, found, most in (("pair", pairs, None), ("term", terms, top)):
+                found.sort(key=lambda x: (-x[1], x[0].encode()))
+                out += [(lang, s, part, item, value, k) for k, (item, value) in enumerate(found[:most], 1)]
+    return sorted(out)
+
+
+def test_divergence_equals_plain_loops(spark, sf):
+    rows = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    assert sorted(map(tuple, queries.op13_divergence(spark, sf).collect())) == plain_audit(rows)
+
+
+def test_divergence_of_odd_rows(monkeypatch, spark, odd, empty):
+    got = op_query(monkeypatch, "op13_divergence", odd, spark)
+    assert got.columns == ["lang", "source", "part", "item", "value", "rank"]
+    assert sorted(map(tuple, got.collect())) == plain_audit(odd.collect())
+    assert op_query(monkeypatch, "op13_divergence", empty, spark).collect() == []
+
+
+@pytest.mark.parametrize("heavy", [1, 3, 100])
+@pytest.mark.parametrize("tile_terms, tile_groups", [(5, 4), (2048, 256)])
+def test_tiles_and_postings_add_up(spark, heavy, tile_terms, tile_groups):
+    """Any split into heavy and rare terms, and any tiles, give the plain sums; some groups are empty, counts are very uneven."""
+    rng = random.Random(9)
+    rows = []
+    for k in range(400):
+        words = [f"w{chr(97 + min(25, int(rng.expovariate(0.2))))}{rng.choice('ab')}" for _ in range(rng.randrange(12))] + ["the"] * (k % 40)
+        rows.append((k, " ".join(w.translate({48 + i: None for i in range(10)}) for w in words) if k % 9 else None, rng.choice(["x", "y", None]), f"s{k % 11 or k % 2}", None, "", "", 0))
+    docs = spark.createDataFrame(rows, DOCS)
+    entries, groups = divergence.measured(written(divergence.term_counts(docs), "counts"))
+    got = divergence.pair_divergence(written(entries, "shares"), groups, heavy, tile_terms, tile_groups).collect()
+    want = [(lang, s, item, value) for lang, s, part, item, value, _ in plain_audit(docs.collect()) if part == "pair"]
+    assert sorted(map(tuple, got)) == want
+
+
+def test_long_texts_are_counted_in_pieces():
+    text = ("Été word\n" * 300_000).encode()
+    parts = list(divergence.pieces(text))
+    assert len(parts) > 2 and Counter(w for p in parts for w in p) == {"Été".encode().replace(b"T", b"t"): 300_000, b"word": 300_000}
+    assert list(divergence.pieces(b"")) == []
+
+
+def test_shares_of_very_large_counts(spark):
+    row = spark.createDataFrame([(30_000_000_000_000, 90_000_000_000_000, 5_000_000)], "n long, size long, kept long").select(divergence.share("n", "size", "kept")).first()
+    assert row[0] == 1 + 10**9 * (30_000_000_000_000 + 1) // (90_000_000_000_000 + 5_000_000)
