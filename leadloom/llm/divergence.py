@@ -36,8 +36,8 @@ from leadloom.llm.shared import groups_of, small_keys, written
 
 #: Total of a distribution; least documents of a kept term; groups of a rare term at most; ranks of terms.
 SCALE, LEAST_DOCS, HEAVY, TOP = 1_000_000_000, 3, 8, 200
-#: Terms and groups of a tile (so 8 MB at most).
-TILE_TERMS, TILE_GROUPS = 2048, 256
+#: Terms and groups of a tile (so 2 MB at most).
+TILE_TERMS, TILE_GROUPS = 512, 256
 #: Terms held in a task before partial counts leave it; bytes of a piece of a text.
 _HELD, _PIECE = 300_000, 1 << 20
 

@@ -6,13 +6,15 @@
    often each labeller votes what on good and bad texts, and so the posterior of each pattern. Priors say that labellers
    are better than chance and weigh a fixed share of the rows, so a corpus without bad texts does not turn the classes.
 3. The posteriors are soft labels for a logistic regression over hashed words, word shapes and statistics. It is fitted
-   on a bounded sample: about ``train_rows`` different texts, those with the smallest hashes. Copies count once, so that
-   neither equal ids nor equal texts can fill the sample or leave it empty.
+   on a bounded sample: the ``train_rows`` different texts with the smallest hashes, or all if there are no more. Copies
+   count once: the share of hashes to look at follows the number of *different* texts (estimated in the pass of step 2), so
+   neither equal ids nor equal texts can fill the sample or leave it empty, at any size of the table.
 4. Every document gets the scorer's probability; those below ``threshold`` are rejected.
 
 Scale: two passes over the texts, no shuffle of texts; the driver sees the pattern counts and the bounded sample.
 
-Edge cases: null and empty texts are rejected by rule (nothing to learn from); repeated rows are scored alike; an empty
+Edge cases: null and empty texts are rejected by rule (nothing to learn from); a model that was fitted without any text has no
+scorer, and the posterior of a text's votes takes the score's place; repeated rows are scored alike; an empty
 table gives an empty result; extra columns stay, one struct column ``out_col`` is added (replacing one of that name).
 """
 
@@ -216,19 +218,20 @@ def score(weights: np.ndarray, index: np.ndarray, value: np.ndarray) -> float:
     return float(1 / (1 + np.exp(-np.clip(value.dot(weights[index]) + weights[-1], -30, 30))))
 
 
-def fit(docs: DataFrame, *, text_col: str = "text", train_rows: int = TRAIN_ROWS) -> tuple[dict[int, float], np.ndarray]:
-    """The posterior of each vote pattern over all documents, and the scorer's weights."""
+def fit(docs: DataFrame, *, text_col: str = "text", train_rows: int = TRAIN_ROWS) -> tuple[dict[int, float], np.ndarray | None]:
+    """The posterior of each vote pattern over all documents, and the scorer's weights (None if there was no text)."""
 
     def patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [pattern_of(votes(statistics(x.as_py() or "")[0])) for x in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], names=["pattern"])
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), batch.column("hash")], names=["pattern", "hash"])
 
-    source = docs.select(F.col(text_col).cast("string").alias("text"))
-    rows = source.mapInArrow(patterns, "pattern long").groupBy("pattern").agg(F.count("*").alias("n")).collect()
+    source = docs.select(F.col(text_col).cast("string").alias("text")).withColumn("hash", F.xxhash64("text"))
+    by_pattern = source.mapInArrow(patterns, "pattern long, hash long").groupBy("pattern")
+    rows = by_pattern.agg(F.count("*").alias("n"), F.approx_count_distinct("hash", 0.02).alias("different")).collect()
     counts = {r["pattern"]: r["n"] for r in rows}  # 3 ** labellers rows at most
     posterior, _, _ = fit_labellers(counts)
-    total = sum(counts.values())
+    different = sum(r["different"] for r in rows)  # equal texts have one pattern
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -239,18 +242,18 @@ def fit(docs: DataFrame, *, text_col: str = "text", train_rows: int = TRAIN_ROWS
                 index.append(i.astype(np.int32).tobytes())
                 value.append(v.astype(np.float32).tobytes())
                 label.append(posterior.get(pattern_of(votes(s)), 0.5))
-            yield pa.RecordBatch.from_arrays([pa.array(index, pa.binary()), pa.array(value, pa.binary()), pa.array(label, pa.float64())], names=["i", "v", "y"])
+            yield pa.RecordBatch.from_arrays([batch.column("hash"), pa.array(index, pa.binary()), pa.array(value, pa.binary()), pa.array(label, pa.float64())], names=["h", "i", "v", "y"])
 
-    million = 1_000_000
-    share = min(million, -(-train_rows * million // max(1, total)))
-    sample = source.where(F.pmod(F.xxhash64("text"), F.lit(million)) < share).distinct()
-    got = sample.mapInArrow(train, "i binary, v binary, y double").toArrow()
+    # a fifth more than asked for, and 50, for the estimate's error and chance; the least hashes of them are the sample
+    share = (1.2 * train_rows + 50) / max(1, different)
+    sample = source if share >= 1 else source.where(F.col("hash") < int(share * 2**64) - 2**63)
+    got = sample.where("text is not null").distinct().mapInArrow(train, "h long, i binary, v binary, y double").orderBy("h").limit(train_rows).toArrow()
     train_set = [(np.frombuffer(i, np.int32), np.frombuffer(v, np.float32).astype(np.float64), y)
                  for i, v, y in sorted(zip(*(got.column(c).to_pylist() for c in "ivy")))]
-    return posterior, fit_scorer(train_set)
+    return posterior, fit_scorer(train_set) if train_set else None
 
 
-def classify(docs: DataFrame, model: tuple[dict[int, float], np.ndarray], *, text_col: str = "text", out_col: str = "quality",
+def classify(docs: DataFrame, model: tuple[dict[int, float], np.ndarray | None], *, text_col: str = "text", out_col: str = "quality",
              threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with a struct ``out_col``: votes, weak (posterior of the votes), score and kept."""
     posterior, weights = model
@@ -263,8 +266,9 @@ def classify(docs: DataFrame, model: tuple[dict[int, float], np.ndarray], *, tex
             for x in batch.column(text_col):
                 s, words, shapes = statistics(x.as_py() or "")
                 cast = votes(s)
-                p = score(weights, *features(s, words, shapes)) if s["words"] else 0.0
-                out.append({"votes": cast, "weak": posterior.get(pattern_of(cast), 0.5), "score": p, "kept": p >= threshold})
+                weak = posterior.get(pattern_of(cast), 0.5)
+                p = 0.0 if not s["words"] else weak if weights is None else score(weights, *features(s, words, shapes))
+                out.append({"votes": cast, "weak": weak, "score": p, "kept": p >= threshold})
             columns = [batch.column(c) for c in names] + [pa.array(out, result)]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, out_col])
 

@@ -265,3 +265,24 @@ def test_long_texts_are_counted_in_pieces():
 def test_shares_of_very_large_counts(spark):
     row = spark.createDataFrame([(30_000_000_000_000, 90_000_000_000_000, 5_000_000)], "n long, size long, kept long").select(divergence.share("n", "size", "kept")).first()
     assert row[0] == 1 + 10**9 * (30_000_000_000_000 + 1) // (90_000_000_000_000 + 5_000_000)
+
+
+# --- the classifier's sample ---------------------------------------------------------------------------------------------
+
+def test_few_texts_repeated_often_are_learnt(spark):
+    """40 texts, a quarter of them junk, 200 times each: the sample holds them all, and junk is rejected."""
+    from leadloom.llm import weak_quality
+
+    rng = random.Random(2)
+    words = "the of and to in is that it for on with as are this be by from was house river market street window people water story".split()
+    fine = lambda: " ".join(rng.choice(words) for _ in range(90)).capitalize() + "."
+    junk = lambda: " ".join(rng.choice(["###", "$$$", "%%%", "BUY", "WIN", "!!!"]) for _ in range(90))
+    texts = [junk() if k % 4 == 0 else fine() for k in range(40)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").crossJoin(spark.range(200).select()).repartition(4)
+    for train_rows in (80, 20):
+        model = weak_quality.fit(docs, train_rows=train_rows)
+        assert np.abs(model[1]).max() > 0.1
+        got = weak_quality.classify(docs, model).select("doc_id", "quality.kept").distinct().collect()
+        assert {r["doc_id"] for r in got if not r["kept"]} == {k for k in range(40) if k % 4 == 0}
+    posterior, weights = weak_quality.fit(docs.limit(0))
+    assert weights is None and {r["kept"] for r in weak_quality.classify(docs.where("doc_id = 1"), (posterior, None)).select("quality.kept").collect()} == {True}
