@@ -4,11 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Second-level labels under which a country's domains are registered, company forms, shared mail hosts.
+# Second-level labels under which a country's domains are registered, company forms, hosts of free mail
+# (in all countries, and more of them by country), boxes that are no person's.
 SECOND_LEVEL = ["co", "com", "org", "net", "gov", "edu", "ac", "ltd", "plc", "me", "sch", "nhs", "id", "asn", "gob"]
 COMPANY_FORMS = ["inc", "llc", "ltd", "limited", "corp", "corporation", "gmbh", "plc"]
-FREE_MAIL = r"^(gmail|googlemail|yahoo|ymail|hotmail|outlook|live|msn|aol|icloud|me|mac|proton|protonmail|gmx|mail)\.[a-z.]+$"
-GENERIC_BOXES = ["info", "office", "hello", "contact", "sales", "admin", "enquiries", "support", "mail", "team", "service"]
+FREE_MAIL = (r"^(gmail|googlemail|hotmail|outlook|yahoo|live|aol|icloud|me|btinternet|btconnect|sky|talktalk|virginmedia|ntlworld|blueyonder|hotmail\.co|yahoo\.co|"
+             r"mail|protonmail|msn)\.")
+FREE_MAIL_OF = {
+    "au": r"^(bigpond|optusnet|iinet|tpg|westnet|internode|dodo|adam|ozemail|y7mail|exemail|aapt|iprimus|primus|netspace|optushome|people|live|yahoo|hotmail|outlook)"
+          r"\.(com\.au|net\.au|com|net)$",
+}
+GENERIC_BOXES = [
+    "info", "enquiries", "enquiry", "hello", "sales", "office", "admin", "contact", "mail", "enquire", "email", "hi", "estimates", "quotes", "quote", "team",
+    "accounts", "support", "service", "services", "help", "bookings", "booking", "orders", "office", "reception", "customerservice", "customer", "general", "main",
+    "post", "web", "site", "director", "manager", "md", "boss", "owner", "company", "business", "work", "home", "me", "you", "us",
+]
 
 
 def blank_if_null(c: Column) -> Column:

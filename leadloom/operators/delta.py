@@ -31,9 +31,10 @@ def union_with_memory(current: DataFrame, prior: DataFrame, key: str, *, cycle:
     """The current cycle's keys with their memory: first_seen, cumulative_hits, delivered and status.
 
     ``current`` has key and pass_hits; ``prior`` key, first_seen, hits and delivered (several rows a key are merged). A key
-    is confirmed if it has ``min_hits`` in this cycle or in all, and pending otherwise, unless it was delivered.
+    is confirmed if it has ``min_hits`` in this cycle or in all, and pending otherwise, unless it was delivered. A blank first_seen
+    is none: the first that is not blank counts, else this cycle.
     """
-    memory = prior.groupBy(key).agg(F.min("first_seen").alias("m_first"), F.max("hits").alias("m_hits"), F.bool_or("delivered").alias("m_delivered"))
+    memory = prior.groupBy(key).agg(F.min(F.when(~is_blank(F.col("first_seen")), F.col("first_seen"))).alias("m_first"), F.max("hits").alias("m_hits"), F.bool_or("delivered").alias("m_delivered"))
     joined = current.join(memory, key, "left")
     total = F.coalesce("m_hits", F.lit(0)) + F.col("pass_hits")
     delivered = F.coalesce("m_delivered", F.lit(False))

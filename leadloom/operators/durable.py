@@ -42,6 +42,15 @@ def durable(df: DataFrame, label: str = "step") -> DataFrame:
     return out
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new folder of the shared one, deleted when the driver's JVM ends."""
+    path = f"{shared_dir(spark)}/leadloom-{uuid.uuid4().hex[:12]}-{label}"
+    where, files = _path(spark, path)
+    files.mkdirs(where)
+    files.deleteOnExit(where)
+    return path
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete the files of tables that ``durable`` has returned and nothing reads any more."""
     for table in tables:

@@ -8,8 +8,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from leadloom.functions.text import blank_if_null, is_blank
 
-# Statuses of fetches by class.
-TRANSIENT, DEAD, CHALLENGE = r"timeout|reset|refused|temporar|^(?:429|5[0-9][0-9])$", r"dns|not found|no such host|^(?:404|410)$", r"captcha|challenge|cloudflare|^(?:401|403|406|503)$"
+# Words of failures that pass, codes that are dead by definition, codes of pages that bar robots, words of their pages.
+TRANSIENT = r"(?i)AbortError|timeout|ECONNRESET|ETIMEDOUT|EAI_AGAIN|TypeError|reset"
+DEAD = [404, 400, 402, 307]
+BARRED = [401, 403, 429, 500, 502, 503, 202, 999]
+CHALLENGE = r"(?i)just a moment|enable javascript and cookies|attention required|checking your browser|verifying you are human"
 
 
 def first_reason(*cases: tuple[Column, str]) -> Column:
@@ -43,15 +46,27 @@ def ad_channel(*, linkedin: Column, google_trusted: Column, meta: Column) -> Col
     return F.coalesce(first_reason((linkedin, "linkedin"), (google_trusted, "google"), (meta, "meta_pending")), F.lit("none"))
 
 
+def _code(status: Column) -> Column:
+    """The number that all digits of a status make, as one reads 503 off ``home_failed:503``; null without digits."""
+    return F.nullif(F.regexp_replace(blank_if_null(status), "[^0-9]", ""), F.lit("")).try_cast("long")
+
+
 def status_class(status: Column) -> Column:
-    """ok, challenge, transient, dead or other of a fetch's status (a code or a message)."""
-    s = F.lower(F.trim(blank_if_null(status)))
-    return F.coalesce(first_reason((s.rlike(r"^(?:ok|2[0-9][0-9])$"), "ok"), (s.rlike(CHALLENGE), "challenge"), (s.rlike(TRANSIENT), "transient"), (s.rlike(DEAD), "dead")), F.lit("other"))
+    """ok, transient, dead, challenge or other of a fetch's status (a code, or a message that may hold one).
+
+    Transient: a word of a connection that failed, 429 and any 5xx. Dead: 404, 400, 402, 307. Challenge: 401, 403, 999, or the
+    words of a page that asks whether one is a robot.
+    """
+    s, code = F.trim(blank_if_null(status)), _code(status)
+    return F.coalesce(first_reason(
+        (s.rlike(r"(?i)^(?:ok|2[0-9][0-9])$"), "ok"), (s.rlike(TRANSIENT) | (code == 429) | code.between(500, 599), "transient"), (code.isin(DEAD), "dead"),
+        (s.rlike(CHALLENGE) | code.isin(BARRED), "challenge")), F.lit("other"))
 
 
 def worth_rendering(status: Column) -> Column:
-    """Whether a failed fetch is worth a rendered one: only challenges are."""
-    return status_class(status) == "challenge"
+    """Whether a failed fetch is worth a rendered one: only codes of pages that bar robots are (of the transient ones 429, 500, 502, 503)."""
+    s = F.trim(blank_if_null(status))
+    return F.coalesce((F.lower(s) != "ok") & _code(status).isin(BARRED), F.lit(False)) | s.rlike(CHALLENGE)
 
 
 def trade_prefilter(tags: Column, name: Column, *, trade: str, supplier: str, non_trade: str, override: str) -> Column:

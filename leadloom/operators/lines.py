@@ -1,13 +1,15 @@
 """Records in lines of text: fixed-width registers with wrapped rows, and entries under section headings.
 
-Lines are rows (file, number, text), so order is a column. Windows run inside one file, which is the unit of the
-register's state; files are dealt to tasks.
+Lines are rows (file, number, text), so order is a column. A file of any length is scanned in parts that carry the header, the
+section and the number of records on (``segments.scanned``), so one long register is read by many tasks.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from leadloom.operators.segments import scanned
+
 
 def text_lines(df: DataFrame, row_id: str, text_col: str) -> DataFrame:
     """(id, line_no, line) of every text."""
@@ -21,19 +23,18 @@ def fixed_width_records(lines: DataFrame, file: str, columns: list[str], starts:
     on the lines' struct ``cells`` and says where a record begins; lines until the next one belong to it, so wrapped cells
     are further parts. Blank lines end a record. Lines before the first header are left out.
     """
-    ordered = Window.partitionBy(file).orderBy(line_no).rowsBetween(Window.unboundedPreceding, 0)
     is_header = F.lit(True)
     for c in columns:
         is_header = is_header & F.col(line).contains(c)
     at = F.when(is_header, F.array(*[F.instr(F.col(line), c) for c in columns]))
-    placed = lines.withColumns({"__head": is_header, "__at": F.last(at, ignorenulls=True).over(ordered)}).where("__at is not null and not __head")
-    width = lambda k: (F.get("__at", k + 1) - F.get("__at", k)) if k + 1 < len(columns) else F.length(line) + 1
-    cells = F.struct(*[F.trim(F.col(line).substr(F.get("__at", k), F.greatest(width(k), F.lit(0)))).alias(c) for k, c in enumerate(columns)])
-    rows = placed.withColumn("cells", cells).withColumn("__blank", F.trim(F.col(line)) == "")
-    rows = rows.withColumn("__starts", F.coalesce(starts, F.lit(False)) & ~F.col("__blank"))
-    rows = rows.withColumns({"record": F.count_if("__starts").over(ordered), "__stops": F.count_if("__blank").over(ordered)})
+    placed = scanned(lines.select(file, line_no, line).withColumn("head", is_header), [file], [line_no], last={"places": at}).where("places is not null and not head")
+    width = lambda k: (F.get("places", k + 1) - F.get("places", k)) if k + 1 < len(columns) else F.length(line) + 1
+    cells = F.struct(*[F.trim(F.col(line).substr(F.get("places", k), F.greatest(width(k), F.lit(0)))).alias(c) for k, c in enumerate(columns)])
+    rows = placed.withColumn("cells", cells).withColumn("blank", F.trim(F.col(line)) == "")
+    rows = rows.withColumn("opens", F.coalesce(starts, F.lit(False)) & ~F.col("blank"))
+    rows = scanned(rows.select(file, line_no, "cells", "blank", "opens"), [file], [line_no], sums={"record": F.col("opens").cast("long"), "stops": F.col("blank").cast("long")})
     first = Window.partitionBy(file, "record")
-    rows = rows.withColumn("__from", F.min(F.when(F.col("__starts"), F.col("__stops"))).over(first)).where("record > 0 and not __blank and __stops = __from")
+    rows = rows.withColumn("since", F.min(F.when(F.col("opens"), F.col("stops"))).over(first)).where("record > 0 and not blank and stops = since")
     part = lambda c: F.transform(F.array_sort(F.collect_list(F.when(F.col("cells")[c] != "", F.struct(F.col(line_no).alias("o"), F.col("cells")[c].alias("v"))))), lambda s: s["v"])
     return rows.groupBy(file, "record").agg(F.map_from_arrays(F.array(*[F.lit(c) for c in columns]), F.array(*[part(c) for c in columns])).alias("fields"))
 
@@ -47,8 +48,7 @@ def under_headings(lines: DataFrame, row_id: str, heading: str, entry: str, *, l
     text = F.trim(F.col(line))
     head = F.lower(F.regexp_extract(text, heading, 1))
     mark = F.when(head != "", head).when(text.rlike(r"^#+\s"), "")
-    ordered = Window.partitionBy(row_id).orderBy(line_no).rowsBetween(Window.unboundedPreceding, 0)
-    rows = lines.withColumn("section", F.last(mark, ignorenulls=True).over(ordered)).where((F.col("section") != "") & text.rlike(entry))
+    rows = scanned(lines, [row_id], [line_no], last={"section": mark}).where((F.col("section") != "") & text.rlike(entry))
     groups = entry.count("(") - entry.count("(?") - entry.count(r"\(")
     parts = F.array(*[F.trim(F.regexp_extract(text, entry, k + 1)) for k in range(groups)])
     same = Window.partitionBy(row_id, "__same").orderBy(line_no)

@@ -29,54 +29,6 @@ def email_clean(spark, sf_dir):
     return c.select("c_custkey", emails.clean_email(F.when(key() % 5 == 0, "nobody").otherwise(raw)).alias("email"))
 
 
-@query(f"""
-select c_custkey, unnest([{{'e': 'a' || c_custkey || '@x.com', 's': 'mailto'}}, {{'e': 'j' || c_custkey || '@deep.org', 's': 'jsonld'}}, {{'e': 't' || c_custkey || '@shop.co.uk', 's': 'tag_split'}},
-  {{'e': 'b' || c_custkey || '@shop.com', 's': 'bracket'}}, {{'e': 'z' || c_custkey || '@text.net', 's': 'text'}}], recursive := true), from {_C}
-""".replace("recursive := true), from", "recursive := true) from").replace("'e':", "'email':").replace("'s':", "'source':"))
-def email_harvest(spark, sf_dir):
-    c = customers(spark, sf_dir)
-    page = lambda pattern: F.replace(F.lit(pattern), F.lit("#"), key().cast("string"))
-    markup = page('<a href="mailto:A#@x.com?subject=1">x</a><script type="application/ld+json">{"@graph":[{"contactPoint":[{"email":["J#@deep.org","a#@x.com"]}]}]}</script>'
-                  '<p>t#<b>@</b>shop.co.uk</p><a href="https://maps.example/p#@path.com/view">m</a><img src="logo#@2x.png">')
-    text = page("a#@x.com b# [at] shop [dot] com z#@text.net name@yourdomain.com https://maps.example/p#@path.com/view")
-    return c.select("c_custkey", F.inline(emails.extract_emails(markup, text)))
-
-
-@query(f"""
-select c_custkey, ['shape', 'junk', 'unwanted', 'third_party', 'own', 'own', 'own', 'free', 'other_domain'][1 + c_custkey % 9] as verdict,
-  ['', '', 'exact', '', 'exact', 'subdomain', 'sibling', '', ''][1 + c_custkey % 9] as relation from {_C}
-""")
-def email_verdicts(spark, sf_dir):
-    listed = ["nobody", "logo@2x.png", "noreply@shopco.com", "me@yell.com", "ann@shopco.com", "ann@mail.shopco.com", "ann@shop-co.co.uk", "ann@gmail.com", "ann@else.org"]
-    email = F.get(F.array(*[F.lit(e) for e in listed]), (key() % 9).cast("int"))
-    root = F.lit("shopco.com")
-    return customers(spark, sf_dir).select("c_custkey", emails.verdict(email, root, third_parties="yell\\.com").alias("verdict"), F.when(key() % 9 < 2, "").otherwise(emails.relation(email, root)).alias("relation"))
-
-
-@query(f"""
-with c as (select c_custkey, unnest([1, 2, 3, 4, 5]) as i, c_custkey % 3 as m from {_C}), e as (
-  select c_custkey, i, case i when 1 then 'info@own.com' when 2 then 'jane.doe@gmail.com' when 3 then 'x9@other.org' when 4 then 'jane.doe@own.com' else 'desk' || m || '@free.net' end as email,
-    case i when 5 then 'maps' else 'site' end as source, case i when 1 then 'generic' when 2 then 'person' when 4 then 'person' else 'other' end as kind,
-    case i when 1 then 23 when 2 then 31 when 4 then 33 else 12 end as score from c where i <> 3)
-select c_custkey, email, source, kind, score, row_number() over (partition by c_custkey order by score desc, i) as rank from e
-""")
-def email_ranking(spark, sf_dir):
-    item = lambda e, s: F.struct(e.alias("email"), F.lit(s).alias("source"))
-    listed = F.array(*[item(F.lit(e), "site") for e in ("info@own.com", "Jane.Doe@gmail.com", "x9@other.org", "jane.doe@own.com", "info@own.com")],
-                     item(F.concat(F.lit("desk"), (key() % 3).cast("string"), F.lit("@free.net")), "maps"))
-    ranked = emails.rank_emails(listed, F.lit("own.com"), ["jane"])
-    rows = customers(spark, sf_dir).select("c_custkey", F.posexplode(ranked).alias("p", "x"))
-    return rows.select("c_custkey", "x.email", "x.source", "x.kind", "x.score", (F.col("p") + 1).cast("long").alias("rank"))
-
-
-@query(f"select c_custkey, case c_custkey % 3 when 0 then 'b@own.com' else 'jane.doe@own.com' end as pick from {_C}")
-def email_rerank(spark, sf_dir):
-    item = lambda e: F.struct(F.lit(e).alias("email"), F.lit("site").alias("source"))
-    person = emails.rank_emails(F.array(item("jane.doe@own.com"), item("b@own.com")), F.lit("own.com"), ["b"])
-    current = F.get(F.array(F.lit("B@own.com"), F.lit("gone@own.com"), F.lit("jane.doe@own.com")), (key() % 3).cast("int"))
-    return customers(spark, sf_dir).select("c_custkey", emails.rerank(person, current).alias("pick"))
-
-
 @query("""
 with r as (select user_id, event_id, 'e' || event_id as email, row_number() over (partition by user_id order by event_id) as rank,
   case when event_id % 3 = 0 then 'dropped' when event_id % 7 = 0 then 'sendable' when event_id % 5 = 0 then 'dropped' end as verdict from events),
@@ -126,34 +78,6 @@ def co_tenancy(spark, sf_dir):
 
 # --- contacts ---------------------------------------------------------------------------------------------------------
 
-_REASONS = ["no_evidence_name", "bad_bucket", "role_word", "trade_word", "business_name", "single_token", "excluded_title", None]
-
-
-def _found(spark, sf_dir):
-    names = ["Ann Bell", "Ann Bell", "Sales Team", "Roofing Pro", "Perth House", "Ann", "Ann Bell", "Ann Bell"]
-    get = lambda xs: F.get(F.array(*[F.lit(x) for x in xs]), (key() % 8).cast("int"))
-    c = customers(spark, sf_dir)
-    return c.withColumns({
-        "name": get(names), "evidence": get(["nothing", "Ann Bell, owner", "our Sales Team", "Roofing Pro", "perth house", "Ann", "Ann Bell", "Ann Bell"]),
-        "role_bucket": get(["gm", "boss", "gm", "gm", "gm", "gm", "gm", "other"]), "title": get(["", "", "", "", "", "", "Site Manager", "Owner"]),
-        "business_name": F.lit("Perth House Restumping")})
-
-
-@query(f"select c_custkey, [{', '.join('null' if r is None else repr(r) for r in _REASONS)}][1 + c_custkey % 8] as drop_reason, c_custkey % 2 = 0 as departed from {_C}")
-def contact_guards(spark, sf_dir):
-    said = F.when(key() % 2 == 0, "Former director Ann Bell").otherwise("Ann Bell, director")
-    return _found(spark, sf_dir).select("c_custkey", contacts.guard(trade=["roofing"], first_names=["matt"]).alias("drop_reason"), contacts.departed(said).alias("departed"))
-
-
-@query(f"""
-with j as (select n, c_custkey, [{', '.join('null' if r is None else repr(r) for r in _REASONS)}][1 + c_custkey % 8] as r from {_C})
-select coalesce(r, 'kept') as reason, case when r is null then count(distinct n) else count(*) end as n from j group by r
-""")
-def contact_counts(spark, sf_dir):
-    kept, dropped = contacts.kept_contacts(_found(spark, sf_dir), "n", "c_custkey", contacts.guard(trade=["roofing"], first_names=["matt"]))
-    return dropped.select(F.col("drop_reason").alias("reason"), "n").unionByName(kept.agg(F.count("*").alias("n")).select(F.lit("kept").alias("reason"), "n"))
-
-
 _BUCKET = "['office_manager', 'marketing', 'other', 'gm', 'owner_or_partner', 'unheard_of'][1 + c_custkey % 6]"
 
 
@@ -227,26 +151,6 @@ def lead_gates(spark, sf_dir):
         gates.ad_channel(linkedin=n < 5, google_trusted=b > 3000, meta=key() % 2 == 0).alias("channel"))
 
 
-@query(f"""
-select c_custkey, ['ok', 'challenge', 'transient', 'dead', 'other', 'challenge', 'transient'][1 + c_custkey % 7] as status, c_custkey % 7 in (1, 5) as render,
-  case when c_custkey % 5 = 0 then 'trade' else ['trade', 'supplier', 'non_trade', 'unknown'][1 + n % 4] end as trade, c_custkey % 3 < 2 as denied,
-  case when n % 3 = 0 then 'seller' when n % 3 = 1 then 'not_a_buyer' when c_custkey % 50 not between 5 and 20 then 'size_band' end as demand,
-  ['no_text', 'nothing', null][1 + c_custkey % 3] as evidence from {_C}
-""")
-def triage(spark, sf_dir):
-    n = F.col("n")
-    get = lambda xs, i: F.get(F.array(*[F.lit(x) for x in xs]), i.cast("int"))
-    status = get(["200", "403", "connect timeout", "404", "weird", "captcha page", "502"], key() % 7)
-    tags = F.array(get(["Roofer", "Wholesale", "School", "?"], n % 4))
-    domain = get(["a.yell.com", "yell.com", "notyell.com"], key() % 3)
-    return customers(spark, sf_dir).select(
-        "c_custkey", gates.status_class(status).alias("status"), gates.worth_rendering(status).alias("render"),
-        gates.trade_prefilter(tags, F.when(key() % 5 == 0, "Best Roofing").otherwise("x"), trade="roofer", supplier="wholesale", non_trade="school", override="roofing").alias("trade"),
-        gates.denied(F.lit("x"), domain, names="find a pro", domains=["yell.com"]).alias("denied"),
-        gates.demand_side(get(["agency", "museum", "factory"], n % 3), key() % 50, buyers="factory", sellers="agency", least=5, most=20).alias("demand"),
-        gates.evidence_gate(get([" ", "text", "text"], key() % 3), get(["x", None, "x"], key() % 3)).alias("evidence"))
-
-
 @query(f"""
 select c_custkey, case when n = 3 and c_custkey % 2 = 0 then null else n::double end as lat, case when n = 3 and c_custkey % 2 = 0 then null else 2.0 * n end as lng,
   case when n < 8 then 'Qualified' when n < 16 then 'Review' else 'Exclude' end as label, case when c_acctbal > 0 and c_custkey % 2 = 0 then 'A' when c_acctbal > 0 or c_custkey % 2 = 0 then 'B' else 'C' end as priority,

@@ -511,4 +511,4 @@ def zero_row_suspects(spark, sf_dir):
     return reports.zero_suspects(l, "centre", "tile", "n", "ok", 10)
 
 
-from leadloom.plans import contact_queries, memory_queries, report_queries, stage_queries  # noqa: E402,F401  register their queries
+from leadloom.plans import contact_queries, memory_queries, page_queries, report_queries, stage_queries  # noqa: E402,F401  register their queries

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from leadloom.operators.segments import islands
 from leadloom.sources import files
 
 
@@ -73,11 +74,12 @@ def cumulative_hits(df: DataFrame, key: str, cycle: str, pass_no: str, table_pat
 def stalls(events: DataFrame, run: str, total: str, order: str, least: int) -> DataFrame:
     """(run, total, frozen, since, until): spells in which a run's total stayed the same for ``least`` more events or longer.
 
-    Totals count what a run has found so far and never fall, so a spell is a group of (run, total): partial aggregation, no
-    window over a run. Also a streaming query (output mode update or complete), which reports a spell while it lasts.
+    Totals may fall and come back: a spell is a stretch of events in a row with one total. A long run is scanned in parts.
+    ``stateful.stalls`` is the same over a stream.
     """
-    spell = events.groupBy(run, total).agg((F.count("*") - 1).alias("frozen"), F.min(order).alias("since"), F.max(order).alias("until"))
-    return spell.where(F.col("frozen") >= least)
+    spell = islands(events.select(run, total, order), run, total, order).groupBy(run, "island").agg(
+        F.first(total).alias(total), (F.count("*") - 1).alias("frozen"), F.min(order).alias("since"), F.max(order).alias("until"))
+    return spell.where(F.col("frozen") >= least).drop("island")
 
 
 def due_after(df: DataFrame, key: str, time: str, ttl: str, table_path: str, checkpoint: str) -> DataFrame:
