@@ -8,7 +8,7 @@ from leadloom.functions.text import blank_if_null
 
 # Words of units inside a building, company words of brand keys, usual short forms of street words.
 UNIT_WORDS = ["suite", "ste", "unit", "shop", "floor", "flr", "rm", "room", "block", "wing"]
-BRAND_STOP = ["ltd", "limited", "plc", "inc", "llc", "company", "co", "enterprises", "ventures", "international", "group"]
+BRAND_STOP = ["ltd", "limited", "plc", "inc", "llc", "nig", "nigeria", "ng", "company", "co", "enterprises", "ventures", "int'l", "international", "group"]
 STREET_SHORT = {"street": "st", "avenue": "ave", "road": "rd", "drive": "dr", "boulevard": "blvd", "lane": "ln", "court": "ct", "place": "pl", "highway": "hwy",
                 "parkway": "pkwy", "square": "sq", "terrace": "ter", "circle": "cir", "north": "n", "south": "s", "east": "e", "west": "w"}
 
@@ -47,7 +47,7 @@ def street_key(address: Column, name: Column, places: list[str] = (), postcode:
 
 def short_street(address: Column) -> Column:
     """The first comma part up to a suite or unit, street words shortened, without spaces and signs."""
-    part = F.regexp_replace(F.lower(F.substring_index(blank_if_null(address), ",", 1)), r"\s(?:suite|ste|unit|apt|#).*$", "")
+    part = F.regexp_replace(F.lower(F.substring_index(blank_if_null(address), ",", 1)), r"(?:\b(?:suite|ste|unit|apt|bldg)\b|\s#).*$", "")
     words = F.filter(F.split(F.regexp_replace(part, "[^a-z0-9]+", " "), " "), lambda w: w != "")
     short = F.create_map(*[F.lit(x) for pair in STREET_SHORT.items() for x in pair])
     return F.array_join(F.transform(words, lambda w: F.coalesce(F.try_element_at(short, w), w)), "")

@@ -15,6 +15,22 @@ BARRED = [401, 403, 429, 500, 502, 503, 202, 999]
 CHALLENGE = r"(?i)just a moment|enable javascript and cookies|attention required|checking your browser|verifying you are human"
 
 
+# Words of advertisers that generic terms find in any trade: apps and dramas, games, shops, streaming, supplements.
+COLLISIONS = (
+    r"(?i)\b(shein|temu|drama|dramabox|webfic|pocket ?fm|novel|romance|chapters|story|stories|"
+    r"manga|webtoon|archero|game|gaming|royale|puzzle|casino|slots?|boutique|beauty|cosmetic|"
+    r"perfume|fashion|jewel|clothing|streaming|movies?|tv\b|music|detroit|mated|shimmer|"
+    r"blood pressure|cholesterol|arthritis|nerve support|heart health|wellness (hub|community|journal)|"
+    r"supplement|vitamin|probiotic|collagen|keto|detox|menopause|prostate|testosterone|weight ?loss|"
+    r"support community|health (haven|hub|finds|project|support)|essential health|lifestyle trends|"
+    r"success blueprint|business explained|scientology|prometics|odor eliminat)\b")
+
+
+def likely_junk(*texts: Column, words: str = COLLISIONS) -> Column:
+    """yes or blank: whether an advertiser's texts hold a word of another trade. A flag for a reader, never a reason to drop."""
+    return F.when(F.concat_ws(" ", *[blank_if_null(t) for t in texts]).rlike(words), "yes").otherwise("")
+
+
 def first_reason(*cases: tuple[Column, str]) -> Column:
     """The name of the first condition that holds, or null; unknown conditions do not hold."""
     return reduce(lambda out, case: out.when(case[0], case[1]), cases[1:], F.when(*cases[0]))

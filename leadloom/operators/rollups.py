@@ -20,6 +20,29 @@ def company_rollup(df: DataFrame, key: str, order: str, *, sets: list[str], fiel
     return counts.join(merge_by_key(df, [key], F.col(order), fields=fields, tags=sets), key)
 
 
+def directory_rollup(df: DataFrame, key: str, order: str, *, category: str, country: str, fields: list[str], once: list[str] = ()) -> DataFrame:
+    """Cards of a directory that lists a company under many categories and countries, as one row for each company.
+
+    ``once`` columns are those of the first card, ``fields`` the first that is not blank, category and country sorted sets joined by
+    ``;``. Cards without a key are left out.
+    """
+    known = df.where(~is_blank(F.col(key).cast("string")))
+    first = known.groupBy(key).agg(*[F.min_by(F.col(c), F.col(order)).alias(c) for c in once], *[first_non_blank(c, F.col(order)).alias(c) for c in fields])
+    for c in (category, country):
+        sets = known.where(~is_blank(F.col(c))).select(key, c).distinct().groupBy(F.col(key).alias("__k")).agg(F.array_join(F.array_sort(F.collect_list(c)), ";").alias(c))
+        first = first.join(sets, F.col(key) == F.col("__k"), "left").drop("__k").withColumn(c, F.coalesce(c, F.lit("")))
+    return first
+
+
+def listing_rollup(df: DataFrame, key: str, order: str, *, term: str, place: str) -> DataFrame:
+    """Listings as their first card has them, with ``found_by``: each "term @ place" that found it, in the order of discovery."""
+    found = df.where(F.col(key).isNotNull()).withColumn("found_by", F.concat(F.coalesce(term, F.lit("")), F.lit(" @ "), F.coalesce(place, F.lit(""))))
+    rest = [c for c in df.columns if c not in (key, term, place, order)]
+    first = found.groupBy(key).agg(F.min_by(F.struct(F.lit(0).alias("__"), *rest), F.col(order)).alias("m"))
+    tags = merge_by_key(found, [key], F.col(order), tags=["found_by"])
+    return first.join(tags, key).select(key, *[F.col("m")[c].alias(c) for c in rest], F.array_join("found_by", ";").alias("found_by"))
+
+
 def firmographic_rollup(df: DataFrame, key: str, order: str, size: str) -> DataFrame:
     """For each key the last row with a size above zero, else its first row."""
     rest = [c for c in df.columns if c != key]

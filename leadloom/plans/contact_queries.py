@@ -29,41 +29,8 @@ def email_clean(spark, sf_dir):
     return c.select("c_custkey", emails.clean_email(F.when(key() % 5 == 0, "nobody").otherwise(raw)).alias("email"))
 
 
-@query("""
-with r as (select user_id, event_id, 'e' || event_id as email, row_number() over (partition by user_id order by event_id) as rank,
-  case when event_id % 3 = 0 then 'dropped' when event_id % 7 = 0 then 'sendable' when event_id % 5 = 0 then 'dropped' end as verdict from events),
-n as (select user_id from r group by user_id having bool_or(rank = 1 and verdict = 'dropped') and not coalesce(bool_or(verdict = 'sendable' ), false))
-select user_id, min(rank) as rank, arg_min(email, rank) as email from r where verdict is null and user_id in (select user_id from n) group by user_id
-""")
-def fallback_queue(spark, sf_dir):
-    e = table(spark, sf_dir, "events").select("user_id", "event_id", F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("email"))
-    i = F.col("event_id")
-    tried = e.select("email", F.when(i % 3 == 0, "dropped").when(i % 7 == 0, "sendable").when(i % 5 == 0, "dropped").alias("verdict")).where("verdict is not null")
-    ranked = windows.rank_within(e, "user_id", [i]).withColumn("rank", F.col("rank").cast("long"))
-    return contacts.fallback_queue(ranked, "user_id", "rank", "email", tried).select("user_id", "rank", "email")
-
-
 # --- addresses --------------------------------------------------------------------------------------------------------
 
-_STREET = "(s_suppkey % 40) || ' market street'"
-
-
-@query(f"""
-select s_suppkey, {_STREET} as street, (s_suppkey % 40) || 'marketst' as short, (s_suppkey % 9)::int as floor, '9' || lpad((s_suppkey % 10000)::varchar, 4, '0') as zip,
-  'Spring Field' as city, 'CA' as state, 'supplier 000000' || (s_suppkey % 1000 // 100) as brand from supplier
-""".replace("'supplier 000000' || (s_suppkey % 1000 // 100)", "'supplier ' || split_part(s_name, '#', 2)"))
-def address_keys(spark, sf_dir):
-    s = table(spark, sf_dir, "supplier")
-    k = F.col("s_suppkey")
-    at = F.concat(F.lit("8FVC+2X "), F.col("s_name"), F.lit(", "), (k % 40).cast("string"), F.lit(" Market Street, Suite 4"), F.lit(", "), (k % 9).cast("string"), F.lit("th Floor, 123456"))
-    us = F.concat(F.lit("1 A St, spring field, CA 9"), F.lpad((k % 10000).cast("string"), 4, "0"))
-    return s.select(
-        "s_suppkey", F.regexp_replace(address.street_key(F.regexp_replace(at, r", [0-9]th Floor", ""), F.col("s_name")), r"\s+$", "").alias("street"),
-        address.short_street(F.concat((k % 40).cast("string"), F.lit(" Market Street Suite 9, X"))).alias("short"), address.floor_of(at).alias("floor"),
-        address.postal_code(us).alias("zip"), address.city_of(F.lit(""), us).alias("city"), address.us_place(us)["state"].alias("state"),
-        address.brand_key(F.concat(F.col("s_name"), F.lit(" Ltd Old Town Group")), ["old town"]).alias("brand"))
-
-
 @query(f"""
 select c_custkey, case when c_custkey % 4 = 0 then 1 else count(*) over (partition by k) end as co_tenants, case when c_custkey % 4 = 0 then -1 else max(n) over (partition by k) end as top_floor,
   c_custkey % 4 <> 0 and bool_or(c_mktsegment = 'MACHINERY') over (partition by k) as hub
@@ -329,20 +296,6 @@ def text_items(spark, sf_dir):
         slices.ats_company(F.concat(F.lit("https://jobs.lever.co/Acme"), size.cast("string"), F.lit("/123"))).alias("ats"))
 
 
-@query("""
-select page_id, '/about,/team-2' as links, 'second' || chr(10) || 'first' as people_first, 'second' || chr(10) || 'first' as service_home, 'call us' || chr(10) || 'hello' as cues,
-  case when page_id % 2 = 0 then 'aaa' || chr(10) || 'cc' else 'aaa' end as combined from pages
-""")
-def text_slices(spark, sf_dir):
-    item = lambda a, b, x, y: F.struct(F.lit(a).alias(x), F.lit(b).alias(y))
-    links = F.array(item("/x", "shop", "path", "anchor"), item("/team-2", "people", "path", "anchor"), item("/about", "our team", "path", "anchor"), item("/about", "about", "path", "anchor"))
-    two = F.array(item("/home", "first", "path", "text"), item("/Team", "second", "path", "text"))
-    return table(spark, sf_dir, "pages").select(
-        "page_id", F.array_join(slices.best_links(links, ["team", "about"]), ",").alias("links"), slices.preferred_first(two, "team", 100).alias("people_first"),
-        slices.one_page_and_home(two, "team", 100).alias("service_home"), slices.cue_lines_first(F.lit("hello\ncall us\nhello"), "call", 50).alias("cues"),
-        slices.combined([F.lit("aaa"), F.lit("b" * 50), F.when(F.col("page_id") % 2 == 0, "cc")], 10).alias("combined"))
-
-
 @query(f"""
 select c_custkey, case when n < 10 then 'hub' end as label, case when n < 10 then 'nearest' else 'too_far_to_infer' end as label_source,
   case when n = 24 then 'unknown' when n <= 5 then case when c_custkey % 2 = 0 then 'spillover' else 'yes' end when n <= 8 then 'border' else 'spillover' end as tag,

@@ -9,8 +9,8 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
-from leadloom.functions import emails, text
-from leadloom.operators import contacts, gates
+from leadloom.functions import address, emails, pages, people, slices, text
+from leadloom.operators import contacts, disks, gates, jsonwalk, rollups, suffixes, windows
 from leadloom.operators.durable import scratch
 from leadloom.plans.queries import query, table
 from leadloom.sources.buckets import BucketStore
@@ -270,3 +270,163 @@ def stream_stalls(spark, sf_dir):
     got = _stream(spark, sf_dir, lambda s: stateful.stalls(s, "user_id", "event_type", "ts", 2), lambda changes, _: changes)
     last = got.groupBy("user_id", "since").agg(F.max(F.struct("frozen", "event_type", "until")).alias("m"))
     return last.select("user_id", "m.event_type", "m.frozen", F.col("since").cast("timestamp_ntz").alias("since"), F.col("m.until").cast("timestamp_ntz").alias("until"))
+
+
+# --- structured data, suffixes, disks -------------------------------------------------------------------------------------------
+
+#: nested data of a company as its page would declare it, from the page's words
+_JSON = """'{"name":"' || w1 || '","@graph":[{"contactPoint":[{"email":["' || w1 || '@' || root || '",["no"],"' || w2 || '@' || root || '"]},{"E-Mail":"' || w3 || '@' || root || '"}]},'
+  || '[{"deep":{"emailAddress":{"inner":{"email":"x@' || label || '.org"},"name":"' || w2 || '"}}}]],"mail":"none","email":5}'"""
+
+
+@query(f"""
+with {_SITES}, t as (select page_id, {_JSON} as j from sites where w3 is not null),
+n as (select page_id, x.id, x.key, x.type, x.atom, x.parent from t, lateral json_tree(j) x)
+select page_id, json_extract_string(atom, '$') as value from n where type = 'VARCHAR' and regexp_matches(key, '^(?i)e-?mail(address)?$')
+union all
+select c.page_id, json_extract_string(c.atom, '$') from n c join n p on p.page_id = c.page_id and p.id = c.parent where p.type = 'ARRAY' and c.type = 'VARCHAR' and regexp_matches(p.key, '^(?i)e-?mail(address)?$')
+""")
+def json_walk(spark, sf_dir):
+    s = sites(spark, sf_dir).where("w3 is not null").select("page_id", F.expr(_JSON).alias("j"))
+    return jsonwalk.values_under(s, "page_id", "j", jsonwalk.EMAIL_KEY, jsonwalk.EMAIL_IN_BROKEN)
+
+
+_RULES = ["com", "net", "org", "example.com", "*.example.org", "!blog.ththre.example.org", "blog.thtion.example.net"]
+
+
+@query(r"""
+with h as (select page_id, regexp_replace(lower(regexp_extract(url, '^https?://([^/]+)', 1)), '^www\.', '') as host from pages),
+l as (select *, string_split(host, '.') as p, len(string_split(host, '.')) as n from h),
+s as (select *, case when host = 'blog.ththre.example.org' or ends_with(host, '.blog.ththre.example.org') then 3 when host = 'blog.thtion.example.net' or ends_with(host, '.blog.thtion.example.net') then 4
+  when ends_with(host, '.example.org') then 3 when ends_with(host, '.example.com') or host = 'example.com' then 2 else 1 end as k from l)
+select page_id, case when n > k then p[n - k] else '' end as label, array_to_string(p[n - k + 1:], '.') as suffix, case when n > k then array_to_string(p[n - k:], '.') else '' end as root from s
+""")
+def suffix_split(spark, sf_dir):
+    p = table(spark, sf_dir, "pages").select("page_id", F.regexp_extract("url", r"^https?://([^/]+)", 1).alias("host"))
+    return suffixes.with_suffix(p, "host", spark.createDataFrame([(r,) for r in _RULES], "suffix string")).select("page_id", "domain.*")
+
+
+_PLACED = """select c_custkey as id, c_acctbal / 120 as lat, c_nationkey * 10 - 120 + c_acctbal % 10 as lng, 5 + abs(c_acctbal) % 400 as km from customer"""
+_KM = "2 * 6371.0 * asin(least(1.0, sqrt(pow(sin(radians(o.lat - d.lat) / 2), 2) + cos(radians(d.lat)) * cos(radians(o.lat)) * pow(sin(radians(o.lng - d.lng) / 2), 2))))"
+
+
+def _customers_placed(spark, sf_dir) -> DataFrame:
+    balance = F.col("c_acctbal").cast("double")
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), (balance / 120).alias("lat"), (F.col("c_nationkey") * 10 - 120 + balance % 10).alias("lng"), (5 + F.abs(balance) % 400).alias("km"))
+
+
+@query(f"""
+with d as ({_PLACED}) select id from d where not exists (select 1 from d o where o.id <> d.id and {_KM} + d.km <= o.km and (o.km > d.km or o.id < d.id))
+""")
+def disks_kept(spark, sf_dir):
+    return disks.not_inside(_customers_placed(spark, sf_dir), "id", lat="lat", lng="lng", km="km").select("id")
+
+
+@query(f"""
+with d as ({_PLACED}), o as (select s_suppkey as ord, s_acctbal / 110 as lat, s_nationkey * 10 - 118 + s_acctbal % 9 as lng from supplier),
+m as (select d.id, o.ord, {_KM} as km from d cross join o)
+select id, arg_min(ord, (km, ord)) as centre, round(min(km), 3) as km from m group by id
+""")
+def nearest_centre(spark, sf_dir):
+    balance = F.col("s_acctbal").cast("double")
+    centres = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("ord"), F.col("s_name").alias("name"), (balance / 110).alias("lat"), (F.col("s_nationkey") * 10 - 118 + balance % 9).alias("lng"))
+    got = disks.nearest(_customers_placed(spark, sf_dir), "id", centres, lat="lat", lng="lng", first_km=256.0)
+    return got.select("id", F.col("ord").alias("centre"), F.round("km", 3).alias("km"))
+
+
+# --- roll-ups, flags, slices and addresses over the tables' own words --------------------------------------------------------------
+
+@query("""
+with e as (select event_id, user_id, day(ts) as d, user_id || '-' || day(ts) as lead, event_type || event_id || '@x.com' as email, case event_type when 'error' then 'dropped' when 'purchase' then 'sendable' when 'view' then 'dropped' end as verdict from events),
+r as (select *, row_number() over (partition by lead order by event_id) as rank from e),
+n as (select lead from r group by lead having bool_or(rank = 1 and verdict = 'dropped') and not bool_or(coalesce(verdict = 'sendable', false)))
+select lead, min(rank) as rank, arg_min(email, rank) as email from r where verdict is null and lead in (select lead from n) group by lead
+""")
+def fallback_queue(spark, sf_dir):
+    kind = F.col("event_type")
+    e = table(spark, sf_dir, "events").select("event_id", F.concat_ws("-", "user_id", F.dayofmonth("ts")).alias("lead"), F.concat(kind, F.col("event_id").cast("string"), F.lit("@x.com")).alias("email"),
+                                              F.when(kind.isin("error", "view"), "dropped").when(kind == "purchase", "sendable").alias("verdict"))
+    ranked = windows.rank_within(e.select("event_id", "lead", "email"), "lead", [F.col("event_id")]).withColumn("rank", F.col("rank").cast("long"))
+    return contacts.fallback_queue(ranked, "lead", "rank", "email", e.select("email", "verdict").where("verdict is not null")).select("lead", "rank", "email")
+
+
+#: a page with links to profiles named by its own words, and to a share and a post, which are none
+_PROFILES = """html || '<a href="https://www.facebook.com/' || w1 || '-' || label || '/?x=1">f</a><a href="https://www.facebook.com/sharer.php?u=' || w2 || '"><a href="https://www.linkedin.com/company/' || w2 || w3
+  || '/about"><a href="https://m.youtube.com/@' || w3 || page_id || '"><a href="https://www.linkedin.com/feed"><a href="https://www.instagram.com/' || w1 || w2 || '">'"""
+
+
+@query(rf"""
+with {_SITES}, h as (select page_id, {_PROFILES} as html from sites where w3 is not null),
+u as (select page_id, unnest(regexp_extract_all(html, 'https?://[^\s"''<>]+')) as u from h),
+p as (select page_id, regexp_replace(regexp_extract(u, '^https?://([^/?]+)', 1), '^(www|m)\.', '') as host, regexp_extract(u, '^https?://[^/?]+/([^?]*)', 1) as path from u)
+select distinct page_id, split_part(host, '.', 1) as network, 'https://' || host || '/' || case host when 'linkedin.com' then regexp_extract(path, '^company/[^/]+') else split_part(path, '/', 1) end as url from p
+where (host in ('facebook.com', 'instagram.com') and not regexp_matches(path, '\.php$') and length(split_part(path, '/', 1)) >= 2) or (host = 'youtube.com' and starts_with(path, '@')) or (host = 'linkedin.com' and starts_with(path, 'company/'))
+""")
+def profiles_built(spark, sf_dir):
+    s = sites(spark, sf_dir).where("w3 is not null").select("page_id", F.expr(_PROFILES.replace("page_id", "cast(page_id as string)")).alias("html"))
+    return s.select("page_id", F.explode(pages.social_profiles(F.col("html"))).alias("network", "urls")).select("page_id", "network", F.explode("urls").alias("url"))
+
+
+@query(r"""
+with l as (select page_id, regexp_extract_all(html, '<a href="(/[A-Za-z]+)">([^<]*)</a>', 1) as paths, regexp_extract_all(html, '<a href="(/[A-Za-z]+)">([^<]*)</a>', 2) as anchors from pages),
+x as (select page_id, unnest(range(1, len(paths) + 1)) as i, unnest(paths) as path, unnest(anchors) as anchor from l),
+s as (select *, lower(path || ' ' || anchor) as t from x), c as (select *, contains(t, 'the')::int + contains(t, 'an')::int + contains(t, 'sch')::int as score from s),
+b as (select page_id, path, score, i, row_number() over (partition by page_id, path order by score desc, i) as nth from c where score > 0),
+top as (select page_id, path, row_number() over (partition by page_id order by score desc, i) as r from b where nth = 1)
+select l.page_id, coalesce((select string_agg(path, ',' order by r) from top where top.page_id = l.page_id and r <= 6), '') as links,
+  substr(coalesce((select string_agg(anchor, chr(10) order by case when regexp_matches(lower(path), 'the|der') then 0 else 1 end, i) from x where x.page_id = l.page_id), ''), 1, 60) as the_first from l
+""")
+def text_slices(spark, sf_dir):
+    link = r'<a href="(/[A-Za-z]+)">([^<]*)</a>'
+    each = lambda k: F.regexp_extract_all("html", F.lit(link), F.lit(k))
+    p = table(spark, sf_dir, "pages").select("page_id", F.arrays_zip(each(1).alias("path"), each(2).alias("anchor")).alias("links"))
+    pages_of = F.transform("links", lambda x: F.struct(x["path"].alias("path"), x["anchor"].alias("text")))
+    return p.select("page_id", F.array_join(slices.best_links(F.col("links"), ["the", "an", "sch"]), ",").alias("links"), slices.preferred_first(pages_of, "the|der", 60).alias("the_first"))
+
+
+@query("""
+select p_partkey, p_size || split_part(p_name, ' ', 1) || case split_part(p_name, ' ', 2) when 'ring' then 'st' else 'rd' end as short, (p_size % 30 + 1)::int as floor, lpad((p_partkey % 100000)::varchar, 5, '0') as zip,
+  upper(p_name[1]) || substr(split_part(p_name, ' ', 1), 2) || ' ' || upper(split_part(p_name, ' ', 2)[1]) || substr(split_part(p_name, ' ', 2), 2) as city, substr(p_type, 1, 2) as state,
+  split_part(p_name, ' ', 1) || ' ' || split_part(p_name, ' ', 2) as brand
+from part
+""")
+def address_keys(spark, sf_dir):
+    size, name, kind = F.col("p_size").cast("string"), F.col("p_name"), F.split("p_name", " ")
+    way = F.when(kind[1] == "ring", "Street").otherwise("Road")
+    street = F.concat(size, F.lit(" "), kind[0], F.lit(" "), way, F.when(F.col("p_size") % 2 == 0, " Bldg 4").otherwise(" #7"), F.lit(", "), (F.col("p_size") % 30 + 1).cast("string"), F.lit("th Floor"))
+    us = F.concat(size, F.lit(" A St, "), name, F.lit(", "), F.substring("p_type", 1, 2), F.lit(" "), F.lpad((F.col("p_partkey") % 100000).cast("string"), 5, "0"))
+    return table(spark, sf_dir, "part").select(
+        "p_partkey", address.short_street(street).alias("short"), address.floor_of(street).alias("floor"), address.postal_code(us).alias("zip"), address.city_of(F.lit(""), us).alias("city"),
+        address.us_place(us)["state"].alias("state"), address.brand_key(F.concat(name, F.lit(" Int'l Nigeria Ltd"))).alias("brand"))
+
+
+@query("""
+with l as (select l_partkey as key, l_orderkey * 10 + l_linenumber as o, l_returnflag as cat, l_linestatus as country, case when l_linenumber = 3 then '' else l_linenumber::varchar end as budget, l_suppkey as supp from lineitem)
+select key, arg_min(supp, o) as supp, coalesce(arg_min(budget, o) filter (where budget <> ''), '') as budget, string_agg(distinct cat, ';' order by cat) as cat, string_agg(distinct country, ';' order by country) as country from l group by key
+""")
+def directory_rollup(spark, sf_dir):
+    n = F.col("l_linenumber")
+    l = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("key"), (F.col("l_orderkey") * 10 + n).alias("o"), F.col("l_returnflag").alias("cat"), F.col("l_linestatus").alias("country"),
+                                                F.when(n == 3, "").otherwise(n.cast("string")).alias("budget"), F.col("l_suppkey").alias("supp"))
+    return rollups.directory_rollup(l.groupBy("key", "o", "cat", "country", "budget").agg(F.min("supp").alias("supp")), "key", "o", category="cat", country="country", fields=["budget"], once=["supp"])
+
+
+@query("""
+with f as (select user_id, event_type || ' @ ' || hour(ts) as fb, min(event_id) as o from events group by 1, 2)
+select user_id, arg_min(value, event_id) as value, (select string_agg(fb, ';' order by o) from f where f.user_id = e.user_id) as found_by from events e group by user_id
+""")
+def listing_rollup(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", F.hour("ts").cast("string").alias("hour"), "value")
+    return rollups.listing_rollup(e, "user_id", "event_id", term="event_type", place="hour")
+
+
+@query("""
+with p as (select p_partkey, p_name, upper(p_name[1]) || substr(split_part(p_name, ' ', 1), 2) as a, upper(split_part(p_name, ' ', 2)[1]) || substr(split_part(p_name, ' ', 2), 2) as b, p_size % 2 = 0 as poss from part)
+select p_partkey, case when a in ('Red', 'Small', 'Old') and not poss and b not in ('Ring', 'Bolt') and b <> 'Anvil' then a || ' ' || b end as name, case when a in ('Red', 'Small', 'Old') and poss then true when a in ('Red', 'Small', 'Old') and b not in ('Ring', 'Bolt', 'Anvil') then false end as hint,
+  case when regexp_matches(p_name, '\\b(ring|bolt)\\b') then 'yes' else '' end as junk from p
+""")
+def owner_names(spark, sf_dir):
+    w = F.split(F.initcap("p_name"), " ")
+    business = F.concat(w[0], F.when(F.col("p_size") % 2 == 0, "'s ").otherwise(" "), w[1], F.lit(" Works"))
+    owner = people.eponymous_owner(business, ["red", "small", "old"], trade="(?i)ring|bolt", places="Anvil")
+    return table(spark, sf_dir, "part").select("p_partkey", owner["name"].alias("name"), owner["hint"].alias("hint"), gates.likely_junk(F.col("p_type"), F.col("p_name"), words=r"(?i)\b(ring|bolt)\b").alias("junk"))

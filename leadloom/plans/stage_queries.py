@@ -28,17 +28,6 @@ def name_keys(spark, sf_dir):
         text.delivered_key(F.concat("s_name", F.lit(" & Sons Ltd"))).alias("delivered"), text.dealer_key(F.concat("s_name", F.lit(" LLC")), F.col("s_nationkey"), ["llc"]).alias("dealer"), text.own_site_link(page).alias("own"))
 
 
-@query("""
-select c_custkey, 'facebook' as network, 'https://facebook.com/c' || c_custkey as url from customer union all
-select c_custkey, 'linkedin', 'https://linkedin.com/company/x' || c_custkey from customer union all select c_custkey, 'youtube', 'https://youtube.com/@y' || c_custkey from customer
-""")
-def profiles_built(spark, sf_dir):
-    markup = F.replace(F.lit('<a href="https://www.facebook.com/c#/?x=1">f</a><a href="https://www.facebook.com/sharer.php?u=1"><a href="https://uk.linkedin.com/feed"><a href="https://www.linkedin.com/company/x#/about">'
-                             '<a href="https://www.youtube.com/watch?v=1"><a href="https://m.youtube.com/@y#"><a href="https://www.linkedin.com/shareArticle?mini=true">'), F.lit("#"), key().cast("string"))
-    found = table(spark, sf_dir, "customer").select("c_custkey", F.explode(pages.social_profiles(markup)).alias("network", "urls"))
-    return found.select("c_custkey", "network", F.explode("urls").alias("url"))
-
-
 @query("""
 with k as (select c_custkey, case when c_custkey % 3 = 0 then lower(c_mktsegment) || '|' || c_nationkey else 'n' || c_nationkey || '.com' end as key from customer) select key, min(c_custkey) as c_custkey from k group by key
 """)
@@ -121,11 +110,3 @@ select page_id, trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)
 def page_titles(spark, sf_dir):
     p = table(spark, sf_dir, "pages")
     return p.select("page_id", slices.page_title(F.col("html")).alias("title"), slices.copy_key(F.lit("We build! https://x.y #roof")).alias("copy"))
-
-
-@query("select n_nationkey from nation where n_nationkey > 5")
-def disks_kept(spark, sf_dir):
-    names = [f"{i}" for i in range(25)]
-    disks = [(n, float(i), 0.0, 50.0 if i > 5 else 10.0) for i, n in enumerate(names)] + [("big", 2.5, 0.0, 900.0)]
-    inside = [d for d in geo.inside_disks([d for d in disks if d[3] != 50.0]) if d != "big"]
-    return table(spark, sf_dir, "nation").select("n_nationkey").where(~F.col("n_nationkey").cast("string").isin(*inside))
