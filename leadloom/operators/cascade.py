@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from leadloom.functions import people
 from leadloom.functions.text import is_blank
 from leadloom.operators import ranking
-from leadloom.operators.durable import durable
+from leadloom.operators.durable import discard, durable, scratch
 
 
 def verification_state(first: Column, second: Column, second_on: tuple[str, ...] = ()) -> Column:
@@ -55,23 +55,29 @@ def greedy_distinct(df: DataFrame, order: list[Column], keys: list[str], group:
 
     The result is that of the sequential pass, made in rounds over the whole table: open rows that come first under all
     of their keys survive, open rows that share a key with a survivor go, each round written. A round settles the first
-    open row at least, so the pass ends; rounds follow the longest chain of rows that wait for each other. ``group`` (a
-    component of shared keys, once the unit of work) has no effect. Rows with equal order are put in one order, any.
+    open row at least, so the pass ends; rounds follow the longest chain of rows that wait for each other. A round's
+    survivors are written once and its other tables replace those of the round before, so disk follows the rows, not the rounds.
+    ``group`` (a component of shared keys, once the unit of work) has no effect. Rows with equal order are put in one order, any.
     """
     placed = durable(ranking.numbered(df, order, "__place"), "placed")
     pairs = [F.struct(F.lit(i).alias("k"), F.when(~is_blank(F.col(c)), F.col(c).cast("string")).alias("v")) for i, c in enumerate(keys)]
     each = placed.select("__place", F.explode(F.filter(F.array(*pairs), lambda p: p["v"].isNotNull())).alias("p")).select("__place", "p.*")
-    left, kept = durable(each, "open"), None
-    alone = placed.select("__place").join(left, "__place", "left_anti")
+    left = durable(each, "open")
+    alone = placed.select("__place").join(left.select("__place").distinct(), "__place", "left_anti").select("__place")
+    folder, rounds = scratch(df.sparkSession, "survivors"), 1
+    alone.write.parquet(f"{folder}/round=0")
+    kept = df.sparkSession.read.schema(alone.schema)
     while not left.isEmpty():
         firsts = left.groupBy("k", "v").agg(F.min("__place").alias("first"))
         rows = left.join(firsts, ["k", "v"]).groupBy("__place").agg(F.max("first").alias("last"), F.min("first").alias("first"))
-        chosen = durable(rows.where("first = __place and last = __place").select("__place"), "chosen")
-        kept = chosen if kept is None else durable(kept.union(chosen), "kept")
+        rows.where("first = __place and last = __place").select("__place").write.parquet(f"{folder}/round={rounds}")
+        chosen = kept.parquet(f"{folder}/round={rounds}")
         taken = left.join(chosen, "__place", "left_semi").select("k", "v")
         gone = left.join(taken, ["k", "v"], "left_semi").select("__place").distinct()
-        left = durable(left.join(gone, "__place", "left_anti"), "open")
-    return placed.join(alone if kept is None else alone.union(kept), "__place", "left_semi").select(*df.columns)
+        after = durable(left.join(gone, "__place", "left_anti"), "open")
+        discard(left)
+        left, rounds = after, rounds + 1
+    return placed.join(kept.parquet(*[f"{folder}/round={k}" for k in range(rounds)]), "__place", "left_semi").select(*df.columns)
 
 
 def seeded_candidates(persons: DataFrame, seeds: DataFrame, person_id: str) -> DataFrame:

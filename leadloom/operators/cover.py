@@ -16,7 +16,7 @@ import math
 
 from pyspark.sql import DataFrame, functions as F
 
-from leadloom.operators.durable import durable
+from leadloom.operators.durable import discard, durable, scratch
 
 RADIUS_KM = 6371.0
 
@@ -34,17 +34,21 @@ def minimum_separation(points: DataFrame, order: str, separation_km: float, *, l
     reach = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in zip("ijk", (i, j, k))]) for i in range(-2, 3) for j in range(-2, 3) for k in range(-2, 3)])
     spread = lambda df: df.withColumn("d", F.explode(reach)).withColumns({"cx": F.col("cx") + F.col("d.i"), "cy": F.col("cy") + F.col("d.j"), "cz": F.col("cz") + F.col("d.k")}).drop("d")
 
-    left, kept = durable(spots, "spots"), None
-    for _ in range(max_rounds):
+    left, folder = durable(spots, "spots"), scratch(points.sparkSession, "kept")
+    kept = points.sparkSession.read.schema(spots.select("o").schema)
+    for k in range(max_rounds):
         firsts = left.groupBy(*cube).agg(F.min("o").alias("o"))
         around = spread(firsts.withColumnRenamed("o", "other")).groupBy(*cube).agg(F.min("other").alias("least"))
         chosen = firsts.join(around, cube).where("o <= least").select(*cube, "o")
         chosen = durable(left.join(chosen, [*cube, "o"]), "chosen")
-        kept = chosen.select("o") if kept is None else durable(kept.union(chosen.select("o")), "kept")
+        chosen.select("o").write.parquet(f"{folder}/round={k}")
         near = spread(chosen.select(*cube, *[F.col(k).alias(f"k{k}") for k in "xyz"]))
         gap = sum((F.col(k) - F.col(f"k{k}")) * (F.col(k) - F.col(f"k{k}")) for k in "xyz")
         gone = left.join(near, cube).where(gap < chord * chord).select("o").distinct()
-        left = durable(left.join(gone, "o", "left_anti").join(chosen.select("o"), "o", "left_anti"), "open")
+        after = durable(left.join(gone, "o", "left_anti").join(chosen.select("o"), "o", "left_anti"), "open")
+        discard(left, chosen)
+        left = after
         if left.isEmpty():
-            return rows.join(kept.withColumnRenamed("o", order), order, "left_semi")
+            survivors = kept.parquet(*[f"{folder}/round={i}" for i in range(k + 1)])
+            return rows.join(survivors.withColumnRenamed("o", order), order, "left_semi")
     raise RuntimeError(f"points did not settle in {max_rounds} rounds")
