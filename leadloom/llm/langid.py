@@ -6,7 +6,8 @@ Four kinds of evidence meet in one posterior over the languages of a labelled te
   each other;
 * the language that the markup declares, and the suffix of the address: P(value | language), counted over all pages with
   the language that their text suggests, and smoothed;
-* the host: a prior smoothed level by level, the host's counts towards its domain's, these towards the whole corpus's;
+* the host: a prior smoothed level by level, the host's counts towards its registrable domain's (``firm.co.uk``, not ``co.uk``),
+  these towards the whole corpus's;
   a page's own count is left out.
 
 Scale: the trigram model is fitted on a bounded sample of labelled texts of each language (``train_rows`` in all);
@@ -29,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from leadloom.functions.text import root_domain
 from leadloom.llm.hashing import mix
 from leadloom.llm.shared import small_keys, written
 
@@ -115,7 +117,7 @@ def read_pages(pages: DataFrame, langs: list[str], model: np.ndarray, *, id_col:
     source = pages.select(F.col(id_col).alias("id"), host.alias("host"), F.col(html_col).cast("string").alias("html"))
     kind = pages.schema[id_col].dataType.simpleString()
     read_rows = source.mapInArrow(read, f"id {kind}, host string, declared string, text array<double>, guess int")
-    return read_rows.withColumns({"domain": F.substring_index("host", ".", -2), "suffix": F.substring_index("host", ".", -1)})
+    return read_rows.withColumns({"domain": root_domain(F.col("host")), "suffix": F.substring_index("host", ".", -1)})
 
 
 def _counts(rows: DataFrame, by: list[str], size: int, name: str) -> DataFrame:

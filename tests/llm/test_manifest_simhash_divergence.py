@@ -286,3 +286,13 @@ def test_few_texts_repeated_often_are_learnt(spark):
         assert {r["doc_id"] for r in got if not r["kept"]} == {k for k in range(40) if k % 4 == 0}
     posterior, weights = weak_quality.fit(docs.limit(0))
     assert weights is None and {r["kept"] for r in weak_quality.classify(docs.where("doc_id = 1"), (posterior, None)).select("quality.kept").collect()} == {True}
+
+
+def test_hosts_share_the_prior_of_their_registrable_domain(spark):
+    from leadloom.llm import langid
+
+    rows = [(k, f"https://{h}/x", "<p>text</p>") for k, h in enumerate(["a.firm.co.uk", "b.firm.co.uk", "firm.co.uk", "other.co.uk", "x.firm.com", "localhost", "www.gov.uk"])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = langid.read_pages(pages, ["en", "fr"], np.zeros((2, langid.gram_counts("x").shape[0])), id_col="page_id", url_col="url", html_col="html")
+    assert {r["host"]: r["domain"] for r in got.collect()} == {
+        "a.firm.co.uk": "firm.co.uk", "b.firm.co.uk": "firm.co.uk", "firm.co.uk": "firm.co.uk", "other.co.uk": "other.co.uk", "x.firm.com": "firm.com", "localhost": "localhost", "www.gov.uk": "www.gov.uk"}
