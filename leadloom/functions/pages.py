@@ -96,11 +96,15 @@ def social_profiles(text: Column, most: int = 2) -> Column:
 
 
 def strip_shared(texts: Column, least: int = 60) -> Column:
-    """An array of one site's page texts without the start and the end that all of them share (``least`` characters each)."""
+    """An array of one site's page texts without the start and the end that all of them share (``least`` characters each).
+
+    The length of a shared start is found by halving steps, each a comparison of two slices: no more memory than the texts.
+    """
+    steps = F.array(*[F.lit(1 << k) for k in range(30, -1, -1)])
+
     def same(a: Column, b: Column) -> Column:
-        x, y = F.split(a, ""), F.split(b, "")
-        at = F.array_position(F.zip_with(x, y, lambda p, q: p.eqNullSafe(q)), False)
-        return F.when(at > 0, at - 1).otherwise(F.least(F.length(a), F.length(b))).cast("int")
+        most = F.least(F.length(a), F.length(b))
+        return F.aggregate(steps, F.lit(0), lambda n, s: F.when((s <= most - n) & (a.substr(n + 1, s) == b.substr(n + 1, s)), n + s).otherwise(n))
 
     first = F.get(texts, 0)
     shared = lambda turn: F.aggregate(texts, F.length(first), lambda n, t: F.least(n, same(turn(first), turn(t))))

@@ -59,16 +59,20 @@ def _similar_sets(left: DataFrame, right: DataFrame, least: float, of_larger: bo
     must = lambda n: F.greatest(F.lit(1), F.ceil(F.lit(least - 1e-6) * n)).cast("int")
     df = right.select(F.explode("rt").alias("t")).groupBy("t").agg(F.count("*").alias("df"))
 
-    def rare_first(sets: DataFrame, name: str) -> DataFrame:
+    def rare_first(sets: DataFrame, name: str, cut: bool) -> DataFrame:
         each = sets.select(name, F.explode(name).alias("t")).join(df, "t", "left").groupBy(name)
         each = each.agg(F.transform(F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "t"))), lambda x: x["t"]).alias("o"))
-        # against a smaller set fewer common tokens can do, so only the larger set's share bounds the tokens by themselves
-        first = F.slice("o", F.lit(1), F.size("o") - must(F.size("o")) + 1) if of_larger else F.col("o")
+        first = F.slice("o", F.lit(1), F.size("o") - must(F.size("o")) + 1) if cut else F.col("o")
         return each.select(name, F.posexplode(first).alias(f"{name}_at", "t"))
 
-    pairs = rare_first(left, "lt").join(rare_first(right, "rt"), "t")
-    n = F.greatest(F.size("lt"), F.size("rt")) if of_larger else F.least(F.size("lt"), F.size("rt"))
-    pairs = pairs.where((F.col("lt_at") <= F.size("lt") - must(n)) & (F.col("rt_at") <= F.size("rt") - must(n)))
+    if of_larger:
+        n = F.greatest(F.size("lt"), F.size("rt"))
+        pairs = rare_first(left, "lt", True).join(rare_first(right, "rt", True), "t")
+        pairs = pairs.where((F.col("lt_at") <= F.size("lt") - must(n)) & (F.col("rt_at") <= F.size("rt") - must(n)))
+    else:  # the smaller set's share bounds its own tokens only: its rarest ones look among all of a larger set's
+        n = F.least(F.size("lt"), F.size("rt"))
+        pairs = rare_first(left, "lt", True).join(rare_first(right, "rt", False), "t").where(F.size("lt") <= F.size("rt")).unionByName(
+            rare_first(left, "lt", False).join(rare_first(right, "rt", True), "t").where(F.size("lt") > F.size("rt")))
     pairs = pairs.select("lt", "rt", F.round(F.size(F.array_intersect("lt", "rt")) / n, 6).alias("overlap"))
     return pairs.where(F.col("overlap") >= least).distinct()
 

@@ -7,7 +7,8 @@ import re
 
 from pyspark.sql import functions as F
 
-from leadloom.operators import disks, jsonwalk, suffixes
+from leadloom.functions import address, pages, people
+from leadloom.operators import disks, gates, jsonwalk, rollups, suffixes
 
 
 def plain_walk(node, out):
@@ -116,3 +117,66 @@ def test_nearest_equals_brute_force(spark):
     for i, a, b in rows[:-1]:
         assert abs(got[i]["km"] - min(far((a, b), (c[2], c[3])) for c in centres)) < 1e-6
     assert disks.nearest(spark.createDataFrame(rows, "id int, latitude double, longitude double"), "id", points.limit(0)).count() == 0
+
+
+def test_shared_boilerplate_of_long_pages(spark):
+    rng = random.Random(4)
+    text = lambda n: "".join(rng.choice("ab é🎉\n") for _ in range(n))
+    sites = []
+    for pre, suf, n in ((70_000, 5_000, 3), (59, 61, 2), (60, 0, 4), (0, 0, 2), (100, 100, 1), (31, 1000, 5)):
+        head, foot = text(pre), text(suf)
+        sites.append([head + f"<{k}>" + text(rng.randrange(50)) + f"[{k}]" + foot for k in range(n)])
+    sites.append(["x" * 300] * 3)
+    sites.append(["x" * 300, "x" * 200, ""])
+
+    def plain(texts, least=60):
+        if len(texts) < 2:
+            return texts
+        shared = lambda ts: next((i for i in range(min(map(len, ts))) if len({t[i] for t in ts}) > 1), min(map(len, ts)))
+        pre, suf = shared(texts), shared([t[::-1] for t in texts])
+        pre, suf = pre if pre >= least else 0, suf if suf >= least else 0
+        return [(t[pre: max(pre, len(t) - suf)] if pre < len(t) else t).strip(" ") for t in texts]
+
+    df = spark.createDataFrame(list(enumerate(sites)), "i int, t array<string>")
+    got = {r["i"]: r["s"] for r in df.select("i", pages.strip_shared(F.col("t")).alias("s")).collect()}
+    assert got == {i: plain(s) for i, s in enumerate(sites)}
+
+
+def test_rollups_of_directories(spark):
+    rows = [("a", 1, "seo", "us", "", "x"), ("a", 2, "ads", "us", "$5k", "y"), ("a", 3, "seo", None, "$9k", "z"), ("b", 4, "", "uk", None, None), (None, 5, "seo", "us", "1", "q")]
+    df = spark.createDataFrame(rows, "k string, o int, cat string, cc string, budget string, team string")
+    got = {r["k"]: (r["cat"], r["cc"], r["budget"], r["team"]) for r in rollups.directory_rollup(df, "k", "o", category="cat", country="cc", fields=["budget"], once=["team"]).collect()}
+    assert got == {"a": ("ads;seo", "us", "$5k", "x"), "b": ("", "uk", "", None)}
+    got = rollups.listing_rollup(df, "k", "o", term="cat", place="cc").collect()
+    assert {r["k"]: (r["budget"], r["found_by"]) for r in got} == {"a": ("", "seo @ us;ads @ us;seo @ "), "b": (None, " @ uk")}
+
+
+def test_owners_flags_and_addresses(spark):
+    names = ["Adam Smith Roofing", "Adam's Roofing", "Adam Roofing Co", "Perth Smith", "Adam North Works", "adam Smith", "", None]
+    df = spark.createDataFrame(list(enumerate(names)), "i int, n string")
+    own = people.eponymous_owner(F.col("n"), ["Adam"], trade="(?i)roof", places="North|South")
+    got = [r["o"] and tuple(r["o"]) for r in df.select("i", own.alias("o")).orderBy("i").collect()]
+    assert got == [("Adam Smith", "Adam", False), (None, "Adam", True), None, None, None, None, None, None]
+    texts = ["Pocket FM", "Acme damp", "tv stands", "Tvs", "weight loss now", None]
+    got = [r[0] for r in spark.createDataFrame(list(enumerate(texts)), "i int, t string").orderBy("i").select(gates.likely_junk(F.col("t"))).collect()]
+    assert got == ["yes", "", "yes", "", "yes", ""]
+    streets = ["12 Main Street Bldg 4", "12 main st", "12 Main Street #4, X", "9 North Road, Suite 1"]
+    got = [r[0] for r in spark.createDataFrame(list(enumerate(streets)), "i int, t string").orderBy("i").select(address.short_street(F.col("t"))).collect()]
+    assert got == ["12mainst", "12mainst", "12mainst", "9nrd"]
+    assert spark.range(1).select(address.brand_key(F.lit("Acme Foods Int'l Nigeria Ltd"))).first()[0] == "acme foods"
+
+
+def test_shares_of_the_smaller_set(spark):
+    """Sets of very different sizes, common and rare tokens, equal sets and nested ones: all pairs, by either set's share."""
+    from leadloom.operators import joins
+
+    rng = random.Random(12)
+    word = lambda: rng.choice(["the", "of", "co", *[f"w{int(rng.expovariate(0.1))}" for _ in range(3)]])
+    sets = lambda n, base: [(base + k, [word() for _ in range(rng.choice([1, 2, 3, 8, 20]))]) for k in range(n)]
+    a, b = sets(80, 0) + [(900, ["the"]), (901, ["the", "of", "co"])], sets(90, 1000) + [(1900, ["the", "of"])]
+    for of_larger in (False, True):
+        for least in (0.34, 0.6, 1.0):
+            size = max if of_larger else min
+            want = {(i, j) for i, x in a for j, y in b if set(x) & set(y) and round(len(set(x) & set(y)) / size(len(set(x)), len(set(y))), 6) >= least}
+            got = joins.candidate_pairs(spark.createDataFrame(a, "l int, t array<string>"), spark.createDataFrame(b, "r int, t array<string>"), "l", "r", "t", least=least, of_larger=of_larger)
+            assert {tuple(r) for r in got.collect()} == want
