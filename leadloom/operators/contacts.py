@@ -58,6 +58,45 @@ def primary_contact(contacts: DataFrame, lead: str, order: str, bucket: str = "r
     return contacts.groupBy(lead).agg(F.min_by(F.struct(*rest), F.struct(rank.alias("r"), F.col(order).alias("o"))).alias("m")).select(lead, "m.*")
 
 
+def chosen_primary(leads: DataFrame, contacts: DataFrame, lead: str, order: str, *, buckets: list[str] = BUCKET_ORDER, unsure_sources: list[str] = ("web_search",)) -> DataFrame:
+    """For each lead: primary_name, first_name, last_name, primary_title, role_bucket, name_source, name_evidence, other_contacts, qa_flags.
+
+    ``leads`` has email, email_type, email_own_basis, first_name_hint, last_name_hint, name_confidence, name_evidence, brand_family and
+    adjudication; ``contacts`` name, first_name, last_name, title, role_bucket, source and evidence. Contacts go by bucket, then by
+    ``order``; the first that is not ``other`` is primary. A personal address whose local part holds a contact's surname (of three
+    letters or more) picks that contact instead; without any contact its own name stands in. Flags, each once: only_non_decision_maker_contact,
+    sweep_named_verify_before_send, brand:..., icp_unclear, email_sibling_domain, email_matches_named_contact, name_from_email_only.
+    Other contacts are the second to the fifth, without the primary. A lead may have any number of contacts: five go on.
+    """
+    rank = F.coalesce(*[F.when(F.col("role_bucket") == b, F.lit(i)) for i, b in enumerate(buckets)], F.lit(9))
+    fields = ["name", "first_name", "last_name", "title", "role_bucket", "source", "evidence"]
+    known = contacts.where(~is_blank(F.col("name"))).select(lead, F.struct(rank.alias("r"), F.col(order).alias("o")).alias("at"), F.struct(*[blank_if_null(F.col(c)).alias(c) for c in fields]).alias("c"))
+    mail = leads.select(lead, F.lower(F.substring_index(blank_if_null(F.col("email")), "@", 1)).alias("local"), (F.col("email_type") == "person").alias("personal"))
+    surname = F.lower(F.element_at(F.split(F.trim("c.name"), r"\s+"), -1))
+    known = known.join(mail, lead).withColumn("hit", F.coalesce(F.col("personal") & (F.length(surname) > 2) & F.col("local").contains(surname), F.lit(False)))
+    found = known.groupBy(lead).agg(
+        F.min_by("c", F.when(F.col("c.role_bucket") != "other", F.col("at"))).alias("usual"), F.min_by("c", F.when(F.col("hit"), F.col("at"))).alias("named"),
+        F.min(F.when(F.col("c.role_bucket") != "other", F.col("at"))).alias("usual_at"), F.min(F.when(F.col("hit"), F.col("at"))).alias("named_at"))
+    place = F.row_number().over(Window.partitionBy(lead).orderBy("at"))
+    shown = known.select(lead, "at", "c").withColumn("place", place).where("place <= 5").where("place > 1")
+    shown = shown.groupBy(lead).agg(F.array_sort(F.collect_list(F.struct("at", F.concat("c.name", F.lit(" ["), "c.title", F.lit(" -> "), "c.role_bucket", F.lit("]")).alias("text")))).alias("shown"))
+    rows = leads.join(found.withColumn("any", F.lit(True)), lead, "left").join(shown, lead, "left")
+    pick, at = F.coalesce("named", "usual"), F.coalesce("named_at", "usual_at")
+    text = lambda c: blank_if_null(F.col(c))
+    hinted = pick.isNull() & (F.col("email_type") == "person") & (text("first_name_hint") != "")
+    own = lambda c, hint="": F.coalesce(F.when(pick.isNotNull(), pick[c]), F.when(hinted, hint if isinstance(hint, Column) else F.lit(hint)), F.lit(""))
+    flags = F.array_distinct(F.array_compact(F.array(
+        F.when(F.col("any") & F.col("usual").isNull(), "only_non_decision_maker_contact"), F.when(F.col("usual")["source"].isin(*unsure_sources), "sweep_named_verify_before_send"),
+        F.when(text("brand_family") != "", F.concat(F.lit("brand:"), "brand_family")), F.when(F.col("adjudication") == "unclear", "icp_unclear"),
+        F.when(F.col("email_own_basis") == "sibling", "email_sibling_domain"), F.when(F.col("named").isNotNull(), "email_matches_named_contact"), F.when(hinted, "name_from_email_only"))))
+    others = F.transform(F.filter(F.coalesce("shown", F.array().cast(shown.schema["shown"].dataType)), lambda x: ~x["at"].eqNullSafe(at)), lambda x: x["text"])
+    return rows.select(
+        lead, own("name", F.trim(F.concat(text("first_name_hint"), F.lit(" "), text("last_name_hint")))).alias("primary_name"), own("first_name", text("first_name_hint")).alias("first_name"),
+        own("last_name", text("last_name_hint")).alias("last_name"), own("title").alias("primary_title"), own("role_bucket").alias("role_bucket"),
+        own("source", F.concat(F.lit("email_local_part:"), text("name_confidence"))).alias("name_source"), F.substring(own("evidence", text("name_evidence")), 1, 300).alias("name_evidence"),
+        F.array_join(others, " || ").alias("other_contacts"), F.array_join(flags, "; ").alias("qa_flags"))
+
+
 def merge_sources(contacts: DataFrame, lead: str, name: str, title: str, source: str, rank: Column) -> DataFrame:
     """One row for each lead and name: the title of the strongest source, all sources in order, corroborated by two or more."""
     key = F.lower(F.trim(F.col(name)))

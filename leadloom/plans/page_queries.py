@@ -430,3 +430,25 @@ def owner_names(spark, sf_dir):
     business = F.concat(w[0], F.when(F.col("p_size") % 2 == 0, "'s ").otherwise(" "), w[1], F.lit(" Works"))
     owner = people.eponymous_owner(business, ["red", "small", "old"], trade="(?i)ring|bolt", places="Anvil")
     return table(spark, sf_dir, "part").select("p_partkey", owner["name"].alias("name"), owner["hint"].alias("hint"), gates.likely_junk(F.col("p_type"), F.col("p_name"), words=r"(?i)\b(ring|bolt)\b").alias("junk"))
+
+
+@query(r"""
+with c as (select p_brand as lead, p_partkey as o, p_name as name, split_part(p_name, ' ', 1) as first, split_part(p_name, ' ', 2) as last, p_type as title, case p_type when 'ECONOMY' then 'gm' when 'PROMO' then 'marketing' else 'other' end as bucket,
+  case when p_size > 25 then 'web_search' else 'site' end as source from part),
+r as (select *, case bucket when 'gm' then 1 when 'marketing' then 2 else 5 end as rank from c),
+p as (select *, row_number() over (partition by lead order by rank, o) as place from r),
+l as (select lead, max(name) as who, count(*) % 2 = 0 as personal from c group by lead),
+m as (select l.lead, personal, min(place) filter (where bucket <> 'other') as usual, min(place) filter (where personal and contains(who, last)) as named from l join p on p.lead = l.lead group by l.lead, personal)
+select m.lead, x.name as primary_name, x.title as primary_title, x.source as name_source,
+  coalesce((select string_agg(name || ' [' || title || ' -> ' || bucket || ']', ' || ' order by place) from p o where o.lead = m.lead and place between 2 and 5 and place <> coalesce(named, usual)), '') as other_contacts,
+  concat_ws('; ', case when u.source = 'web_search' then 'sweep_named_verify_before_send' end, case when personal then 'brand:' || m.lead end, case when not personal then 'icp_unclear' end, case when named is not null then 'email_matches_named_contact' end) as qa_flags
+from m join p x on x.lead = m.lead and x.place = coalesce(named, usual) left join p u on u.lead = m.lead and u.place = usual
+""")
+def primary_overrides(spark, sf_dir):
+    kind, words = F.col("p_type"), F.split("p_name", " ")
+    p = table(spark, sf_dir, "part").select(F.col("p_brand").alias("lead"), F.col("p_partkey").alias("o"), F.col("p_name").alias("name"), words[0].alias("first_name"), words[1].alias("last_name"), kind.alias("title"),
+                                            F.when(kind == "ECONOMY", "gm").when(kind == "PROMO", "marketing").otherwise("other").alias("role_bucket"), F.when(F.col("p_size") > 25, "web_search").otherwise("site").alias("source"), F.lit("").alias("evidence"))
+    blank = {c: F.lit("") for c in ("email_own_basis", "first_name_hint", "last_name_hint", "name_confidence", "name_evidence")}
+    leads = p.groupBy("lead").agg(F.concat(F.replace(F.max("name"), F.lit(" "), F.lit(".")), F.lit("@x.com")).alias("email"), (F.count("*") % 2 == 0).alias("even"))
+    leads = leads.withColumns(blank | {"email_type": F.when(F.col("even"), "person").otherwise("generic"), "brand_family": F.when(F.col("even"), F.col("lead")).otherwise(""), "adjudication": F.when(~F.col("even"), "unclear").otherwise("")})
+    return contacts.chosen_primary(leads, p, "lead", "o").select("lead", "primary_name", "primary_title", "name_source", "other_contacts", "qa_flags")

@@ -180,3 +180,20 @@ def test_shares_of_the_smaller_set(spark):
             want = {(i, j) for i, x in a for j, y in b if set(x) & set(y) and round(len(set(x) & set(y)) / size(len(set(x)), len(set(y))), 6) >= least}
             got = joins.candidate_pairs(spark.createDataFrame(a, "l int, t array<string>"), spark.createDataFrame(b, "r int, t array<string>"), "l", "r", "t", least=least, of_larger=of_larger)
             assert {tuple(r) for r in got.collect()} == want
+
+
+def test_primary_contacts_and_their_overrides(spark):
+    from leadloom.operators import contacts
+
+    people = [("a", 1, "Ann Bell", "Ann", "Bell", "Owner", "owner_or_partner", "site", "e"), ("a", 2, "Bob Stone", "Bob", "Stone", "Clerk", "other", "web_search", "f"), ("a", 3, "Cy Moss", "Cy", "Moss", "GM", "gm", "site", "g"),
+              ("b", 1, "Di Fox", "Di", "Fox", "Clerk", "other", "site", "h"), ("d", 1, "Ed Li", "Ed", "Li", "Owner", "owner_or_partner", "web_search", "i"), ("d", 2, " ", "", "", "", "gm", "", "")]
+    c = spark.createDataFrame(people, "k string, o int, name string, first_name string, last_name string, title string, role_bucket string, source string, evidence string")
+    rows = [("a", "bob.stone@a.com", "person", "sibling", None, None, None, None, "fam", "unclear"), ("b", "info@b.com", "generic", "exact", "Zed", None, None, None, "", ""),
+            ("c", "zed@c.com", "person", "", "Zed", "Ray", "high", "local part", None, None), ("d", "ed.li@d.com", "person", "", "Ed", "Li", None, None, None, None), ("e", None, None, None, None, None, None, None, None, None)]
+    leads = spark.createDataFrame(rows, "k string, email string, email_type string, email_own_basis string, first_name_hint string, last_name_hint string, name_confidence string, name_evidence string, brand_family string, adjudication string")
+    got = {r["k"]: (r["primary_name"], r["primary_title"], r["name_source"], r["other_contacts"], r["qa_flags"]) for r in contacts.chosen_primary(leads, c, "k", "o").collect()}
+    assert got == {
+        "a": ("Bob Stone", "Clerk", "web_search", "Cy Moss [GM -> gm]", "brand:fam; icp_unclear; email_sibling_domain; email_matches_named_contact"),
+        "b": ("", "", "", "", "only_non_decision_maker_contact"), "c": ("Zed Ray", "", "email_local_part:high", "", "name_from_email_only"),
+        "d": ("Ed Li", "Owner", "web_search", "", "sweep_named_verify_before_send"), "e": ("", "", "", "", "")}
+    assert contacts.chosen_primary(leads.limit(0), c, "k", "o").count() == 0
