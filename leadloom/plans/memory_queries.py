@@ -33,20 +33,6 @@ def stalls(spark, sf_dir):
     return incremental.stalls(e, "user_id", "total", "event_id", 2)
 
 
-@query("""
-select c_custkey, '02079' || lpad(c_custkey::varchar, 6, '0') as uk, case when c_custkey % 2 = 0 then '(212) ' || substr(lpad(c_custkey::varchar, 7, '0'), 1, 3) || '-' || substr(lpad(c_custkey::varchar, 7, '0'), 4) else '12-' || c_custkey end as us,
-  case when c_custkey % 2 = 0 then '+1212' || lpad(c_custkey::varchar, 7, '0') else '' end as e164,
-  case c_custkey % 5 when 0 then 'SCT' when 1 then 'WLS' when 2 then 'ENG' when 3 then 'Jersey' end as nation from customer
-""")
-def phone_and_nation(spark, sf_dir):
-    key = F.col("c_custkey")
-    digits = lambda n: F.lpad(key.cast("string"), n, "0")
-    us = text.us_phone(F.when(key % 2 == 0, F.concat(F.lit("1-212."), digits(7))).otherwise(F.concat(F.lit(" 12-"), key.cast("string"))))
-    codes = F.element_at(F.array(F.lit("G12 8QQ"), F.lit("cf10 1ep"), F.lit("SW1A1AA"), F.lit("JE2 3AB"), F.lit("none")), (key % 5 + 1).cast("int"))
-    return table(spark, sf_dir, "customer").select("c_custkey", text.uk_phone(F.concat(F.lit("+44 (20) 79"), digits(6))).alias("uk"), us["display"].alias("us"), us["e164"].alias("e164"),
-                                                   text.nation_of(F.concat(F.lit("Unit 5, "), codes)).alias("nation"))
-
-
 @query("""
 select user_id % 2 = 0 as by_id, k as capture_key, arg_max(event_id, (ts, event_id)) as event_id
 from (select *, case when user_id % 2 = 0 then user_id::varchar else lower(event_type) || '|' || (user_id % 5) end as k from events) group by 1, 2

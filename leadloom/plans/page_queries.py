@@ -452,3 +452,20 @@ def primary_overrides(spark, sf_dir):
     leads = p.groupBy("lead").agg(F.concat(F.replace(F.max("name"), F.lit(" "), F.lit(".")), F.lit("@x.com")).alias("email"), (F.count("*") % 2 == 0).alias("even"))
     leads = leads.withColumns(blank | {"email_type": F.when(F.col("even"), "person").otherwise("generic"), "brand_family": F.when(F.col("even"), F.col("lead")).otherwise(""), "adjudication": F.when(~F.col("even"), "unclear").otherwise("")})
     return contacts.chosen_primary(leads, p, "lead", "o").select("lead", "primary_name", "primary_title", "name_source", "other_contacts", "qa_flags")
+
+
+_NATIONS = " ".join(f"when area in ({_listed(areas)}) then '{nation}'" for nation, areas in text.NATION_AREAS.items())
+
+
+@query(rf"""
+with d as (select p_partkey, lpad(p_partkey::varchar, 6, '0') || p_size || substr(p_brand, 7) as n, case when p_type = 'SMALL' then reverse(p_type)[1:2] when p_size % 5 > 0 then upper(p_name[strpos(p_name, ' ') + 1]) end as area, p_size from part)
+select p_partkey, case when length(n) >= 9 then '0' || n else '44' || n end as uk, case length(n) when 10 then '(' || n[1:3] || ') ' || n[4:6] || '-' || n[7:] when 9 then '(1' || n[1:2] || ') ' || n[3:5] || '-' || n[6:] else '+1 ' || n end as us,
+  case length(n) when 10 then '+1' || n when 9 then '+11' || n else '' end as e164, case when area is null then null {_NATIONS} else 'ENG' end as nation from d
+""")
+def phone_and_nation(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    digits = F.concat(F.lpad(F.col("p_partkey").cast("string"), 6, "0"), F.col("p_size").cast("string"), F.substring("p_brand", 7, 9))
+    area = F.when(F.col("p_type") == "SMALL", F.substring(F.reverse("p_type"), 1, 2)).when(F.col("p_size") % 5 > 0, F.upper(F.substring(F.substring_index("p_name", " ", -1), 1, 1)))
+    at = F.concat(F.lit("Unit 5, High Road, "), F.coalesce(F.concat(area, F.lit("12 8qq")), F.lit("none")))
+    us = text.us_phone(F.concat(F.lit("+1 "), digits))
+    return p.select("p_partkey", text.uk_phone(F.concat(F.lit("+44 "), digits)).alias("uk"), us["display"].alias("us"), us["e164"].alias("e164"), text.nation_of(at).alias("nation"))
