@@ -422,14 +422,14 @@ def listing_rollup(spark, sf_dir):
 
 @query("""
 with p as (select p_partkey, p_name, upper(p_name[1]) || substr(split_part(p_name, ' ', 1), 2) as a, upper(split_part(p_name, ' ', 2)[1]) || substr(split_part(p_name, ' ', 2), 2) as b, p_size % 2 = 0 as poss from part)
-select p_partkey, case when a in ('Red', 'Small', 'Old') and not poss and b not in ('Ring', 'Bolt') and b <> 'Anvil' then a || ' ' || b end as name, case when a in ('Red', 'Small', 'Old') and poss then true when a in ('Red', 'Small', 'Old') and b not in ('Ring', 'Bolt', 'Anvil') then false end as hint,
+select p_partkey, case when a in ('Red', 'Small', 'Old') and not poss and b not in ('Ring', 'Bolt') and b <> 'Anvil' then a || ' ' || b end as name, case when a in ('Red', 'Small', 'Old') and poss then 'hint' when a in ('Red', 'Small', 'Old') and b not in ('Ring', 'Bolt', 'Anvil') then 'owner' else '' end as hint,
   case when regexp_matches(p_name, '\\b(ring|bolt)\\b') then 'yes' else '' end as junk from p
 """)
 def owner_names(spark, sf_dir):
     w = F.split(F.initcap("p_name"), " ")
     business = F.concat(w[0], F.when(F.col("p_size") % 2 == 0, "'s ").otherwise(" "), w[1], F.lit(" Works"))
     owner = people.eponymous_owner(business, ["red", "small", "old"], trade="(?i)ring|bolt", places="Anvil")
-    return table(spark, sf_dir, "part").select("p_partkey", owner["name"].alias("name"), owner["hint"].alias("hint"), gates.likely_junk(F.col("p_type"), F.col("p_name"), words=r"(?i)\b(ring|bolt)\b").alias("junk"))
+    return table(spark, sf_dir, "part").select("p_partkey", owner["name"].alias("name"), F.when(owner["hint"], "hint").when(owner.isNotNull(), "owner").otherwise("").alias("hint"), gates.likely_junk(F.col("p_type"), F.col("p_name"), words=r"(?i)\b(ring|bolt)\b").alias("junk"))
 
 
 @query(r"""

@@ -57,3 +57,16 @@ def test_a_blank_first_date_is_none(spark):
     now = spark.createDataFrame([("a", 1), ("b", 1), ("c", 2)], "k string, pass_hits int")
     got = {r["k"]: (r["first_seen"], r["status"]) for r in delta.union_with_memory(now, prior, "k", cycle="2026-05", min_hits=2).collect()}
     assert got == {"a": ("2026-01", "confirmed"), "b": ("2026-05", "pending"), "c": ("2026-05", "confirmed")}
+
+
+def test_microdata_scripts_and_paths(spark):
+    html = ("""<meta itemprop="email" content="Micro@acme.com"><script>var m = "js" + "@" + "acme.com"; x = 'left' + '&#64;' + 'acme.org';</script>"""
+            '<a href="https://book.host.com/book/Team@path.com/?x=1">b</a> https://host.com/a/enc%40path.org, https://host.com/q?to=query@acme.com https://h.com/pre-x@part.com.html'
+            '<a href="mailto:both@acme.com">m</a> https://host.com/both@acme.com https://host.com/open@acme.com <p>open@acme.com</p>')
+    text = "open@acme.com and query@acme.com https://host.com/only@path.net/"
+    df = spark.createDataFrame([(html, text), (None, None)], "h string, t string")
+    rows = df.select(emails.extract_emails(F.col("h"), F.col("t")).alias("e")).collect()
+    found = {x["email"]: x["source"] for x in rows[0]["e"]}
+    assert {k: found.get(k) for k in ("micro@acme.com", "js@acme.com", "left@acme.org", "both@acme.com", "open@acme.com", "query@acme.com")} == {
+        "micro@acme.com": "microdata", "js@acme.com": "js_concat", "left@acme.org": "js_concat", "both@acme.com": "mailto", "open@acme.com": "text", "query@acme.com": "text"}
+    assert not {"team@path.com", "enc@path.org", "only@path.net"} & set(found) and rows[1]["e"] == []
