@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from leadloom.functions import address, emails, geo, slices
-from leadloom.operators import contacts, gates, matching, store, windows
+from leadloom.functions import emails, geo, slices
+from leadloom.operators import contacts, gates, matching, store
 from leadloom.plans.queries import query, table
 
 def key():

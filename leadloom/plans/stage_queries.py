@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from leadloom.functions import geo, pages, slices, text
+from leadloom.functions import slices, text
 from leadloom.operators import stages
 from leadloom.plans.queries import query, table
 from leadloom.sources import exports
