@@ -439,10 +439,10 @@ r as (select *, case bucket when 'gm' then 1 when 'marketing' then 2 else 5 end
 p as (select *, row_number() over (partition by lead order by rank, o) as place from r),
 l as (select lead, max(name) as who, count(*) % 2 = 0 as personal from c group by lead),
 m as (select l.lead, personal, min(place) filter (where bucket <> 'other') as usual, min(place) filter (where personal and contains(who, last)) as named from l join p on p.lead = l.lead group by l.lead, personal)
-select m.lead, x.name as primary_name, x.title as primary_title, x.source as name_source,
-  coalesce((select string_agg(name || ' [' || title || ' -> ' || bucket || ']', ' || ' order by place) from p o where o.lead = m.lead and place between 2 and 5 and place <> coalesce(named, usual)), '') as other_contacts,
-  concat_ws('; ', case when u.source = 'web_search' then 'sweep_named_verify_before_send' end, case when personal then 'brand:' || m.lead end, case when not personal then 'icp_unclear' end, case when named is not null then 'email_matches_named_contact' end) as qa_flags
-from m join p x on x.lead = m.lead and x.place = coalesce(named, usual) left join p u on u.lead = m.lead and u.place = usual
+select m.lead, coalesce(x.name, '') as primary_name, coalesce(x.title, '') as primary_title, coalesce(x.source, '') as name_source,
+  coalesce((select string_agg(name || ' [' || title || ' -> ' || bucket || ']', ' || ' order by place) from p o where o.lead = m.lead and place between 2 and 5 and place is distinct from coalesce(named, usual)), '') as other_contacts,
+  concat_ws('; ', case when usual is null then 'only_non_decision_maker_contact' end, case when u.source = 'web_search' then 'sweep_named_verify_before_send' end, case when personal then 'brand:' || m.lead end, case when not personal then 'icp_unclear' end, case when named is not null then 'email_matches_named_contact' end) as qa_flags
+from m left join p x on x.lead = m.lead and x.place = coalesce(named, usual) left join p u on u.lead = m.lead and u.place = usual
 """)
 def primary_overrides(spark, sf_dir):
     kind, words = F.col("p_type"), F.split("p_name", " ")
