@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from leadloom.functions import people
 from leadloom.functions.text import is_blank
 from leadloom.operators import ranking
-from leadloom.operators.durable import discard, durable, scratch
+from leadloom.operators.durable import discard, durable, scratch, small_side
 
 
 def verification_state(first: Column, second: Column, second_on: tuple[str, ...] = ()) -> Column:
@@ -90,9 +90,13 @@ def seeded_candidates(persons: DataFrame, seeds: DataFrame, person_id: str) -> D
     local = F.substring_index(F.lower("email"), "@", 1)
     known = seeds.withColumn("domain", F.lower("domain")).where(~is_blank(F.col("domain")))
     forms = known.select("domain", people.detect_form(local, F.col("first_name"), F.col("last_name")).alias("form")).where("form is not null").distinct()
-    made = persons.withColumn("domain", F.lower("domain")).join(forms, "domain")
-    made = made.select(person_id, "form", F.concat_ws("@", people.local_forms(F.col("first_name"), F.col("last_name"))[F.col("form")], "domain").alias("email"))
-    taken = known.select(F.lower("email").alias("email")).distinct()
+    forms = small_side(durable(forms.groupBy("domain").agg(F.collect_list("form").alias("forms")), "forms"))
+    taken = small_side(durable(known.select(F.lower("email").alias("email")).distinct(), "taken"))
+    # dealt by the person: by domain, a few large domains would be a few tasks
+    each = persons.select(person_id, F.lower("domain").alias("domain"), "first_name", "last_name").repartition(person_id)
+    each = each.select(person_id, "domain", people.local_forms(F.col("first_name"), F.col("last_name")).alias("__locals"))
+    made = each.join(forms, "domain").select(person_id, "domain", "__locals", F.explode("forms").alias("form"))
+    made = made.select(person_id, "form", F.concat_ws("@", F.col("__locals")[F.col("form")], "domain").alias("email"))
     return made.where("email like '_%@_%'").join(taken, "email", "left_anti").select(person_id, "form", "email")
 
 
