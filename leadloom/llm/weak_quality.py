@@ -35,6 +35,8 @@ LABELLERS = ("symbols", "capitals", "exclamations", "repetition", "variety", "wo
 DIMENSIONS = 1 << 15
 TRAIN_ROWS = 8_000
 THRESHOLD = 0.3
+#: Rows of the sample that the fit looks at together.
+RUN_ROWS = 250
 #: Share of insults among the words from which a labeller votes bad; those that count them ask for a fifth of it.
 INSULT_SHARE = 0.005
 #: Weight of the priors as a share of the rows; votes (nothing, good, bad) on good and on bad texts; share of good texts.
@@ -191,22 +193,36 @@ def features(s: dict[str, float], words: np.ndarray, shapes: np.ndarray, dimensi
 
 
 def fit_scorer(rows: list[tuple[np.ndarray, np.ndarray, float]], dimensions: int = DIMENSIONS, rounds: int = 200, ridge: float = 1e-4) -> np.ndarray:
-    """Weights (the last is the bias) of a logistic regression on soft labels, by accelerated gradient descent."""
+    """Weights (the last is the bias) of a logistic regression on soft labels, by accelerated gradient descent.
+
+    The rows are looked at in runs of ``RUN_ROWS``, in order, so sums are those of one pass and no array but the features' own
+    has their length.
+    """
     w = np.zeros(dimensions + 1)
     if not rows:
         w[-1] = 1.0
         return w
-    index = np.concatenate([r[0] for r in rows])
-    value = np.concatenate([r[1] for r in rows])
-    member = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
+    runs = []
+    for k in range(0, len(rows), RUN_ROWS):
+        some = rows[k: k + RUN_ROWS]
+        runs.append((k, np.concatenate([r[0] for r in some]), np.concatenate([r[1] for r in some]), [len(r[0]) for r in some]))
     label = np.array([r[2] for r in rows])
+    del rows
+
+    def sums(of) -> np.ndarray:
+        """The sum of ``of`` (index, value) over each row's features."""
+        return np.concatenate([np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights=of(i, v.astype(np.float64)), minlength=len(sizes)) for _, i, v, sizes in runs])
+
     seen = w.copy()
-    step = 8.0 / (1 + np.bincount(member, weights=value * value).max())
+    step = 8.0 / (1 + sums(lambda _, v: v * v).max())
     for t in range(rounds):
-        z = np.bincount(member, weights=value * seen[index], minlength=len(rows)) + seen[-1]
-        error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - label) / len(rows)
+        z = sums(lambda i, v: v * seen[i]) + seen[-1]
+        error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - label) / len(label)
+        total = np.zeros(dimensions)
+        for k, i, v, sizes in runs:
+            np.add.at(total, i, v * np.repeat(error[k: k + len(sizes)], sizes))
         gradient = ridge * seen
-        gradient[:-1] += np.bincount(index, weights=value * error[member], minlength=dimensions)
+        gradient[:-1] += total
         gradient[-1] = error.sum()
         after = seen - step * gradient
         seen = after + t / (t + 3) * (after - w)
@@ -248,9 +264,9 @@ def fit(docs: DataFrame, *, text_col: str = "text", train_rows: int = TRAIN_ROWS
     share = (1.2 * train_rows + 50) / max(1, different)
     sample = source if share >= 1 else source.where(F.col("hash") < int(share * 2**64) - 2**63)
     got = sample.where("text is not null").distinct().mapInArrow(train, "h long, i binary, v binary, y double").orderBy("h").limit(train_rows).toArrow()
-    train_set = [(np.frombuffer(i, np.int32), np.frombuffer(v, np.float32).astype(np.float64), y)
-                 for i, v, y in sorted(zip(*(got.column(c).to_pylist() for c in "ivy")))]
-    return posterior, fit_scorer(train_set) if train_set else None
+    ordered = sorted(zip(*(got.column(c).to_pylist() for c in "ivy")))
+    del got
+    return posterior, fit_scorer([(np.frombuffer(i, np.int32), np.frombuffer(v, np.float32), y) for i, v, y in ordered]) if ordered else None
 
 
 def classify(docs: DataFrame, model: tuple[dict[int, float], np.ndarray | None], *, text_col: str = "text", out_col: str = "quality",
