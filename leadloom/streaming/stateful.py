@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from datetime import timedelta
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -53,7 +54,7 @@ class LastWins(StatefulProcessor):
         self.last = handle.getValueState("last", self.schema, self.forget_ms)
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
-        held = tuple(self.last.get()) if self.last.exists() else None
+        held = self.last.get()  # None: no state; each question to the store is a message to the JVM
         best = held
         for row in rows:
             new = tuple(row[c] for c in self.names)
@@ -102,7 +103,7 @@ class DueAfter(StatefulProcessor):
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
         asked = min(row["asked_at"] for row in rows)
-        held = self.checked.get() if self.checked.exists() else None
+        held = self.checked.get()
         if held is not None and asked < held[0] + self.good_for:
             return
         checks = (held[1] if held is not None else 0) + 1
@@ -122,6 +123,28 @@ class DueAfter(StatefulProcessor):
         pass
 
 
+#: Events that a task reduces to the first of each key at once.
+CHUNK_EVENTS = 1 << 20
+
+
+def _first_of_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, asked_at): the first event of each key in chunks of a task's events."""
+    def first(chunk: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = pa.Table.from_batches(chunk)
+        key = found.column_names[0]
+        found = found.group_by(key).aggregate([("asked_at", "min")]).rename_columns({"asked_at_min": "asked_at"})
+        yield from found.select([key, "asked_at"]).to_batches(max_chunksize=1 << 16)
+
+    chunk, held = [], 0
+    for batch in batches:
+        chunk, held = [*chunk, batch], held + batch.num_rows
+        if held >= CHUNK_EVENTS:
+            yield from first(chunk)
+            chunk, held = [], 0
+    if held:
+        yield from first(chunk)
+
+
 def due_after(df: DataFrame, key: str, time: str, good_for: timedelta, *, late: str | None = None) -> DataFrame:
     """Stream of (key, event, at, checks): the checks that a stream of events makes due, a result being good for ``good_for``.
 
@@ -129,6 +152,9 @@ def due_after(df: DataFrame, key: str, time: str, good_for: timedelta, *, late:
     batch is ``good_for`` or more after the last check, as in ``incremental.due_after``. With ``late``, the delay of the watermark,
     a timer also tells when a result has expired without a new check (event expired), and events behind the watermark are left
     out; without it, late events never move a check back. Rows without key or time are left out.
+
+    Only a key's first event of a batch counts, so without ``late`` tasks send on one for each key of a chunk of events, by time
+    alone; with it, all events go on, as the watermark has to see them and to leave late ones out first.
     """
     use_rocksdb(df.sparkSession)
     rows = df.where(F.col(key).isNotNull() & F.col(time).isNotNull()).select(key, F.col(time).cast("timestamp").alias(time))
@@ -136,6 +162,9 @@ def due_after(df: DataFrame, key: str, time: str, good_for: timedelta, *, late:
     if late:
         rows = rows.withWatermark(time, late)
     rows = rows.withColumn("asked_at", F.unix_micros(time))
+    if not late:
+        rows = rows.select(key, "asked_at")
+        rows = rows.mapInArrow(_first_of_keys, rows.schema)
     return _timed(rows.groupBy(key).transformWithState(DueAfter(key, good_for, bool(late)), out, "Update", "EventTime" if late else "None"), ["at"])
 
 
@@ -149,7 +178,7 @@ class FrozenTotals(StatefulProcessor):
         self.spell = handle.getValueState("spell", self.schema)
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
-        total, since, until, frozen = self.spell.get() if self.spell.exists() else (None, None, None, -1)
+        total, since, until, frozen = self.spell.get() or (None, None, None, -1)
         told = frozen
         for at, value in sorted(((r[self.order], r[self.total]) for r in rows), key=_rank):
             if until is not None and at < until:
